@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelake.config import LakeConfig
 from carelake.fixed_values import GOLD_TABLES
 from carelake.plans import gold, marts, quality, silver
-from carelake.session import stage
+from carelake.session import stage, tune
 from carelake.sources import landing, ops_log
 from carelake.sources.tables import overwrite_table, table_census
 from carelake.streaming import bronze
@@ -54,7 +54,7 @@ def build_bronze(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 def build_silver(spark: SparkSession, config: LakeConfig) -> None:
     """Both silver tables from one deduplication of bronze."""
-    latest = stage(silver.latest_visits(silver.typed_visits(spark.read.parquet(config.bronze_path))), "latest")
+    latest = stage(silver.latest_visits(spark.read.parquet(config.bronze_path)), "latest")
     overwrite_table(silver.appointments(latest, config.source), config.table("silver", "appointment"))
     overwrite_table(silver.party_candidates(latest, config.source), config.table("silver", "party_candidate"))
 
@@ -97,6 +97,7 @@ def gold_census(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 def run(spark: SparkSession, config: LakeConfig, records: DataFrame, as_of: Column) -> list:
     """One full run; gold is not touched unless the quality gate passes. Returns warnings."""
+    tune(spark)
     ops_log.bootstrap(spark, config.catalog, config.storage_root)
     extract(spark, config, records)
     build_bronze(spark, config)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from carelake.functions.identity import name_key, normalise_email, normalise_phone, surrogate_key
 from carelake.functions.visits import (
@@ -71,9 +72,14 @@ def typed_visits(bronze: DataFrame) -> DataFrame:
     )
 
 
-def latest_visits(typed: DataFrame) -> DataFrame:
-    """The last written version of every visit, valid or not."""
-    return latest_per_key(typed, ["src_appointment_id"], LATEST_BY)
+def latest_visits(bronze: DataFrame) -> DataFrame:
+    """The last written version of every visit, valid or not, conformed.
+
+    Versions are sorted out on the raw records, so that only the ones that stay are
+    conformed, spread over the tasks after the shuffle.
+    """
+    versions = bronze.withColumn("_source_updated_ts", read_timestamp(F.col("lastModified")))
+    return typed_visits(latest_per_key(versions, ["ID"], LATEST_BY))
 
 
 def appointments(latest: DataFrame, source: str) -> DataFrame:
@@ -98,14 +104,10 @@ def appointments(latest: DataFrame, source: str) -> DataFrame:
                 "deleted_detected_at": F.lit(None).cast("timestamp"),
             }
         )
-        .drop(*PATIENT_DETAIL, "_payload_hash")
+        .drop(*PATIENT_DETAIL, "_payload_hash", "visit_month")
     )
 
 
-def silver_appointment(bronze: DataFrame, source: str) -> DataFrame:
-    return appointments(latest_visits(typed_visits(bronze)), source)
-
-
 def party_candidates(latest: DataFrame, source: str) -> DataFrame:
     """``silver.party_candidate`` from visits: identifiers of each patient, as of the visit
     modified last (D08, A12). Visits that are invalid as visits still identify a patient."""
@@ -133,28 +135,49 @@ def party_pool(*candidates: DataFrame) -> DataFrame:
     return pool.withColumn("party_key", F.concat_ws("||", "source", "source_party_id"))
 
 
-def merge_versions(typed: DataFrame, ref: str) -> None:
-    """Bring new versions into the stored latest versions, by visit month.
+# --- Incremental build ------------------------------------------------------------
+#
+# The store holds the latest version of every visit by visit month, invalid versions too:
+# they must go on outranking older ones that arrive late.
+
+
+def versions_schema(bronze: DataFrame) -> StructType:
+    return with_month(typed_visits(bronze)).schema
+
+
+def with_month(versions: DataFrame) -> DataFrame:
+    month = F.coalesce(F.date_format("start_ts", "yyyy-MM"), F.lit("none"))
+    return versions.withColumn("visit_month", month)
+
+
+def create_versions(bronze: DataFrame, ref: str) -> None:
+    """Start a store for ``merge_versions``."""
+    versions = by_partition(with_month(latest_visits(bronze)), ["visit_month"])
+    overwrite_table(versions, ref, partition_by=["visit_month"])
+
 
-    The store keeps the latest version of every visit, also an invalid one: it must go on
-    outranking older versions that arrive late. Only the months that new versions belong
-    to, or that hold an older version of the same visit, are read and written again. A
-    month whose visits all moved away is written as no rows by way of its tombstone, see
-    ``stored_versions``.
+def stored_versions(spark: SparkSession, ref: str, schema: StructType) -> DataFrame:
+    """The latest versions in a store, without the tombstones."""
+    return read_table(spark, ref, schema).filter("src_appointment_id IS NOT NULL")
+
+
+def merge_versions(bronze: DataFrame, ref: str) -> None:
+    """Bring new records into a store.
+
+    Only the months that new versions belong to, or that hold an older version of the same
+    visit, are read and written again. Each of them also gets a tombstone, a row without an
+    id, so that a month all of whose visits moved away is overwritten as well.
     """
-    spark = typed.sparkSession
-    new = stage(with_month(latest_visits(typed)), "versions")
-    stored = read_table(spark, ref, new.schema)
-    ids = new.select("src_appointment_id").distinct()
-    held = stored.filter("src_appointment_id IS NOT NULL").join(ids, "src_appointment_id", "left_semi")
-    months = (
-        new.select("visit_month").unionByName(held.select("visit_month")).distinct()
-    )
+    new = stage(with_month(latest_visits(bronze)), "versions")
+    stored = stored_versions(bronze.sparkSession, ref, new.schema)
+    ids = new.select("src_appointment_id")
+    held = stored.join(ids, "src_appointment_id", "left_semi")
+    months = new.select("visit_month").unionByName(held.select("visit_month")).distinct()
     # One row per calendar month, so the list is short whatever the size of the store, and
     # as literals it prunes the partitions that are read.
     touched = [r["visit_month"] for r in months.collect()]
     affected = stored.filter(F.col("visit_month").isin(touched))
-    merged = latest_visits(affected.filter("src_appointment_id IS NOT NULL").unionByName(new))
+    merged = latest_per_key(affected.unionByName(new), ["src_appointment_id"], LATEST_BY)
     tombstones = months.select(
         *[
             F.col(c) if c == "visit_month" else F.lit(None).cast(new.schema[c].dataType).alias(c)
@@ -164,24 +187,7 @@ def merge_versions(typed: DataFrame, ref: str) -> None:
     replace_partitions(merged.unionByName(tombstones), ref, ["visit_month"])
 
 
-def create_versions(typed: DataFrame, ref: str) -> None:
-    """Start a store for ``merge_versions``."""
-    versions = by_partition(with_month(latest_visits(typed)), ["visit_month"])
-    overwrite_table(versions, ref, partition_by=["visit_month"])
-
-
-def stored_versions(spark, ref: str, schema) -> DataFrame:
-    """The latest versions in a store. Rows without an id are the tombstones by which a
-    month that lost all its visits could be overwritten."""
-    return read_table(spark, ref, schema).filter("src_appointment_id IS NOT NULL").drop("visit_month")
-
-
-def with_month(versions: DataFrame) -> DataFrame:
-    month = F.coalesce(F.date_format("start_ts", "yyyy-MM"), F.lit("none"))
-    return versions.withColumn("visit_month", month)
-
-
-def sweep_deleted(appointment: DataFrame, full_pull_ids: DataFrame, detected_at) -> DataFrame:
+def sweep_deleted(appointment: DataFrame, full_pull_ids: DataFrame, detected_at: Column) -> DataFrame:
     """Mark visits that a full pull of the source no longer has.
 
     ``full_pull_ids(src_appointment_id)``. A visit keeps the time its absence was first

@@ -23,6 +23,18 @@ def local_session(cpus: int | str = "*", driver_memory: str = "16g") -> SparkSes
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return tune(spark)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings of the running session that results or speed depend on.
+
+    Times are UTC. The JVM never compiles a method of more than 8000 bytes of bytecode;
+    beyond that, generated code for a wide projection would be interpreted, several times
+    slower, so Spark is to split it instead.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

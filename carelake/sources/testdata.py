@@ -71,7 +71,8 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per ``lineitem`` row, as bronze holds it.
 
     The record id repeats (order and line number are not unique together), so later
-    versions replace earlier ones.
+    versions replace earlier ones. Both tables grow with the data, so they are joined by
+    shuffle at every size; adaptive execution splits an order that has too many lines.
     """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
@@ -86,7 +87,7 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     modified = F.col("l_shipdate") + F.make_dt_interval(mins=(part % 2880).cast("int"))
     flag = lambda on: F.when(on, "1").otherwise("0")
-    return line.join(orders, "l_orderkey").select(
+    return line.join(orders.hint("merge"), "l_orderkey").select(
         (order_no * 10 + line_no).alias("ID"),
         F.when(~_every(part, 997), F.col("o_custkey")).alias("patientID"),
         F.col("l_suppkey").alias("practitionerID"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from carelake.functions import identity, measures, visits
 from carelake.operators import components, dedupe, matching
 from carelake.plans import gold, marts, quality, semantic, silver
-from carelake.session import new_path, stage
+from carelake.session import new_path, stage, tune
 from carelake.sources import landing, ops_log, testdata
 from carelake.sources.tables import read_table, table_census
 from carelake.sources.testdata import SECOND_SOURCE, SOURCE
@@ -27,11 +27,10 @@ _registry: dict[str, Query] = {}
 
 
 def _query(build: Query) -> Query:
-    """Register under the function's name; times and dates are UTC throughout."""
+    """Register under the function's name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return build(spark, sf_dir)
+        return build(tune(spark), sf_dir)
 
     _registry[build.__name__] = run
     return run
@@ -50,7 +49,7 @@ def _typed(spark, sf_dir) -> DataFrame:
 
 
 def _latest(spark, sf_dir) -> DataFrame:
-    return silver.latest_visits(_typed(spark, sf_dir))
+    return silver.latest_visits(testdata.visit_feed(spark, sf_dir))
 
 
 def _appointment(spark, sf_dir) -> DataFrame:
@@ -150,13 +149,13 @@ def silver_appointment(spark, sf_dir):
 
 @_query
 def silver_incremental(spark, sf_dir):
-    typed = _typed(spark, sf_dir)
+    feed = testdata.visit_feed(spark, sf_dir)
     ref = new_path(spark, "visit-versions")
-    early = F.col("_source_updated_ts") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp")
-    silver.create_versions(typed.filter(early), ref)
-    silver.merge_versions(typed.filter(~early), ref)
-    schema = silver.with_month(typed).schema
-    return silver.appointments(silver.stored_versions(spark, ref, schema), SOURCE).select(
+    early = F.col("lastModified") < FIRST_LOAD_BEFORE
+    silver.create_versions(feed.filter(early), ref)
+    silver.merge_versions(feed.filter(~early), ref)
+    stored = silver.stored_versions(spark, ref, silver.versions_schema(feed))
+    return silver.appointments(stored, SOURCE).select(
         "appointment_key", "src_appointment_id", "start_ts", "status", "_source_updated_ts"
     )
 
@@ -479,8 +478,7 @@ def watermark_state(spark, sf_dir):
 def incremental_since(spark, sf_dir):
     marks = _event_marks(spark, sf_dir)
     since = marks.select("entity", ops_log.extract_from(F.col("high_water_mark"), _now()).alias("since"))
-    # Marks are one row per entity of the source.
-    records = testdata.event_records(spark, sf_dir).join(F.broadcast(since), "entity")
+    records = testdata.event_records(spark, sf_dir).join(since, "entity")
     return landing.changed_since(records, "lastModified", F.col("since")).drop("since")
 
 
