@@ -13,6 +13,7 @@ from carelake.functions.identity import surrogate_key
 from carelake.functions.measures import direct_cost, revenue
 from carelake.operators.joins import join_dim
 from carelake.operators.ordering import GROUP_LIMIT, ordered_scan
+from carelake.session import stage
 
 MEMBER_IDS = {
     "clinic": "src_clinic_id",
@@ -58,9 +59,10 @@ def member_positions(
     )
     ids = appointment.select(F.explode(entries).alias("e")).select("e.*")
     ids = ids.filter(F.col("id") != "").distinct().withColumn("one", F.lit(1))
-    return ordered_scan(
+    placed = ordered_scan(
         ids, keys=["member"], order=["id"], sums={"position": "one"}, group_limit=group_limit
-    ).drop("one")
+    )
+    return stage(placed.drop("one"), "positions")
 
 
 def _members(positions: DataFrame, member: str) -> DataFrame:
@@ -182,13 +184,6 @@ def fct_capacity(practitioner: DataFrame, calendar: DataFrame, source: str) -> D
     )
 
 
-def month_workdays(calendar: DataFrame) -> DataFrame:
-    """``month_start, workdays`` of the months that have any weekday in the calendar."""
-    return calendar.filter(~F.col("is_weekend")).groupBy("month_start").agg(
-        F.count("*").alias("workdays")
-    )
-
-
 def daily_hours_by(practitioner: DataFrame, source: str, key: str) -> DataFrame:
     """``key, daily_hours``: billable hours per weekday of a practitioner or a home clinic.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelake.fixed_values import LAPSED_AFTER_DAYS
 from carelake.functions.measures import exact_sum, safe_div, value_band
 from carelake.operators.ordering import GROUP_LIMIT, ordered_scan, percent_rank
-from carelake.plans.gold import Star, daily_hours_by, month_workdays
+from carelake.plans.gold import Star, daily_hours_by
 
 # What one row of a mart stands for. Marts of different grain must not be joined.
 GRAIN = {
@@ -25,8 +25,14 @@ def with_month(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     The calendar has one row per day between the first and the last visit, at most 3.7
     million by the range of DATE, so it is broadcast.
     """
-    months = calendar.select("date_key", "month_start", "month_label")
-    return fact.join(F.broadcast(months), "date_key")
+    return fact.join(F.broadcast(calendar.select("date_key", "month_start")), "date_key")
+
+
+def _months(calendar: DataFrame) -> DataFrame:
+    """``month_start, month_label, workdays``; no workdays are NULL."""
+    return calendar.groupBy("month_start", "month_label").agg(
+        F.nullif(F.count_if(~F.col("is_weekend")), F.lit(0)).alias("workdays")
+    )
 
 
 def _count_true(flag: str) -> Column:
@@ -38,15 +44,18 @@ def _delivered_hours() -> Column:
     return F.round(F.sum(F.coalesce("duration_min", F.lit(0))) / 60.0, 2)
 
 
-def _with_capacity(mart: DataFrame, star: Star, key: str) -> DataFrame:
-    """Left join of available hours; NULL for a month or key without capacity.
+def _describe(base: DataFrame, star: Star, dim: DataFrame, key: str, *attributes: str) -> DataFrame:
+    """Add the month's label, the key's attributes and its available hours.
 
-    Both sides are as small as the mart: hours per key and weekdays per month.
+    Attributes follow from the key, so the fact is grouped by the key alone and they are
+    looked up for the few rows of the mart; the shuffle of the fact carries no names. The
+    hours are NULL for a month or a key without capacity.
     """
     hours = daily_hours_by(star.practitioner, star.source, key)
     return (
-        mart.join(hours, key, "left")
-        .join(F.broadcast(month_workdays(star.date)), "month_start", "left")
+        base.join(dim.select(key, *attributes), key, "left")
+        .join(hours, key, "left")
+        .join(F.broadcast(_months(star.date)), "month_start")
         .withColumn("available_hours", F.round(F.col("daily_hours") * F.col("workdays"), 2))
         .drop("daily_hours", "workdays")
     )
@@ -61,7 +70,7 @@ def mart_clinic_monthly(star: Star) -> DataFrame:
     clinic and visits where they happen, so utilisation can exceed 1."""
     base = (
         with_month(star.fact, star.date)
-        .groupBy("clinic_key", "clinic_name", "state", "month_start", "month_label")
+        .groupBy("clinic_key", "month_start")
         .agg(
             F.count("*").alias("appointments_total"),
             _count_true("is_completed").alias("appointments_completed"),
@@ -74,7 +83,7 @@ def mart_clinic_monthly(star: Star) -> DataFrame:
             _delivered_hours().alias("delivered_hours"),
         )
     )
-    mart = _with_capacity(base, star, "clinic_key").withColumns(
+    mart = _describe(base, star, star.clinic, "clinic_key", "clinic_name", "state").withColumns(
         {
             "dna_rate": _ratio("appointments_dna", "appointments_total"),
             "cancellation_rate": _ratio("appointments_cancelled", "appointments_total"),
@@ -91,7 +100,7 @@ def mart_practitioner_monthly(star: Star) -> DataFrame:
     """One row per practitioner and month."""
     base = (
         with_month(star.fact, star.date)
-        .groupBy("practitioner_key", "practitioner_name", "discipline", "month_start", "month_label")
+        .groupBy("practitioner_key", "month_start")
         .agg(
             F.count("*").alias("appointments_total"),
             _count_true("is_completed").alias("appointments_completed"),
@@ -102,7 +111,10 @@ def mart_practitioner_monthly(star: Star) -> DataFrame:
             _delivered_hours().alias("delivered_hours"),
         )
     )
-    return _with_capacity(base, star, "practitioner_key").withColumns(
+    mart = _describe(
+        base, star, star.practitioner, "practitioner_key", "practitioner_name", "discipline"
+    )
+    return mart.withColumns(
         {
             "utilisation_pct": _ratio("delivered_hours", "available_hours"),
             "dna_rate": _ratio("appointments_dna", "appointments_total"),
@@ -115,7 +127,7 @@ def mart_service_monthly(star: Star) -> DataFrame:
     """One row per service, payer and month."""
     return (
         with_month(star.fact, star.date)
-        .groupBy("service_name", "payer_type", "month_start", "month_label")
+        .groupBy("service_name", "payer_type", "month_start")
         .agg(
             F.count("*").alias("appointments_total"),
             _count_true("is_completed").alias("appointments_completed"),
@@ -123,6 +135,7 @@ def mart_service_monthly(star: Star) -> DataFrame:
             exact_sum(F.col("direct_cost_synth")).alias("direct_cost"),
             exact_sum(F.col("margin_synth")).alias("margin"),
         )
+        .join(F.broadcast(_months(star.date).drop("workdays")), "month_start")
         .withColumn("margin_pct", _ratio("margin", "revenue"))
     )
 

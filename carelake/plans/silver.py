@@ -41,19 +41,24 @@ def identifiers() -> list:
 
 def typed_visits(bronze: DataFrame) -> DataFrame:
     """Source fields renamed, read as their types, and conformed; one row per version."""
-    start = compose_timestamp(F.col("appointmentDate"), F.col("appointmentStartTime"))
-    end = compose_timestamp(F.col("appointmentDate"), F.col("appointmentEndTime"))
     text = lambda field, name: F.col(field).cast("string").alias(name)
-    return bronze.select(
+    day = F.col("appointmentDate")
+    timed = bronze.withColumns(
+        {
+            "start_ts": compose_timestamp(day, F.col("appointmentStartTime")),
+            "end_ts": compose_timestamp(day, F.col("appointmentEndTime")),
+        }
+    )
+    return timed.select(
         text("ID", "src_appointment_id"),
         text("patientID", "src_patient_id"),
         text("practitionerID", "src_practitioner_id"),
         text("locationID", "src_clinic_id"),
         text("appointmentTypeID", "src_service_id"),
         F.col("appointmentType").alias("service_name"),
-        start.alias("start_ts"),
-        end.alias("end_ts"),
-        duration_minutes(start, end).alias("duration_min"),
+        "start_ts",
+        "end_ts",
+        duration_minutes(F.col("start_ts"), F.col("end_ts")).alias("duration_min"),
         status_from_flags(F.col("cancelled"), F.col("DNA"), F.col("arrived")).alias("status"),
         F.col("cancelled").alias("flag_cancelled_raw"),
         F.col("DNA").alias("flag_dna_raw"),

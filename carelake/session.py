@@ -20,6 +20,8 @@ def local_session(cpus: int | str = "*", driver_memory: str = "16g") -> SparkSes
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Python call sites in plans cost about as much time as small queries take.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -62,7 +62,7 @@ def _person(number: Column, turn: Column) -> dict[str, Column]:
         "patient_last_name": F.lit("O'Neil"),
         "patient_email": email,
         "patient_phone": phone,
-        "patient_dob": F.when(~_every(number, 7), F.date_format(birth, "yyyy-MM-dd")),
+        "patient_dob": F.when(~_every(number, 7), birth.cast("string")),
         "postcode": F.concat(F.lit("2"), F.lpad((person % 300).cast("string"), 3, "0")),
     }
 
@@ -84,7 +84,7 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_minute = 480 + 15 * (part % 40)
     length = F.col("l_quantity").cast("int")
     end_minute = F.when(length == 47, start_minute - 30).otherwise(start_minute + length)
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = F.col("l_shipdate").cast("date").cast("string")
     modified = F.col("l_shipdate") + F.make_dt_interval(mins=(part % 2880).cast("int"))
     flag = lambda on: F.when(on, "1").otherwise("0")
     return line.join(orders.hint("merge"), "l_orderkey").select(
@@ -109,13 +109,13 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(part, 9), day).alias("cancellationDate"),
         F.when(_every(part, 4), "patient called, sick").alias("Notes"),
         *[c.alias(n) for n, c in _person(F.col("o_custkey"), line_no).items()],
-        F.date_format(modified, "yyyy-MM-dd HH:mm:ss").alias("lastModified"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("dateCreated"),
+        modified.cast("string").alias("lastModified"),
+        F.col("o_orderdate").cast("string").alias("dateCreated"),
         F.date_trunc("month", F.col("l_shipdate").cast("timestamp")).alias("_ingest_ts"),
         F.concat(F.lit("batch-"), (order_no % 8).cast("string")).alias("_batch_id"),
         F.sha2(
             F.concat_ws(
-                "|", order_no, line_no, part, "l_suppkey", length, F.date_format("l_shipdate", "yyyy-MM-dd")
+                "|", order_no, line_no, part, "l_suppkey", length, day
             ),
             256,
         ).alias("_payload_hash"),
