@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def utc_now_iso() -> Column:
+    """The time of the query as ISO text in UTC, for run metadata (F17). The session's time
+    zone is UTC."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+
+
 def financial_year(day: Column) -> Column:
     """Australian financial year as ``YYYY-YYYY``; it starts in July."""
     first = F.when(F.month(day) >= 7, F.year(day)).otherwise(F.year(day) - 1)

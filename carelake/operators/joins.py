@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from carelake.session import stage
 
 # A lookup up to this many rows is broadcast whole.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 # A key is hot when it holds more than 1/HOT_PARTS of all rows; there are fewer than
 # HOT_PARTS such keys, whatever the data.
 HOT_PARTS = 1_000

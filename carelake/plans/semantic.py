@@ -25,6 +25,17 @@ AMOUNTS = ["revenue", "direct_cost", "margin", "delivered_hours", "available_hou
 RECOGNISED_MEASURES = {"revenue", "direct_cost", "margin", "margin_pct", "utilisation_pct"}
 
 
+def in_report_order(name: str, mart: DataFrame) -> DataFrame:
+    """A mart sorted for reading (O01). Stored marts are not sorted."""
+    order = {
+        "mart_clinic_monthly": ["month_start", "clinic_name", "clinic_key"],
+        "mart_practitioner_monthly": ["month_start", F.desc_nulls_last("revenue"), "practitioner_key"],
+        "mart_service_monthly": ["month_start", F.desc_nulls_last("revenue"), "service_name"],
+        "mart_patient_summary": [F.desc_nulls_last("lifetime_revenue"), "patient_key"],
+    }
+    return mart.orderBy(*order[name])
+
+
 def rollup_ratios(mart: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Totals per key, with every rate computed again from its totals.
 

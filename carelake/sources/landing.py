@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.fixed_values import ENTITIES
 from carelake.functions.visits import local_date, read_timestamp
 
 # Batch id and date as they stand in the path of a landed file. Spark names the files of
@@ -17,6 +18,23 @@ BATCH_FILE = r"/([^/]+)_\d{5}\.json$"
 DATE_FOLDER = r"/dt=([^/]+)/"
 
 
+def response_records(responses: DataFrame, entity: str) -> DataFrame:
+    """``value``: every record of the source's responses as its own JSON text.
+
+    Each entity has its records under a key of its own. A response can arrive in good order
+    and still report a failure, which must not pass for an empty result.
+    """
+    records = F.get_json_object("value", f"$.data.results.{ENTITIES[entity]['results_key']}")
+    failure = F.concat(
+        F.lit("the source reports a failure: "),
+        F.coalesce(F.get_json_object("value", "$.details.errorMessage"), F.lit("no message")),
+    )
+    checked = F.when(
+        F.get_json_object("value", "$.status") == "failure", F.raise_error(failure).cast("string")
+    ).otherwise(records)
+    return responses.select(F.explode(F.from_json(checked, "array<string>")).alias("value"))
+
+
 def business_date(instant: Column, timezone: str) -> Column:
     """The clinic's calendar date, which early in the day is ahead of the UTC date."""
     return local_date(instant, timezone)

@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 from carelake.sources.landing import BATCH_FILE, BATCH_FOLDER, DATE_FOLDER
 
 _CORRUPT = "_corrupt_record"
+# A load of a long backlog is committed in steps of this many files.
+FILES_PER_STEP = 10_000
 
 
 def source_schema(spark: SparkSession, landing_path: str, checkpoint: str) -> StructType:
@@ -51,6 +53,7 @@ def landed_lines(spark: SparkSession, landing_path: str) -> DataFrame:
     return (
         spark.readStream.format("text")
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", FILES_PER_STEP)
         .load(landing_path)
         .select("value", F.col("_metadata.file_path").alias("_source_file"))
     )

@@ -233,17 +233,17 @@ def capacity_practitioner_monthly(spark, sf_dir):
 
 @_query
 def mart_clinic_monthly(spark, sf_dir):
-    return marts.mart_clinic_monthly(_star(spark, sf_dir))
+    return semantic.in_report_order("mart_clinic_monthly", marts.mart_clinic_monthly(_star(spark, sf_dir)))
 
 
 @_query
 def mart_practitioner_monthly(spark, sf_dir):
-    return marts.mart_practitioner_monthly(_star(spark, sf_dir))
+    return semantic.in_report_order("mart_practitioner_monthly", marts.mart_practitioner_monthly(_star(spark, sf_dir)))
 
 
 @_query
 def mart_service_monthly(spark, sf_dir):
-    return marts.mart_service_monthly(_star(spark, sf_dir))
+    return semantic.in_report_order("mart_service_monthly", marts.mart_service_monthly(_star(spark, sf_dir)))
 
 
 @_query
@@ -253,7 +253,8 @@ def visit_gaps(spark, sf_dir):
 
 @_query
 def mart_patient_summary(spark, sf_dir):
-    return marts.mart_patient_summary(_star(spark, sf_dir).fact, F.to_date(_as_of()))
+    mart = marts.mart_patient_summary(_star(spark, sf_dir).fact, F.to_date(_as_of()))
+    return semantic.in_report_order("mart_patient_summary", mart)
 
 
 @_query
@@ -351,6 +352,10 @@ def party_components(spark, sf_dir):
 # --- Questions over the marts -----------------------------------------------------
 
 
+def _clinic_mart(spark, sf_dir) -> DataFrame:
+    return marts.mart_clinic_monthly(_star(spark, sf_dir))
+
+
 @_query
 def status_counts(spark, sf_dir):
     return semantic.status_counts(_appointment(spark, sf_dir))
@@ -358,39 +363,39 @@ def status_counts(spark, sf_dir):
 
 @_query
 def dna_by_clinic(spark, sf_dir):
-    return semantic.dna_by_clinic(mart_clinic_monthly(spark, sf_dir))
+    return semantic.dna_by_clinic(_clinic_mart(spark, sf_dir))
 
 
 @_query
 def dna_headline(spark, sf_dir):
-    return semantic.dna_headline(semantic.dna_by_clinic(mart_clinic_monthly(spark, sf_dir)))
+    return semantic.dna_headline(semantic.dna_by_clinic(_clinic_mart(spark, sf_dir)))
 
 
 @_query
 def top_clinic_months(spark, sf_dir):
-    return semantic.top_clinic_months(mart_clinic_monthly(spark, sf_dir))
+    return semantic.top_clinic_months(_clinic_mart(spark, sf_dir))
 
 
 @_query
 def rollup_ratios(spark, sf_dir):
-    return semantic.rollup_ratios(mart_clinic_monthly(spark, sf_dir), ["clinic_key"])
+    return semantic.rollup_ratios(_clinic_mart(spark, sf_dir), ["clinic_key"])
 
 
 @_query
 def rank_entities(spark, sf_dir):
-    return semantic.rank_entities(mart_clinic_monthly(spark, sf_dir), ["clinic_key"], "dna_rate")
+    return semantic.rank_entities(_clinic_mart(spark, sf_dir), ["clinic_key"], "dna_rate")
 
 
 @_query
 def rank_future_excluded(spark, sf_dir):
     return semantic.rank_entities(
-        mart_practitioner_monthly(spark, sf_dir), ["practitioner_key"], "margin_pct"
+        marts.mart_practitioner_monthly(_star(spark, sf_dir)), ["practitioner_key"], "margin_pct"
     )
 
 
 @_query
 def normalise_rates(spark, sf_dir):
-    mart = stage(mart_clinic_monthly(spark, sf_dir), "mart")
+    mart = stage(_clinic_mart(spark, sf_dir), "mart")
     return semantic.normalise_rates(
         mart.select("clinic_key", "month_label", "dna_rate", "cancellation_rate", "utilisation_pct", "margin_pct")
     )

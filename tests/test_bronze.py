@@ -92,6 +92,15 @@ def test_a_retry_replaces_its_own_files(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == [('{"ID":1,"note":null}', "run-2"), ('{"ID":9,"note":"z"}', "run-1")]
 
 
+def test_records_of_a_response(spark, rows):
+    one = lambda text: spark.createDataFrame([(text,)], "value string")
+    good = '{"status":"success","data":{"results":{"services":[{"ID":1,"a":{"b":2}},{"ID":2}]}}}'
+    assert rows(landing.response_records(one(good), "appointment_types")) == [('{"ID":1,"a":{"b":2}}',), ('{"ID":2}',)]
+    assert rows(landing.response_records(one(good), "patients")) == []
+    with pytest.raises(Exception, match="bad key"):
+        landing.response_records(one('{"status":"failure","details":{"errorMessage":"bad key"}}'), "patients").collect()
+
+
 def test_changed_since(spark):
     df = spark.createDataFrame(
         [(1, "2024-03-01 10:00:00"), (2, "2024-03-01T12:00:00Z"), (3, None), (4, "soon")], "id int, m string"

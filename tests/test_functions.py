@@ -187,6 +187,11 @@ def test_calendar_fields(spark):
     assert (got[1]["fin_year"], got[1]["is_weekend"], got[1]["quarter"]) == ("2024-2025", False, "2024-Q3")
 
 
+def test_utc_now_iso(spark):
+    got = dt.datetime.fromisoformat(spark.range(1).select(calendar.utc_now_iso()).first()[0])
+    assert abs(dt.datetime.now(dt.timezone.utc) - got) < dt.timedelta(minutes=5)
+
+
 def test_local_date_is_ahead_of_utc(spark):
     df = spark.sql("select timestamp '2024-03-01 19:00:00' as t")
     assert df.select(visits.local_date(F.col("t"), "Australia/Sydney")).first()[0] == dt.date(2024, 3, 2)
