@@ -125,6 +125,8 @@ def test_full_run_then_increment(spark, lake):
     audit = ops_log.audit_state(spark.table(lake.table("ops", "ingest_audit"))).orderBy("started_at").collect()
     assert [(r["batch_id"], r["status"]) for r in audit] == [("run-1", "SUCCEEDED"), ("run-2", "SUCCEEDED")]
     assert sum(r["record_count"] for r in audit) == feed.count()
+    stored = quality.latest_first(spark.table(lake.table("ops", "dq_results"))).collect()
+    assert len({r["run_ts"] for r in stored[:12]}) == 1 and stored[0]["run_ts"] > stored[-1]["run_ts"]
     trend = ops_log.dq_trend(spark.table(lake.table("ops", "dq_results")))
     assert trend.count() == 24 and trend.filter("previous_value IS NOT NULL").count() == 12
 
