@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelake.config import LakeConfig
 from carelake.fixed_values import GOLD_TABLES
 from carelake.plans import gold, marts, quality, silver
-from carelake.session import stage, tune
+from carelake.session import stage, staging, tune
 from carelake.sources import landing, ops_log
 from carelake.sources.tables import overwrite_table, table_census
 from carelake.streaming import bronze
@@ -99,9 +99,10 @@ def run(spark: SparkSession, config: LakeConfig, records: DataFrame, as_of: Colu
     """One full run; gold is not touched unless the quality gate passes. Returns warnings."""
     tune(spark)
     ops_log.bootstrap(spark, config.catalog, config.storage_root)
-    extract(spark, config, records)
-    build_bronze(spark, config)
-    build_silver(spark, config)
-    warnings = check_silver(spark, config, as_of)
-    build_gold(spark, config, as_of)
+    with staging(spark):
+        extract(spark, config, records)
+        build_bronze(spark, config)
+        build_silver(spark, config)
+        warnings = check_silver(spark, config, as_of)
+        build_gold(spark, config, as_of)
     return warnings

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def local_session(cpus: int | str = "*", driver_memory: str = "16g") -> SparkSession:
@@ -59,8 +61,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    app = spark.conf.get("spark.app.id")
-    return f"{shared_dir(spark)}/carelake/{app}/{label}-{uuid.uuid4().hex}"
+    scope = _scopes[-1] if _scopes else f"{shared_dir(spark)}/carelake/{spark.conf.get('spark.app.id')}"
+    return f"{scope}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Remove, at the end, the intermediate tables that are staged meanwhile. For work that
+    ends in written tables; a DataFrame that reads a staged one must not outlive this."""
+    scope = new_path(spark, "run")
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        path = spark._jvm.org.apache.hadoop.fs.Path(scope)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

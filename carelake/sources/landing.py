@@ -43,10 +43,12 @@ def business_date(instant: Column, timezone: str) -> Column:
 def write_landing(records: DataFrame, path: str, batch_id: str, dt: Column) -> None:
     """Land every record as one line of JSON under ``dt=.../batch_id=...``.
 
-    A retry with the same batch id replaces the files of the first attempt. NULL fields are
-    written, so that they are seen when the schema is inferred.
+    A retry with the same batch id replaces the files of the first attempt. Columns that
+    begin with an underscore are ours and not the source's, and stay out (P15). NULL fields
+    are written, so that they are seen when the schema is inferred.
     """
-    line = F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"})
+    fields = [c for c in records.columns if not c.startswith("_")]
+    line = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     lines = records.select(
         line.alias("value"),
         F.date_format(dt, "yyyy-MM-dd").alias("dt"),

@@ -84,7 +84,7 @@ def test_batch_id_from_a_file_name(spark):
 
 def test_a_retry_replaces_its_own_files(spark, tmp_path):
     path, day = f"{tmp_path}/landing", F.lit("2024-03-01").cast("date")
-    first = spark.createDataFrame([(1, None), (2, "b")], "ID int, note string")
+    first = spark.createDataFrame([(1, None), (2, "b")], "ID int, note string").withColumn("_seen", F.lit(1))
     landing.write_landing(first, path, "run-1", day)
     landing.write_landing(first.limit(1), path, "run-2", day)
     landing.write_landing(spark.createDataFrame([(9, "z")], "ID int, note string"), path, "run-1", day)

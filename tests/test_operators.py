@@ -4,9 +4,11 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from carelake import session
 from carelake.operators import components, dedupe, joins, matching, ordering
 
 
@@ -80,6 +82,16 @@ def test_join_dim(spark, rows):
     assert rows(got) == [(1, "a", "canonical"), (2, None, None), (3, "x", None)]
 
 
+def test_staged_tables_are_removed_at_the_end_of_a_run(spark):
+    outside = session.stage(spark.range(3), "kept")
+    with session.staging(spark) as scope:
+        inside = session.stage(spark.range(5), "gone")
+        assert inside.count() == 5 and inside.inputFiles()[0].removeprefix("file://").startswith(scope.removeprefix("file:"))
+    assert outside.count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(scope)
+
+
 def test_latest_per_key_and_duplicates(spark, rows):
     data = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "p"), ("b", 1, "q"), (None, 1, "n"), (None, 2, "m")]
     df = spark.createDataFrame(data, "k string, t int, h string")
