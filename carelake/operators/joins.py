@@ -54,10 +54,10 @@ def join_back(
     )
     columns = [*rows.columns, *extra]
 
-    totals = summary.agg(F.count("*").alias("keys"), F.sum(size).alias("n")).first()
-    if totals["keys"] <= broadcast_rows:
+    if summary.count() <= broadcast_rows:
         return rows.join(F.broadcast(renamed), equal).select(*columns)
-    is_hot = F.col(size) * HOT_PARTS > F.lit(totals["n"])
+    total = summary.agg(F.sum(size)).first()[0]
+    is_hot = F.col(size) * HOT_PARTS > F.lit(total)
     hot = renamed.filter(is_hot)
     of_hot_keys = rows.join(F.broadcast(hot), equal).select(*columns)
     of_other_keys = rows.join(F.broadcast(hot), equal, "left_anti")

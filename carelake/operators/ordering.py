@@ -41,14 +41,19 @@ def ordered_scan(
     """
     sums, previous = dict(sums or {}), dict(previous or {})
     rows = stage(df, "ordered")
-    sizes = rows.groupBy(*keys).count().agg(F.max("count").alias("top"), F.sum("count").alias("n"))
-    size = sizes.first()
-    if (size["top"] or 0) <= group_limit:
+    # Counting a written table reads only file footers; the largest group matters only in
+    # a table that is larger than one may be.
+    total = rows.count()
+    if total <= group_limit or _largest_group(rows, keys) <= group_limit:
         return _scan(rows, keys, order, sums, previous)
-    ranges = min(max(math.ceil(2 * size["n"] / group_limit), 2), MAX_RANGES)
+    ranges = min(max(math.ceil(2 * total / group_limit), 2), MAX_RANGES)
     return _scan_by_range(rows, keys, order, sums, previous, ranges)
 
 
+def _largest_group(rows, keys) -> int:
+    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0]
+
+
 def _scan(rows, keys, order, sums, previous):
     ordered = Window.partitionBy(*keys).orderBy(*order)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
