@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from carelake.operators.joins import join_back
 from carelake.session import stage
 
-MAX_ROUNDS = 100
 
-
-def connected_components(nodes: DataFrame, links: DataFrame, *, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``node, component`` with the smallest node of each component as its name.
 
     ``nodes(node)`` distinct; ``links(a, b)`` undirected. Alternates the large-star and
@@ -27,32 +25,24 @@ def connected_components(nodes: DataFrame, links: DataFrame, *, max_rounds: int
         .distinct(),
         "links",
     )
-    mark = _mark(edges)
-    for _ in range(max_rounds):
-        edges = stage(_small_star(stage(_large_star(edges), "large-star")), "small-star")
-        last, mark = mark, _mark(edges)
-        if mark == last:
-            break
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
+    settled = False
+    while not settled:
+        before = edges
+        edges = stage(_small_star(stage(_large_star(before), "large-star")), "small-star")
+        settled = _same(before, edges)
     return nodes.join(edges.select(F.col("u").alias("node"), "v"), "node", "left").select(
         "node", F.coalesce("v", "node").alias("component")
     )
 
 
-def _mark(edges: DataFrame):
-    row = edges.agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
-    ).first()
-    return row["n"], row["h"]
+def _same(before: DataFrame, after: DataFrame) -> bool:
+    """Whether two sets of edges are equal: as many, and none of one that the other lacks."""
+    return before.count() == after.count() and after.join(before, ["u", "v"], "left_anti").isEmpty()
 
 
 def _with_smallest(pairs: DataFrame) -> DataFrame:
-    smallest = pairs.groupBy("u").agg(
-        F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("_n")
-    )
-    return join_back(pairs, smallest, ["u"], "_n")
+    smallest = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return join_back(pairs, smallest, ["u"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -10,41 +10,27 @@ from pyspark.sql import functions as F
 
 from carelake.session import stage
 
-# A lookup up to this many rows is broadcast whole.
-BROADCAST_ROWS = 250_000
-# A key is hot when it holds more than 1/HOT_PARTS of all rows; there are fewer than
-# HOT_PARTS such keys, whatever the data.
-HOT_PARTS = 1_000
 
+def with_attributes(rows: DataFrame, lookup: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """``rows`` with ``attributes`` of the ``lookup`` row of the same ``key``.
 
-def join_dim(fact: DataFrame, dim: DataFrame, on: str, keep: Sequence[str]) -> DataFrame:
-    """Left join of a dimension, of which only ``keep`` is taken.
-
-    The dimension is canonical: fact columns of the same name give way. A fact row whose
-    id is NULL or unknown stays, with NULL attributes.
-
-    There is no broadcast hint: dimensions are scans of written tables, so the optimizer
-    broadcasts one exactly when its measured size is under the session's threshold, and
-    otherwise joins by shuffle, where adaptive execution splits a skewed id.
+    Every row stays; without a match its attributes are NULL. ``rows`` brings only columns
+    of its own: naming an attribute it already has is an error of the caller. No hint is
+    given: a written lookup is broadcast when its measured size is under the session's
+    threshold, and otherwise joined by shuffle, where adaptive execution splits a skewed key.
     """
-    clash = [c for c in keep if c in fact.columns]
-    return fact.drop(*clash).join(dim.select(on, *keep), on, "left")
+    taken = set(attributes) & set(rows.columns)
+    if taken:
+        raise ValueError(f"already in the rows: {sorted(taken)}")
+    return rows.join(lookup.select(key, *attributes), on=key, how="left")
 
 
-def join_back(
-    rows: DataFrame,
-    summary: DataFrame,
-    keys: Sequence[str],
-    size: str,
-    *,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Inner join of ``rows`` with a per-key summary of them; NULL keys are equal.
+def join_back(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of ``rows`` with a summary that has one row per key; NULL keys are equal.
 
-    ``summary`` has one row per key and, in column ``size``, the number of ``rows`` with
-    that key. Small summaries are broadcast after a look at their length. Otherwise the hot
-    keys are broadcast, of which there are fewer than HOT_PARTS by counting, and only rows
-    of keys that fit one task are shuffled.
+    The summary is written first, so both sides of the join are plain exchanges of known
+    size: adaptive execution broadcasts a small summary, and cuts the partition of a key
+    that holds too many rows into pieces, each with its own copy of the one summary row.
     """
     summary = stage(summary, "summary")
     extra = [c for c in summary.columns if c not in keys]
@@ -52,15 +38,4 @@ def join_back(
     equal = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     )
-    columns = [*rows.columns, *extra]
-
-    if summary.count() <= broadcast_rows:
-        return rows.join(F.broadcast(renamed), equal).select(*columns)
-    total = summary.agg(F.sum(size)).first()[0]
-    is_hot = F.col(size) * HOT_PARTS > F.lit(total)
-    hot = renamed.filter(is_hot)
-    of_hot_keys = rows.join(F.broadcast(hot), equal).select(*columns)
-    of_other_keys = rows.join(F.broadcast(hot), equal, "left_anti")
-    return of_hot_keys.unionByName(
-        of_other_keys.join(renamed.filter(~is_hot), equal).select(*columns)
-    )
+    return rows.join(renamed, equal).select(*rows.columns, *extra)

@@ -48,7 +48,7 @@ def match_blocks(parties: DataFrame) -> DataFrame:
         )
         .filter("block_size > 1")
     )
-    return join_back(members, blocks, _BLOCK, "block_size")
+    return join_back(members, blocks, _BLOCK)
 
 
 def match_links(parties: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
 """Running sums and previous values that survive one group holding most of the rows.
 
-A window over a key sorts each key's rows in one task. That is the right plan while the
-largest group is small, and no plan at all when one patient, or the whole table, is the
-group. ``ordered_scan`` looks at the largest group first and splits by range if needed.
+A window over a key sorts each key's rows in one task, which is no plan at all when one
+patient, or the whole table, is the group. ``ordered_scan`` divides the rows by ranges of
+key *and* order, so a group is as many pieces as its size asks for, and hands each piece
+what the pieces before it add up to. The plan is the same at every size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -16,11 +16,6 @@ from pyspark.sql import functions as F
 
 from carelake.session import stage
 
-# Rows of one group that one task may sort.
-GROUP_LIMIT = 5_000_000
-# One row per range is broadcast at most, so this bounds the broadcast as well.
-MAX_RANGES = 20_000
-
 
 def ordered_scan(
     df: DataFrame,
@@ -29,7 +24,6 @@ def ordered_scan(
     order: Sequence[str],
     sums: Mapping[str, str] | None = None,
     previous: Mapping[str, str] | None = None,
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Add, per group of ``keys`` in ascending ``order`` (NULLs first):
 
@@ -37,41 +31,17 @@ def ordered_scan(
     - ``previous``: new column -> column whose value on the row before is taken.
 
     No two rows of a group may be equal in all ``order`` columns: that is what makes the
-    result one and the same on every run, and what lets any group be split.
+    result one and the same on every run, and what lets any group be split. There are as
+    many ranges as the session has shuffle partitions, at most; one row per range is
+    broadcast.
     """
     sums, previous = dict(sums or {}), dict(previous or {})
+    columns = df.columns
+    # Range bounds are sampled, so the input is computed once, before; and the range number
+    # is written down with the rows: all that follows sees one and the same division.
     rows = stage(df, "ordered")
-    # Counting a written table reads only file footers; the largest group matters only in
-    # a table that is larger than one may be.
-    total = rows.count()
-    if total <= group_limit or _largest_group(rows, keys) <= group_limit:
-        return _scan(rows, keys, order, sums, previous)
-    ranges = min(max(math.ceil(2 * total / group_limit), 2), MAX_RANGES)
-    return _scan_by_range(rows, keys, order, sums, previous, ranges)
-
-
-def _largest_group(rows, keys) -> int:
-    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0]
-
-
-def _scan(rows, keys, order, sums, previous):
-    ordered = Window.partitionBy(*keys).orderBy(*order)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumns(
-        {
-            **{out: F.coalesce(F.sum(c).over(before), F.lit(0)) for out, c in sums.items()},
-            **{out: F.lag(c).over(ordered) for out, c in previous.items()},
-        }
-    )
-
-
-def _scan_by_range(rows, keys, order, sums, previous, ranges):
-    # Range bounds are sampled anew on each run of a plan, so the range number is written
-    # down with the rows: everything after this line sees one and the same division.
     ranged = stage(
-        rows.repartitionByRange(ranges, *keys, *order).withColumn(
-            "_range", F.spark_partition_id()
-        ),
+        rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()),
         "ranged",
     )
     piece = ["_range", *keys]
@@ -88,7 +58,6 @@ def _scan_by_range(rows, keys, order, sums, previous, ranges):
             F.broadcast(begins), _null_safe({k: f"_b_{k}" for k in keys}), "left_semi"
         )
     pieces = split_groups.groupBy(*piece).agg(
-        F.min(F.struct(*order)).alias("_at"),
         *[F.sum(c).alias(f"_s_{out}") for out, c in sums.items()],
         *[
             F.max_by(F.struct(F.col(c).alias("v")), F.struct(*order)).alias(f"_p_{out}")
@@ -108,7 +77,7 @@ def _scan_by_range(rows, keys, order, sums, previous, ranges):
     same_piece = _null_safe({"_range": "_h_range", **{k: f"_h_{k}" for k in keys}})
     joined = local.join(F.broadcast(handed_on), same_piece, "left")
     return joined.select(
-        *rows.columns,
+        *columns,
         *[(F.col(out) + F.coalesce(f"_hs_{out}", F.lit(0))).alias(out) for out in sums],
         *[
             F.when(F.col("_first"), F.col(f"_hp_{out}.v")).otherwise(F.col(out)).alias(out)
@@ -117,14 +86,23 @@ def _scan_by_range(rows, keys, order, sums, previous, ranges):
     )
 
 
+def _scan(rows, keys, order, sums, previous):
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumns(
+        {
+            **{out: F.coalesce(F.sum(c).over(before), F.lit(0)) for out, c in sums.items()},
+            **{out: F.lag(c).over(ordered) for out, c in previous.items()},
+        }
+    )
+
+
 def _null_safe(pairs: Mapping[str, str]):
     equal = [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs.items()]
     return reduce(lambda x, y: x & y, equal)
 
 
-def percent_rank(
-    df: DataFrame, value: str, out: str, *, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
+def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     """Add ``percent_rank() over (order by value)`` without sorting all rows in one task.
 
     Rows of one value share one rank, so only the distinct values and their counts need an
@@ -134,13 +112,7 @@ def percent_rank(
 
     rows = stage(df, "ranked")
     values = rows.groupBy(value).agg(F.count("*").alias("_n"))
-    below = ordered_scan(
-        values, keys=[], order=[value], sums={"_below": "_n"}, group_limit=group_limit
-    )
+    below = ordered_scan(values, keys=[], order=[value], sums={"_below": "_n"})
     total = rows.count()
-    rank = below.select(
-        value,
-        "_n",
-        (F.col("_below") / F.lit(float(max(total - 1, 1)))).alias(out),
-    )
-    return join_back(rows, rank, [value], "_n").drop("_n")
+    rank = below.select(value, (F.col("_below") / F.lit(float(max(total - 1, 1)))).alias(out))
+    return join_back(rows, rank, [value])

@@ -11,8 +11,8 @@ from carelake import fixed_values as fixed
 from carelake.functions.calendar import calendar_fields
 from carelake.functions.identity import surrogate_key
 from carelake.functions.measures import direct_cost, revenue
-from carelake.operators.joins import join_dim
-from carelake.operators.ordering import GROUP_LIMIT, ordered_scan
+from carelake.operators.joins import with_attributes
+from carelake.operators.ordering import ordered_scan
 from carelake.session import stage
 
 MEMBER_IDS = {
@@ -45,23 +45,19 @@ def dim_date(appointment: DataFrame) -> DataFrame:
     return spine.select("date_key", *[c.alias(n) for n, c in calendar_fields(F.col("date_key")).items()])
 
 
-def member_positions(
-    appointment: DataFrame, members=tuple(MEMBER_IDS), *, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
+def member_positions(appointment: DataFrame, members=tuple(MEMBER_IDS)) -> DataFrame:
     """``member, id, position``: the distinct ids of each dimension and their place, from 0,
     in text order (so "10" comes before "2") (A10).
 
     One pass over the visits for all dimensions. Ids are reduced to distinct ones before
-    they are ordered, and an id list too long for one task is ordered by range.
+    they are ordered, and a list of ids is ordered by ranges, not in one task.
     """
     entries = F.array(
         *[F.struct(F.lit(m).alias("member"), F.col(MEMBER_IDS[m]).alias("id")) for m in members]
     )
     ids = appointment.select(F.explode(entries).alias("e")).select("e.*")
     ids = ids.filter(F.col("id") != "").distinct().withColumn("one", F.lit(1))
-    placed = ordered_scan(
-        ids, keys=["member"], order=["id"], sums={"position": "one"}, group_limit=group_limit
-    )
+    placed = ordered_scan(ids, keys=["member"], order=["id"], sums={"position": "one"})
     return stage(placed.drop("one"), "positions")
 
 
@@ -130,13 +126,14 @@ def fct_appointment(
     appointment: DataFrame, service: DataFrame, practitioner: DataFrame, clinic: DataFrame
 ) -> DataFrame:
     """Visits with dimension attributes and money (D05). Deleted visits are left out."""
-    visits = appointment.filter(~F.col("is_deleted"))
-    visits = join_dim(visits, service, "src_service_id", ["service_name", "standard_fee_synth", "payer_type"])
-    visits = join_dim(
-        visits, practitioner, "src_practitioner_id", ["practitioner_name", "discipline", "hourly_cost_synth"]
-    )
-    visits = join_dim(visits, clinic, "src_clinic_id", ["clinic_name", "state", "treatment_rooms"])
-    priced = visits.withColumns(
+    described = appointment.filter("NOT is_deleted").select(*APPOINTMENT_INPUT)
+    for lookup, key, attributes in (
+        (clinic, "src_clinic_id", ["clinic_name", "state"]),
+        (practitioner, "src_practitioner_id", ["practitioner_name", "discipline", "hourly_cost_synth"]),
+        (service, "src_service_id", ["service_name", "payer_type", "standard_fee_synth"]),
+    ):
+        described = with_attributes(described, lookup, key, attributes)
+    priced = described.withColumns(
         {
             "revenue_synth": revenue(F.col("status"), F.col("payer_type"), F.col("standard_fee_synth")),
             "direct_cost_synth": direct_cost(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.fixed_values import LAPSED_AFTER_DAYS
 from carelake.functions.measures import exact_sum, safe_div, value_band
-from carelake.operators.ordering import GROUP_LIMIT, ordered_scan, percent_rank
+from carelake.operators.ordering import ordered_scan, percent_rank
 from carelake.plans.gold import Star, daily_hours_by
 
 # What one row of a mart stands for. Marts of different grain must not be joined.
@@ -140,7 +140,7 @@ def mart_service_monthly(star: Star) -> DataFrame:
     )
 
 
-def visit_gaps(fact: DataFrame, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def visit_gaps(fact: DataFrame) -> DataFrame:
     """Completed visits with their number, the visit before and the days between, per
     patient (W02, W03). Visits at one time are ordered by key."""
     visits = fact.filter("is_completed").select(
@@ -152,7 +152,6 @@ def visit_gaps(fact: DataFrame, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
         order=["start_ts", "appointment_key"],
         sums={"visits_before": "one"},
         previous={"prev_visit": "start_ts"},
-        group_limit=group_limit,
     ).select(
         "patient_key",
         "appointment_key",
@@ -195,9 +194,7 @@ def patient_summary(fact: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def mart_patient_summary(fact: DataFrame, as_of: Column, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def mart_patient_summary(fact: DataFrame, as_of: Column) -> DataFrame:
     """The patient summary with revenue percentile and value band."""
-    ranked = percent_rank(
-        patient_summary(fact, as_of), "lifetime_revenue", "revenue_pctile", group_limit=group_limit
-    )
+    ranked = percent_rank(patient_summary(fact, as_of), "lifetime_revenue", "revenue_pctile")
     return ranked.withColumn("value_band", value_band(F.col("revenue_pctile")))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
-_scopes: list[str] = []
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 def local_session(cpus: int | str = "*", driver_memory: str = "16g") -> SparkSession:
@@ -61,20 +62,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
-    scope = _scopes[-1] if _scopes else f"{shared_dir(spark)}/carelake/{spark.conf.get('spark.app.id')}"
+    scope = _scope.get() or f"{shared_dir(spark)}/carelake/{spark.conf.get('spark.app.id')}"
     return f"{scope}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def staging(spark: SparkSession):
     """Remove, at the end, the intermediate tables that are staged meanwhile. For work that
-    ends in written tables; a DataFrame that reads a staged one must not outlive this."""
+    ends in written tables; a DataFrame that reads a staged one must not outlive this.
+    Each thread has a scope of its own, so runs side by side keep apart."""
     scope = new_path(spark, "run")
-    _scopes.append(scope)
+    outer = _scope.set(scope)
     try:
         yield scope
     finally:
-        _scopes.remove(scope)
+        _scope.reset(outer)
         path = spark._jvm.org.apache.hadoop.fs.Path(scope)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

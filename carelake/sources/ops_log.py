@@ -133,7 +133,7 @@ def audit_finish(
     _audit_row(spark, ref, source, entity, batch_id, record_count, page_count, status, error, False)
 
 
-def audit_state(ledger: DataFrame, *, group_limit: int | None = None) -> DataFrame:
+def audit_state(ledger: DataFrame) -> DataFrame:
     """One row per started run, closed by the earliest later end of its batch id.
 
     The ledger is only ever appended to: a row with ``started_at`` is a start, one with
@@ -148,9 +148,8 @@ def audit_state(ledger: DataFrame, *, group_limit: int | None = None) -> DataFra
         F.coalesce("started_at", "finished_at").alias("_at"),
         is_end.cast("int").alias("_is_end"),
     )
-    limit = {} if group_limit is None else {"group_limit": group_limit}
     log = ordered_scan(
-        log, keys=["batch_id"], order=["_at", "_is_end"], sums={"_ends_before": "_is_end"}, **limit
+        log, keys=["batch_id"], order=["_at", "_is_end"], sums={"_ends_before": "_is_end"}
     )
     starts = log.filter("_is_end = 0").select(
         "source", "entity", "batch_id", "started_at", "_ends_before"

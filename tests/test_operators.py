@@ -25,10 +25,9 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-@pytest.mark.parametrize("limit", [10**6, 40])
-def test_ordered_scan(skewed, rows, keys, limit):
+def test_ordered_scan(skewed, rows, keys):
     got = ordering.ordered_scan(
-        skewed, keys=keys, order=["t", "id"], sums={"before": "w"}, previous={"prev": "v"}, group_limit=limit
+        skewed, keys=keys, order=["t", "id"], sums={"before": "w"}, previous={"prev": "v"}
     )
     w = Window.partitionBy(*keys).orderBy("t", "id")
     want = skewed.withColumn(
@@ -37,22 +36,20 @@ def test_ordered_scan(skewed, rows, keys, limit):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("limit", [10**6, 3])
-def test_ordered_scan_of_nothing_and_little(spark, rows, limit):
+def test_ordered_scan_of_nothing_and_little(spark, rows):
     empty = spark.createDataFrame([], "k string, t int, w int")
-    args = dict(keys=["k"], order=["t"], sums={"before": "w"}, group_limit=limit)
+    args = dict(keys=["k"], order=["t"], sums={"before": "w"})
     assert rows(ordering.ordered_scan(empty, **args)) == []
     one = spark.createDataFrame([("a", None, 1), ("a", 1, 2)], "k string, t int, w int")
     assert rows(ordering.ordered_scan(one, **args)) == [("a", 1, 2, 1), ("a", None, 1, 0)]
 
 
-@pytest.mark.parametrize("limit", [10**6, 10])
-def test_percent_rank(spark, rows, limit):
+def test_percent_rank(spark, rows):
     rng = random.Random(3)
     data = [(i, None if i % 11 == 0 else 0.0 if i % 3 == 0 else rng.randint(0, 200) / 4) for i in range(700)]
     df = spark.createDataFrame(data, "id int, x double").repartition(4)
     want = df.withColumn("p", F.percent_rank().over(Window.orderBy("x")))
-    assert rows(ordering.percent_rank(df, "x", "p", group_limit=limit)) == rows(want)
+    assert rows(ordering.percent_rank(df, "x", "p")) == rows(want)
 
 
 def test_percent_rank_of_one_and_none(spark, rows):
@@ -61,13 +58,12 @@ def test_percent_rank_of_one_and_none(spark, rows):
     assert rows(ordering.percent_rank(one.limit(0), "x", "p")) == []
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_join_back(spark, rows, broadcast_rows):
+def test_join_back(spark, rows):
     # 1500 keys, of which one is hot and NULL is a key like any other.
     data = [(None if i % 100 == 0 else 0 if i % 3 == 0 else i % 1500, i) for i in range(6000)]
     df = spark.createDataFrame(data, "k int, id int")
     summary = df.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
-    got = joins.join_back(df, summary, ["k"], "n", broadcast_rows=broadcast_rows)
+    got = joins.join_back(df, summary, ["k"])
     size, top = defaultdict(int), defaultdict(int)
     for k, i in data:
         size[k] += 1
@@ -75,11 +71,13 @@ def test_join_back(spark, rows, broadcast_rows):
     assert rows(got) == sorted(((k, i, size[k], top[k]) for k, i in data), key=repr)
 
 
-def test_join_dim(spark, rows):
-    fact = spark.createDataFrame([(1, "a", "own"), (2, None, "own"), (3, "x", "own")], "id int, c string, name string")
+def test_with_attributes(spark, rows):
+    fact = spark.createDataFrame([(1, "a"), (2, None), (3, "x")], "id int, c string")
     dim = spark.createDataFrame([("a", "canonical", 9)], "c string, name string, other int")
-    got = joins.join_dim(fact, dim, "c", ["name"]).select("id", "c", "name")
+    got = joins.with_attributes(fact, dim, "c", ["name"]).select("id", "c", "name")
     assert rows(got) == [(1, "a", "canonical"), (2, None, None), (3, "x", None)]
+    with pytest.raises(ValueError):
+        joins.with_attributes(got, dim, "c", ["name"])
 
 
 def test_staged_tables_are_removed_at_the_end_of_a_run(spark):
@@ -114,10 +112,7 @@ def _find_components(nodes, links):
     return sorted((n, root(n)) for n in nodes)
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_connected_components(spark, rows, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(components, "join_back", lambda *a: joins.join_back(*a, broadcast_rows=broadcast_rows))
+def test_connected_components(spark, rows):
     rng = random.Random(5)
     nodes = [f"n{i:03d}" for i in range(240)]
     chain = [(nodes[i], nodes[i + 1]) for i in rng.sample(range(60), 59)]
