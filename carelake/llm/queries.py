@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.llm import packing, records
 from carelake.llm.common import table
 from carelake.llm.sharding import shard_documents
-from carelake.session import tune
+from carelake.session import new_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 16
+SEQUENCE = 2048
+PACKED_END, RECORD_END = 1, 2
+
+
+def tokenizer_file() -> str:
+    """The vocabulary of the two tokenizing queries; operators take any file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +34,27 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: list[Query] = [op1_rendezvous_shards]
+def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = stage(packing.cut(docs, tokenizer_file(), length=SEQUENCE, end_id=PACKED_END), "pieces")
+    return packing.pack(pieces, length=SEQUENCE).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as framed records, and read back."""
+    path = new_path(spark, "records")
+    records.write_records(table(spark, sf_dir, "documents"), path, tokenizer_file(), end_id=RECORD_END)
+    index = records.read_index(spark, path)
+    read = records.with_starts(records.read_records(index, path), index)
+    return read.select(
+        "doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+QUERIES: list[Query] = [op1_rendezvous_shards, op4_cutting_stock_packing, op8_token_records]
 
 
 def all_queries() -> dict[str, Query]:
