@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from carelake.llm.secrets import BASE_RULES, RULES
+
 SHARDS_SQL = """
 WITH RECURSIVE table_bits AS (  -- the 256 entries of the CRC-32 table, eight halvings each
     SELECT i::UINTEGER AS i, i::UINTEGER AS v, 0 AS step FROM range(256) r(i)
@@ -40,5 +42,45 @@ FROM won
 """
 
 
+def _secrets_sql() -> str:
+    """Per rule, the text as matches and the gaps between them; all from the rules' own list."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    found = "\n    UNION ALL\n    ".join(
+        f"SELECT row_no, {place} AS place, {quote(r.kind)} AS kind, {r.least} AS least,"
+        f" regexp_split_to_array(text, {quote(r.regex)}) AS gaps,"
+        f" regexp_extract_all(text, {quote(r.regex)}, 0) AS matches,"
+        f" regexp_extract_all(text, {quote(r.regex)}, {r.group}) AS parts FROM texts"
+        for place, r in enumerate(RULES)
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = {quote(r.kind)}) AS n_{r.kind}" for r in BASE_RULES)
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place)"
+    return f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+),
+found AS (
+    {found}
+),
+numbered AS (
+    SELECT row_no, place, kind, least, gaps, matches, parts, unnest(range(1, len(matches) + 1))::INTEGER AS i FROM found
+),
+spans AS (
+    SELECT row_no, place, kind, list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+        + coalesce(list_sum(list_transform(matches[1:i - 1], lambda m: length(m))), 0) AS start,
+        start + length(matches[i]) AS stop
+    FROM numbered WHERE length(parts[i]) >= least
+),
+listed AS (
+    SELECT row_no, {counts},
+        {listed.replace(')', f') FILTER (place < {len(BASE_RULES)})')} AS base,
+        {listed} AS spans
+    FROM spans GROUP BY row_no
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (row_no)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_rendezvous_shards": SHARDS_SQL}
+    return {"op1_rendezvous_shards": SHARDS_SQL, "op10_trigram_secrets": _secrets_sql()}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import packing, records
+from carelake.llm import packing, quality, records, secrets
 from carelake.llm.common import table
 from carelake.llm.sharding import shard_documents
 from carelake.session import new_path, stage, tune
@@ -43,6 +43,16 @@ def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by rules whose accuracies are estimated from all documents."""
+    docs = table(spark, sf_dir, "documents")
+    measured = stage(docs.select("doc_id", quality.measures(docs["text"]).alias("of")), "measured")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality.judge(measured, "of").select(
+        "doc_id", *[f"of.{c}" for c in base], "base_failed", "kept", "posterior"
+    )
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as framed records, and read back."""
     path = new_path(spark, "records")
@@ -54,7 +64,30 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: list[Query] = [op1_rendezvous_shards, op4_cutting_stock_packing, op8_token_records]
+def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scanned for secrets by an inverted index of trigrams."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    base = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[of_kind(k) for k in kinds],
+        F.sha2(F.encode(secrets.listed(base), "UTF-8"), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+QUERIES: list[Query] = [
+    op1_rendezvous_shards,
+    op4_cutting_stock_packing,
+    op6_weak_supervision,
+    op8_token_records,
+    op10_trigram_secrets,
+]
 
 
 def all_queries() -> dict[str, Query]:
