@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from carelake.llm.queries import DOMAINS, MIX_LEVELS, MIX_SEED, MIX_WEIGHTS
 from carelake.llm.secrets import BASE_RULES, RULES
 
 SHARDS_SQL = """
@@ -82,5 +83,72 @@ FROM texts LEFT JOIN listed USING (row_no)
 """
 
 
+def _mix_sql() -> str:
+    """One block of common tables per level of the tree."""
+    quote = lambda v: "'" + str(v) + "'"
+
+    def weight(depth: int) -> str:
+        cases = " ".join(
+            "WHEN " + " AND ".join(f"{c} = {quote(v)}" for c, v in zip(MIX_LEVELS, path)) + f" THEN {w}"
+            for path, w in MIX_WEIGHTS.items() if len(path) == depth
+        )
+        return f"CASE {cases} ELSE 1 END" if cases else "1"
+
+    blocks = []
+    for depth, name in enumerate(MIX_LEVELS, 1):
+        path, parent = ", ".join(MIX_LEVELS[:depth]), ", ".join(MIX_LEVELS[: depth - 1])
+        family = f"PARTITION BY {parent}" if parent else ""
+        given = (
+            f"given{depth - 1} USING ({parent})" if parent
+            else "(SELECT (SELECT sum(tokens) FROM counted) AS given) ON true"
+        )
+        blocks.append(f"""
+nodes{depth} AS (
+    SELECT *, {weight(depth)} AS w FROM
+        (SELECT {path}, sum(tokens) * 4 AS cap FROM counted GROUP BY ALL) JOIN {given}
+),
+marked{depth} AS (
+    SELECT *, cap::HUGEINT * sum(w) OVER (need ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+        <= (given - coalesce(sum(cap) OVER (need ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::HUGEINT * w AS filled
+    FROM nodes{depth} WINDOW need AS ({family} ORDER BY cap / w, {name} NULLS FIRST)
+),
+shared{depth} AS (
+    SELECT *, CASE WHEN filled THEN cap::HUGEINT ELSE
+        ((given - sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({family}))::HUGEINT * w)
+        // sum(CASE WHEN filled THEN 0 ELSE w END) OVER ({family}) END AS share
+    FROM marked{depth}
+),
+given{depth} AS (
+    SELECT {path}, (share + CASE WHEN NOT filled AND
+        row_number() OVER (PARTITION BY {parent + ", " if parent else ""}filled ORDER BY {name} NULLS FIRST)
+        <= given - sum(share) OVER ({family}) THEN 1 ELSE 0 END)::BIGINT AS given
+    FROM shared{depth}
+)""")
+    leaf = ", ".join(MIX_LEVELS)
+    number = f"('0x' || substr(md5('{MIX_SEED}:' || full_epochs || ':' || doc_id), 1, 15))::BIGINT"
+    domains = ", ".join(quote(d) for d in DOMAINS)
+    return f"""
+WITH counted AS (
+    SELECT doc_id, coalesce([{domains}][try_cast(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INTEGER)
+            % {len(DOMAINS)} + 1], 'other') AS domain, lang, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+    FROM documents
+),{",".join(blocks)},
+leaves AS (
+    SELECT *, given // leaf_tokens AS full_epochs, given % leaf_tokens AS rest
+    FROM (SELECT {leaf}, sum(tokens)::BIGINT AS leaf_tokens FROM counted GROUP BY ALL) JOIN given3 USING ({leaf})
+    WHERE leaf_tokens > 0
+),
+ordered AS (
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY {leaf} ORDER BY {number}, doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM counted JOIN leaves USING ({leaf})
+)
+SELECT doc_id, {leaf}, tokens, unnest(range(full_epochs + (before < rest)::INTEGER))::INTEGER AS epoch,
+    leaf_tokens, given AS leaf_budget
+FROM ordered
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_rendezvous_shards": SHARDS_SQL, "op10_trigram_secrets": _secrets_sql()}
+    return {"op3_hierarchical_mix": _mix_sql(), "op1_rendezvous_shards": SHARDS_SQL, "op10_trigram_secrets": _secrets_sql()}

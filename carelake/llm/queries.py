@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import packing, quality, records, secrets
+from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets
 from carelake.llm.common import table
 from carelake.llm.sharding import shard_documents
 from carelake.session import new_path, stage, tune
@@ -17,6 +17,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 16
 SEQUENCE = 2048
 PACKED_END, RECORD_END = 1, 2
+PSEUDONYM_KEY = "a key of this query, not a secret"
+DOMAINS = ("web", "books", "news", "code")
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_SEED = "mix"
+# Nodes that are not named weigh 1.
+MIX_WEIGHTS = {
+    ("web",): 4, ("books",): 3, ("news",): 2,
+    **{(d, lang): w for d in (*DOMAINS, "other") for lang, w in (("en", 6), ("de", 2), ("fr", 2))},
+    ("web", "en", "src0"): 3,
+}
 
 
 def tokenizer_file() -> str:
@@ -34,6 +44,24 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The tables name no domain: it is the one of four that a source's number falls to, and
+    "other" for sources without a number."""
+    number = F.regexp_extract("source", "([0-9]{1,9})$", 1).try_cast("int")
+    names = F.array(*[F.lit(d) for d in DOMAINS])
+    return docs.withColumn("domain", F.coalesce(F.get(names, number % len(DOMAINS)), F.lit("other")))
+
+
+def op3_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that a mixture of all tokens takes, with the epochs in which they are read."""
+    docs = with_domain(table(spark, sf_dir, "documents")).select("doc_id", "text", *MIX_LEVELS)
+    counted, leaves = mixing.plan(docs, MIX_LEVELS, MIX_WEIGHTS, seed=MIX_SEED)
+    return mixing.select(counted, leaves, MIX_LEVELS, seed=MIX_SEED).select(
+        "doc_id", *MIX_LEVELS, "tokens",
+        F.col("_epoch").alias("epoch"), F.col("_leaf_tokens").alias("leaf_tokens"), F.col("_budget").alias("leaf_budget"),
+    )
+
+
 def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -43,6 +71,16 @@ def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by pseudonyms of the same format."""
+    done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    return done.select("doc_id", "text", *[of_kind(k) for k in pseudonyms.KINDS])
+
+
 def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents judged by rules whose accuracies are estimated from all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -83,7 +121,9 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Query] = [
     op1_rendezvous_shards,
+    op3_hierarchical_mix,
     op4_cutting_stock_packing,
+    op5_feistel_pseudonyms,
     op6_weak_supervision,
     op8_token_records,
     op10_trigram_secrets,
