@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets
+from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets, topk
 from carelake.llm.common import table
 from carelake.llm.sharding import shard_documents
 from carelake.session import new_path, stage, tune
@@ -17,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 16
 SEQUENCE = 2048
 PACKED_END, RECORD_END = 1, 2
+VECTOR_SCALE, QUERY_EVERY, TOP_K = 64, 20, 20
 PSEUDONYM_KEY = "a key of this query, not a secret"
 DOMAINS = ("web", "books", "news", "code")
 MIX_LEVELS = ("domain", "lang", "source")
@@ -91,6 +92,13 @@ def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth vector as a query against all vectors."""
+    rows = table(spark, sf_dir, "embeddings")
+    vectors = rows.select("vec_id", topk.whole_numbers(rows["embedding"], VECTOR_SCALE).alias("vector"))
+    return topk.search(vectors, F.col("vec_id") % QUERY_EVERY == 0, k=TOP_K)
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as framed records, and read back."""
     path = new_path(spark, "records")
@@ -125,6 +133,7 @@ QUERIES: list[Query] = [
     op4_cutting_stock_packing,
     op5_feistel_pseudonyms,
     op6_weak_supervision,
+    op7_dual_tree_topk,
     op8_token_records,
     op10_trigram_secrets,
 ]
