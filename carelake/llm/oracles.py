@@ -150,6 +150,33 @@ FROM ordered
 """
 
 
+SUBSTRINGS_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+windows AS (
+    SELECT row_no, i, array_to_string(w[i:i + 34], ' ') AS passage
+    FROM (SELECT row_no, w, unnest(range(1, len(w) - 33)) AS i FROM texts)
+),
+repeated AS (
+    SELECT row_no, list(i) AS places FROM windows
+    WHERE passage IN (SELECT passage FROM windows GROUP BY passage HAVING count(*) > 1) GROUP BY row_no
+),
+covered AS (
+    SELECT row_no, list_distinct(flatten(list_transform(places, lambda i: range(i, i + 35)))) AS gone FROM repeated
+),
+words AS (SELECT row_no, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+gone AS (SELECT row_no, unnest(gone) AS i FROM covered),
+kept AS (
+    SELECT row_no, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM words ANTI JOIN gone USING (row_no, i) GROUP BY row_no
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row_no)
+"""
+
 TOPK_SQL = """
 WITH vectors AS (
     SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE))) AS v FROM embeddings
@@ -168,6 +195,7 @@ FROM scored QUALIFY rank <= 20
 
 def all_oracles() -> dict[str, str]:
     return {
+        "op2_superkmer_dedup": SUBSTRINGS_SQL,
         "op7_dual_tree_topk": TOPK_SQL,
         "op3_hierarchical_mix": _mix_sql(),
         "op1_rendezvous_shards": SHARDS_SQL,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets, topk
 from carelake.llm.common import table
 from carelake.llm.sharding import shard_documents
+from carelake.llm.substring_dedup import remove_repeats
 from carelake.session import new_path, stage, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 16
 SEQUENCE = 2048
 PACKED_END, RECORD_END = 1, 2
+PASSAGE_WORDS = 35
 VECTOR_SCALE, QUERY_EVERY, TOP_K = 64, 20, 20
 PSEUDONYM_KEY = "a key of this query, not a secret"
 DOMAINS = ("web", "books", "news", "code")
@@ -45,6 +47,12 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of passages of 35 that occur again."""
+    done = remove_repeats(table(spark, sf_dir, "documents"), k=PASSAGE_WORDS)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def with_domain(docs: DataFrame) -> DataFrame:
     """The tables name no domain: it is the one of four that a source's number falls to, and
     "other" for sources without a number."""
@@ -129,6 +137,7 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Query] = [
     op1_rendezvous_shards,
+    op2_superkmer_dedup,
     op3_hierarchical_mix,
     op4_cutting_stock_packing,
     op5_feistel_pseudonyms,
