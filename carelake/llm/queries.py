@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets, topk
 from carelake.llm.common import table
+from carelake.llm.near_dedup import near_duplicates
 from carelake.llm.sharding import shard_documents
 from carelake.llm.substring_dedup import remove_repeats
 from carelake.session import new_path, stage, tune
@@ -118,6 +119,11 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the class of their near-duplicates, named by its smallest document."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scanned for secrets by an inverted index of trigrams."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -144,6 +150,7 @@ QUERIES: list[Query] = [
     op6_weak_supervision,
     op7_dual_tree_topk,
     op8_token_records,
+    op9_dart_minhash,
     op10_trigram_secrets,
 ]
 
