@@ -54,12 +54,12 @@ def op2_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def with_domain(docs: DataFrame) -> DataFrame:
+def with_domain(docs: DataFrame, into: str = "domain") -> DataFrame:
     """The tables name no domain: it is the one of four that a source's number falls to, and
     "other" for sources without a number."""
     number = F.regexp_extract("source", "([0-9]{1,9})$", 1).try_cast("int")
     names = F.array(*[F.lit(d) for d in DOMAINS])
-    return docs.withColumn("domain", F.coalesce(F.get(names, number % len(DOMAINS)), F.lit("other")))
+    return docs.withColumn(into, F.coalesce(F.get(names, number % len(DOMAINS)), F.lit("other")))
 
 
 def op3_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,15 +72,18 @@ def op3_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of 2048 tokens."""
-    docs = table(spark, sf_dir, "documents")
+def packed(docs: DataFrame) -> DataFrame:
     pieces = stage(packing.cut(docs, tokenizer_file(), length=SEQUENCE, end_id=PACKED_END), "pieces")
     return packing.pack(pieces, length=SEQUENCE).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
 
 
+def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by pseudonyms of the same format."""
     done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)

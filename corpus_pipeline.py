@@ -1,13 +1,77 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, pieces of packed training sequences out.
+
+Each stage takes what the one before it kept, as a written table, and gives documents in the
+columns it was given; the last gives pieces. ``run`` applies all of them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from carelake.llm import mixing, near_dedup, packing, quality, queries, secrets
+from carelake.session import stage, tune
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the base rules or the estimated rules reject. The texts are
+    measured once: the table that the model is fitted on holds them with their measures.
+
+    NULL and empty texts fail the base rules; repeated rows are judged alike; an empty table
+    stays empty; other columns pass through.
+    """
+    measured = stage(docs.withColumn("_of", quality.measures(docs["text"])), "measured")
+    return quality.judge(measured, "_of").filter("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, that of the smallest doc_id. Rows without
+    text are no duplicates and stay; of repeated rows one stays."""
+    return near_dedup.keep_one(docs, near_dedup.near_duplicates(docs))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the kind of each secret in place of it, and ``n_chars`` as it is then.
+    NULL texts stay NULL; repeated rows are searched each."""
+    found = secrets.scan(docs).withColumn("text", F.when(F.col("text").isNotNull(), secrets.redact(F.col("text"), F.col("secrets"))))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that a mixture of as many tokens takes: one row for each epoch in which a
+    document is read. Documents without words belong to no budget and are not taken."""
+    levels = ("_domain", *queries.MIX_LEVELS[1:])
+    named = queries.with_domain(docs, into="_domain")
+    _, leaves = mixing.plan(named, levels, queries.MIX_WEIGHTS, seed=queries.MIX_SEED)
+    return mixing.select(named, leaves, levels, seed=queries.MIX_SEED).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens; a document that is read in
+    two epochs is packed twice."""
+    return queries.packed(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("secret scan", secret_scan),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
-STAGES = []
+# Estimated rules, components and token ids are beyond SQL; tests/llm hold ``run`` against a
+# version of it without Spark.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``."""
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, build) in enumerate(STAGES, 1):
+        docs = build(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = stage(docs, f"stage-{number}")
+    return docs
