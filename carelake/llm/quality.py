@@ -116,7 +116,7 @@ class LabelRule:
     bad: float
 
     def vote(self, of: Column) -> Column:
-        ratio = of[self.part] / of[self.whole]  # NULL where there is nothing to divide by
+        ratio = F.try_divide(of[self.part], of[self.whole])  # NULL where there is nothing to divide by
         high = self.bad > self.good
         is_bad = ratio >= self.bad if high else ratio <= self.bad
         is_good = ratio <= self.good if high else ratio >= self.good
