@@ -20,10 +20,11 @@ def status_from_flags(cancelled: Column, dna: Column, arrived: Column) -> Column
 def compose_timestamp(date_text: Column, time_text: Column) -> Column:
     """Timestamp from a date text and a time text.
 
-    NULL when either part is missing or unreadable. Joining the parts while skipping
-    NULLs would read a lone time as today, and a lone date as midnight.
+    NULL when either part is missing, blank or unreadable. A lone time would otherwise be
+    read as today, and a lone date as midnight.
     """
-    return F.concat(date_text, F.lit(" "), time_text).try_cast("timestamp")
+    day, clock = (F.nullif(F.trim(part), F.lit("")) for part in (date_text, time_text))
+    return F.concat(day, F.lit(" "), clock).try_cast("timestamp")
 
 
 def duration_minutes(start: Column, end: Column) -> Column:

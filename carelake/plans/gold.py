@@ -219,14 +219,15 @@ class Star:
 
 
 def build_star(appointment: DataFrame, source: str) -> Star:
-    """All of the star from a *stored* silver table, which is read several times."""
+    """All of the star from a *stored* silver table, which is read several times. Dimensions are
+    stored too, so that joins know their sizes and none is computed twice."""
     positions = member_positions(appointment)
-    clinic = dim_clinic(positions, source)
-    practitioner = dim_practitioner(positions, source)
-    service = dim_service(positions)
+    clinic = stage(dim_clinic(positions, source), "dim-clinic")
+    practitioner = stage(dim_practitioner(positions, source), "dim-practitioner")
+    service = stage(dim_service(positions), "dim-service")
     return Star(
         source=source,
-        date=dim_date(appointment),
+        date=stage(dim_date(appointment), "dim-date"),
         clinic=clinic,
         practitioner=practitioner,
         service=service,

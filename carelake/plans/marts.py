@@ -22,10 +22,10 @@ GRAIN = {
 def with_month(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Attach the month from the calendar, the one place that defines it.
 
-    The calendar has one row per day between the first and the last visit, at most 3.7
-    million by the range of DATE, so it is broadcast.
+    The calendar is a written table with one row per day, so its size is known: Spark
+    broadcasts it where it is small, without being told to.
     """
-    return fact.join(F.broadcast(calendar.select("date_key", "month_start")), "date_key")
+    return fact.join(calendar.select("date_key", "month_start"), "date_key")
 
 
 def _months(calendar: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def _describe(base: DataFrame, star: Star, dim: DataFrame, key: str, *attributes
     return (
         base.join(dim.select(key, *attributes), key, "left")
         .join(hours, key, "left")
-        .join(F.broadcast(_months(star.date)), "month_start")
+        .join(_months(star.date), "month_start")
         .withColumn("available_hours", F.round(F.col("daily_hours") * F.col("workdays"), 2))
         .drop("daily_hours", "workdays")
     )
@@ -135,7 +135,7 @@ def mart_service_monthly(star: Star) -> DataFrame:
             exact_sum(F.col("direct_cost_synth")).alias("direct_cost"),
             exact_sum(F.col("margin_synth")).alias("margin"),
         )
-        .join(F.broadcast(_months(star.date).drop("workdays")), "month_start")
+        .join(_months(star.date).drop("workdays"), "month_start")
         .withColumn("margin_pct", _ratio("margin", "revenue"))
     )
 
@@ -168,21 +168,31 @@ def patient_summary(fact: DataFrame, as_of: Column) -> DataFrame:
     The mean gap needs no visit order: the gaps of a patient add up to the days from the
     first to the last visit, and there is one fewer of them than visits. So the whole
     summary is one aggregate, combined before the shuffle, and no patient is too large.
-    Clinic names and disciplines are collected as sets, which are as small as their
-    dimensions.
+    Visits are first added up per patient, clinic and discipline, which leaves few rows for
+    the distinct counts; those are hash aggregates, where sets would be sorted.
     """
     first, last = F.to_date("first_visit_ts"), F.to_date("last_visit_ts")
     gaps = F.col("completed_visits") - 1
-    return (
+    patient = ["patient_key", "src_patient_id"]
+    by_place = (
         fact.filter("is_completed")
-        .groupBy("patient_key", "src_patient_id")
+        .groupBy(*patient, "clinic_name", "discipline")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("start_ts").alias("first"),
+            F.max("start_ts").alias("last"),
+            exact_sum(F.col("revenue_synth")).alias("revenue"),
+        )
+    )
+    return (
+        by_place.groupBy(*patient)
         .agg(
-            F.count("*").alias("completed_visits"),
-            F.min("start_ts").alias("first_visit_ts"),
-            F.max("start_ts").alias("last_visit_ts"),
-            exact_sum(F.col("revenue_synth")).alias("lifetime_revenue"),
-            F.size(F.collect_set("clinic_name")).cast("bigint").alias("clinics_visited"),
-            F.size(F.collect_set("discipline")).cast("bigint").alias("disciplines_seen"),
+            F.sum("n").alias("completed_visits"),
+            F.min("first").alias("first_visit_ts"),
+            F.max("last").alias("last_visit_ts"),
+            exact_sum(F.col("revenue")).alias("lifetime_revenue"),
+            F.count_distinct("clinic_name").alias("clinics_visited"),
+            F.count_distinct("discipline").alias("disciplines_seen"),
         )
         .withColumns(
             {

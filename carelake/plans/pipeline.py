@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.config import LakeConfig
 from carelake.fixed_values import GOLD_TABLES
+from carelake.operators import components, matching
 from carelake.plans import gold, marts, quality, silver
 from carelake.session import stage, staging, tune
 from carelake.sources import landing, ops_log
@@ -25,9 +26,12 @@ def extract(spark: SparkSession, config: LakeConfig, records: DataFrame) -> None
     field = config.modified_field
     since = F.lit(ops_log.read_watermark(spark, marks, *run[:2]).isoformat(" ")).cast("timestamp")
     ops_log.audit_start(spark, audit, *run)
+    count = None
     try:
         changed = stage(landing.changed_since(records, field, since), "extract")
         count = changed.count()
+        # A page of the answer is a file here.
+        pages = len(changed.inputFiles()) if count else 0
         if count:
             today = landing.business_date(F.current_timestamp(), config.timezone)
             landing.write_landing(changed, config.landing_path, config.run_id, today)
@@ -40,9 +44,9 @@ def extract(spark: SparkSession, config: LakeConfig, records: DataFrame) -> None
             moved = ops_log.next_marks(seen, spark.table(marks), F.current_timestamp())
             ops_log.commit_watermarks(moved.withColumn("last_batch_id", F.lit(config.run_id)), marks)
     except Exception as failure:
-        ops_log.audit_finish(spark, audit, *run, "FAILED", error_message=str(failure))
+        ops_log.audit_finish(spark, audit, *run, "FAILED", count, error_message=str(failure))
         raise
-    ops_log.audit_finish(spark, audit, *run, "SUCCEEDED", count)
+    ops_log.audit_finish(spark, audit, *run, "SUCCEEDED", count, pages)
 
 
 def build_bronze(spark: SparkSession, config: LakeConfig) -> DataFrame:
@@ -53,12 +57,57 @@ def build_bronze(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, config: LakeConfig) -> None:
-    """Both silver tables from one deduplication of bronze."""
+    """Both silver tables of the visits from one deduplication of bronze. Marks of deletion that a
+    sweep has set are carried over from the build before."""
     latest = stage(silver.latest_visits(spark.read.parquet(config.bronze_path)), "latest")
-    overwrite_table(silver.appointments(latest, config.source), config.table("silver", "appointment"))
+    built, ref = silver.appointments(latest, config.source), config.table("silver", "appointment")
+    if spark.catalog.tableExists(ref):
+        built = stage(silver.carry_deleted(built, spark.table(ref)), "appointment")
+    overwrite_table(built, ref)
     overwrite_table(silver.party_candidates(latest, config.source), config.table("silver", "party_candidate"))
 
 
+def build_parties(spark: SparkSession, config: LakeConfig) -> None:
+    """``silver.party`` from the patient feed, and who is who: ``silver.party_link`` holds the links
+    of parties to the smallest of each block, ``silver.party_identity`` the components of those
+    that are sure enough to be followed without a look (J06, X04). Patients that are known from
+    visits only take part as well."""
+    patients = spark.read.parquet(config.bronze_path)
+    party, visits = config.table("silver", "party"), config.table("silver", "party_candidate")
+    overwrite_table(silver.parties_from_patients(patients, config.source), party)
+    known = [spark.table(party)]
+    if spark.catalog.tableExists(visits):
+        listed = spark.table(party).select("source", "source_party_id")
+        known.append(spark.table(visits).join(listed, ["source", "source_party_id"], "left_anti"))
+    pool = stage(silver.party_pool(*known), "parties")
+    overwrite_table(matching.match_links(pool), config.table("silver", "party_link"))
+    links = spark.table(config.table("silver", "party_link")).filter("auto_link")
+    identity = components.connected_components(
+        pool.select(F.col("party_key").alias("node")),
+        links.select(F.col("anchor_key").alias("a"), F.col("party_key").alias("b")),
+    )
+    named = identity.select(F.col("node").alias("party_key"), F.col("component").alias("identity_key"))
+    overwrite_table(named, config.table("silver", "party_identity"))
+
+
+def sweep(spark: SparkSession, config: LakeConfig, full_pull_ids: DataFrame, detected_at: Column) -> None:
+    """Mark stored visits that a full pull of the source no longer has; the marks outlast builds."""
+    ref = config.table("silver", "appointment")
+    swept = silver.sweep_deleted(spark.table(ref), full_pull_ids, detected_at)
+    overwrite_table(stage(swept, "swept"), ref)
+
+
+def reconcile_days(spark: SparkSession, config: LakeConfig, source: DataFrame, tolerance: float) -> None:
+    """Compare the source's own number of visits per day (``grain_value, amount``) with silver's,
+    and append the outcome to the ledger (X03)."""
+    visits = spark.table(config.table("silver", "appointment")).filter("NOT is_deleted")
+    platform = visits.groupBy(F.date_format("start_ts", "yyyy-MM-dd").alias("grain_value")).agg(
+        F.count("*").cast("double").alias("amount")
+    )
+    compared = quality.reconcile(source, platform, "visits_per_day", "day", tolerance)
+    quality.record_reconciliation(compared, config.table("ops", "recon_results"))
+
+
 def check_silver(spark: SparkSession, config: LakeConfig, as_of: Column) -> list:
     return quality.run_gate(
         spark.table(config.table("silver", "appointment")),
@@ -96,12 +145,18 @@ def gold_census(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 
 def run(spark: SparkSession, config: LakeConfig, records: DataFrame, as_of: Column) -> list:
-    """One full run; gold is not touched unless the quality gate passes. Returns warnings."""
+    """One full run of an entity; returns warnings. Visits go on to gold, which is not touched
+    unless the quality gate passes; patients end as parties with their identities; the other
+    entities have no conformed form and end in bronze."""
     tune(spark)
     ops_log.bootstrap(spark, config.catalog, config.storage_root)
     with staging(spark):
         extract(spark, config, records)
         build_bronze(spark, config)
+        if config.entity == "patients":
+            build_parties(spark, config)
+        if config.entity != "appointments":
+            return []
         build_silver(spark, config)
         warnings = check_silver(spark, config, as_of)
         build_gold(spark, config, as_of)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from carelake.functions.identity import name_key, normalise_email, normalise_phone, surrogate_key
 from carelake.functions.visits import (
@@ -124,9 +124,11 @@ def party_candidates(latest: DataFrame, source: str) -> DataFrame:
 
 
 def parties_from_patients(patients: DataFrame, source: str) -> DataFrame:
-    """``silver.party_candidate`` from a patient list, the entity that patient detail
-    properly belongs to. The list has one record per patient."""
-    return patients.select(
+    """``silver.party_candidate`` from a patient feed, the entity that patient detail properly
+    belongs to. A patient is delivered again with every overlap of an extract; the version
+    modified last counts (A12)."""
+    versions = patients.withColumn("_source_updated_ts", read_timestamp(F.col("DateModified")))
+    return latest_per_key(versions, ["ID"], LATEST_BY).select(
         F.lit(source).alias("source"), F.col("ID").cast("string").alias("source_party_id"), *identifiers()
     )
 
@@ -146,6 +148,9 @@ def party_pool(*candidates: DataFrame) -> DataFrame:
 # they must go on outranking older ones that arrive late.
 
 
+TOMBSTONE = "_tombstone"
+
+
 def versions_schema(bronze: DataFrame) -> StructType:
     return with_month(typed_visits(bronze)).schema
 
@@ -157,26 +162,28 @@ def with_month(versions: DataFrame) -> DataFrame:
 
 def create_versions(bronze: DataFrame, ref: str) -> None:
     """Start a store for ``merge_versions``."""
-    versions = by_partition(with_month(latest_visits(bronze)), ["visit_month"])
+    versions = by_partition(_marked(with_month(latest_visits(bronze)), False), ["visit_month"])
     overwrite_table(versions, ref, partition_by=["visit_month"])
 
 
 def stored_versions(spark: SparkSession, ref: str, schema: StructType) -> DataFrame:
-    """The latest versions in a store, without the tombstones."""
-    return read_table(spark, ref, schema).filter("src_appointment_id IS NOT NULL")
+    """The latest versions in a store, without the tombstones. A visit without an id is a version
+    like any other: it may still identify a patient."""
+    whole = StructType([*schema.fields, StructField(TOMBSTONE, BooleanType())])
+    return read_table(spark, ref, whole).filter(f"NOT {TOMBSTONE}").drop(TOMBSTONE)
 
 
 def merge_versions(bronze: DataFrame, ref: str) -> None:
     """Bring new records into a store.
 
     Only the months that new versions belong to, or that hold an older version of the same
-    visit, are read and written again. Each of them also gets a tombstone, a row without an
-    id, so that a month all of whose visits moved away is overwritten as well.
+    visit, are read and written again. Each of them also gets a tombstone, a row that is
+    marked as none, so that a month all of whose visits moved away is overwritten as well.
     """
     new = stage(with_month(latest_visits(bronze)), "versions")
     stored = stored_versions(bronze.sparkSession, ref, new.schema)
-    ids = new.select("src_appointment_id")
-    held = stored.join(ids, "src_appointment_id", "left_semi")
+    ids = new.select(F.col("src_appointment_id").alias("_id"))
+    held = stored.join(ids, F.col("src_appointment_id").eqNullSafe(F.col("_id")), "left_semi")
     months = new.select("visit_month").unionByName(held.select("visit_month")).distinct()
     # One row per calendar month, so the list is short whatever the size of the store, and
     # as literals it prunes the partitions that are read.
@@ -189,7 +196,23 @@ def merge_versions(bronze: DataFrame, ref: str) -> None:
             for c in new.columns
         ]
     )
-    replace_partitions(merged.unionByName(tombstones), ref, ["visit_month"])
+    rows = _marked(merged, False).unionByName(_marked(tombstones, True))
+    replace_partitions(rows, ref, ["visit_month"])
+
+
+def _marked(versions: DataFrame, tombstone: bool) -> DataFrame:
+    return versions.withColumn(TOMBSTONE, F.lit(tombstone))
+
+
+def carry_deleted(appointment: DataFrame, before: DataFrame) -> DataFrame:
+    """A newly built ``appointment`` with the deletion marks of the one ``before``: a build from
+    the feed alone cannot know that the source has lost a visit since (X02)."""
+    marks = before.filter("is_deleted").select("appointment_key", F.col("deleted_detected_at").alias("_since"))
+    marked = appointment.join(marks, "appointment_key", "left")
+    known = F.col("_since").isNotNull()
+    return marked.withColumns(
+        {"is_deleted": F.col("is_deleted") | known, "deleted_detected_at": F.coalesce("deleted_detected_at", "_since")}
+    ).select(*appointment.columns)
 
 
 def sweep_deleted(appointment: DataFrame, full_pull_ids: DataFrame, detected_at: Column) -> DataFrame:

@@ -148,8 +148,11 @@ def audit_state(ledger: DataFrame) -> DataFrame:
         F.coalesce("started_at", "finished_at").alias("_at"),
         is_end.cast("int").alias("_is_end"),
     )
+    # Ends at one instant are told apart by what they report; equal ones are interchangeable.
+    ties = ["status", "record_count", "page_count", "error_message", "_line"]
     log = ordered_scan(
-        log, keys=["batch_id"], order=["_at", "_is_end"], sums={"_ends_before": "_is_end"}
+        log.withColumn("_line", F.monotonically_increasing_id()),
+        keys=["batch_id"], order=["_at", "_is_end", *ties], sums={"_ends_before": "_is_end"},
     )
     starts = log.filter("_is_end = 0").select(
         "source", "entity", "batch_id", "started_at", "_ends_before"
@@ -191,14 +194,15 @@ def dq_trend(results: DataFrame) -> DataFrame:
 
 # --- Catalog ----------------------------------------------------------------------
 
+# What a reader of the catalog may expect of each layer.
 _LAYER_COMMENTS = {
-    "landing": "Raw files as the sources sent them. Files only.",
-    "bronze": "Append-only, as landed, never edited.",
-    "silver": "Cleaned, deduplicated, conformed.",
-    "gold": "Business-facing dimensions, facts and marts.",
-    "gold_secure": "Views with patient detail, under their own grants.",
-    "ops": "Watermarks, audit, quality results, reconciliation, checkpoints.",
-    "ml": "Feature tables.",
+    "landing": "Lines of JSON by day and batch",
+    "bronze": "Every landed line once, with where it came from",
+    "silver": "The current version of each record, typed",
+    "gold": "Star schema and monthly marts",
+    "gold_secure": "For results that name patients",
+    "ops": "What runs did, and how far they came",
+    "ml": "Inputs of models",
 }
 
 
@@ -242,17 +246,18 @@ def bootstrap_statements(catalog: str, storage_root: str) -> list[str]:
 
 
 def run_statements(spark: SparkSession, statements: Sequence[str]) -> DataFrame:
-    """Run every statement, going on after a failure; ``seq, status, statement, error``."""
-    log = []
-    for seq, statement in enumerate(statements, start=1):
-        flat = " ".join(statement.split())
-        label = flat if len(flat) <= 78 else flat[:78] + "…"
-        try:
-            spark.sql(statement)
-            log.append((seq, "OK", label, ""))
-        except Exception as failure:  # one run is to show all failures
-            log.append((seq, "FAILED", label, " ".join(str(failure).split())[:200]))
-    return lookup_rows(spark, log, "seq int, status string, statement string, error string")
+    """``seq, status, statement, error``: the outcome of each statement, text and error in full
+    (S22). A statement that fails does not keep the next ones from being tried."""
+    outcomes = [(n, *_outcome(spark, s), s) for n, s in enumerate(statements, start=1)]
+    return lookup_rows(spark, outcomes, "seq int, status string, error string, statement string")
+
+
+def _outcome(spark: SparkSession, statement: str) -> tuple[str, str]:
+    try:
+        spark.sql(statement)
+    except Exception as failure:
+        return "FAILED", str(failure)
+    return "OK", ""
 
 
 def missing_objects(spark: SparkSession, catalog: str) -> DataFrame:
@@ -270,8 +275,9 @@ def missing_objects(spark: SparkSession, catalog: str) -> DataFrame:
 
 def bootstrap(spark: SparkSession, catalog: str, storage_root: str) -> None:
     """Create what is missing; RuntimeError if anything failed or is still missing."""
-    failed = run_statements(spark, bootstrap_statements(catalog, storage_root)).filter("status = 'FAILED'")
-    problems = [f"{r['statement']}: {r['error']}" for r in failed.collect()]
-    problems += [f"missing {r['kind']} {r['name']}" for r in missing_objects(spark, catalog).collect()]
-    if problems:
-        raise RuntimeError("setup incomplete: " + "; ".join(problems))
+    log = run_statements(spark, bootstrap_statements(catalog, storage_root)).collect()
+    absent = missing_objects(spark, catalog).collect()
+    faults = [f"{r['error']}, in {r['statement']}" for r in log if r["error"]]
+    faults += [f"no {r['kind']} {r['name']}" for r in absent]
+    if faults:
+        raise RuntimeError("\n".join([f"catalog {catalog} is not ready:", *faults]))

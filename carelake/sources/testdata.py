@@ -94,9 +94,15 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~_every(part, 499), 1 + (F.col("l_suppkey") + line_no) % 25).alias("locationID"),
         F.when(_every(part, 211, 5), None)
         .when(_every(part, 211, 6), "31/02/2000")
+        .when(_every(part, 211, 7), "")
+        .when(_every(part, 211, 8), "  ")
         .otherwise(day)
         .alias("appointmentDate"),
-        F.when(~_every(part, 223), _clock(start_minute)).otherwise("25:99").alias("appointmentStartTime"),
+        F.when(_every(part, 223), "25:99")
+        .when(_every(part, 223, 1), "")
+        .when(_every(part, 223, 2), " ")
+        .otherwise(_clock(start_minute))
+        .alias("appointmentStartTime"),
         F.when(length < 48, _clock(end_minute)).alias("appointmentEndTime"),
         F.element_at(
             F.array(F.lit("Initial"), F.lit("Standard"), F.lit("Extended")), (part % 3 + 1).cast("int")
@@ -123,11 +129,17 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patient_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per ``customer`` row: the patient list of a second source."""
-    number = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    """The patient feed of a second source, from ``customer``: every fourth patient is delivered
+    twice, first with an older version that was written differently."""
+    number, version = F.col("c_custkey"), F.col("version")
+    versions = F.when(_every(number, 4), F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    modified = F.date_add(F.lit("2000-01-01").cast("date"), (number % 300 + version).cast("int"))
+    return table(spark, sf_dir, "customer").withColumn("version", F.explode(versions)).select(
         number.alias("ID"),
-        *[c.alias(n) for n, c in _person(number, number + 1).items()],
+        *[c.alias(n) for n, c in _person(number, number + version - 1).items()],
+        modified.cast("timestamp").cast("string").alias("DateModified"),
+        F.lit("2001-09-01").cast("timestamp").alias("_ingest_ts"),
+        F.sha2(F.concat_ws("|", number, version), 256).alias("_payload_hash"),
     )
 
 

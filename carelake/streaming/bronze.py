@@ -7,20 +7,24 @@ says which files belong to completed batches, and only a read by path heeds it.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
+from carelake.session import new_path
 from carelake.sources.landing import BATCH_FILE, BATCH_FOLDER, DATE_FOLDER
 
 _CORRUPT = "_corrupt_record"
 # A load of a long backlog is committed in steps of this many files.
 FILES_PER_STEP = 10_000
+# As many lines decide the columns of a feed.
+SAMPLE_LINES = 1_000_000
 
 
 def source_schema(spark: SparkSession, landing_path: str, checkpoint: str) -> StructType:
     """Column types of the landed records, inferred by the first load and kept beside its
-    checkpoint so that later loads agree (S02).
+    checkpoint so that later loads agree (S02). The types come from a sample of SAMPLE_LINES
+    lines; what does not fit them, or has no column, is rescued and not lost.
 
     Of field names that differ only in case the first is a column; the others are rescued.
     """
@@ -28,7 +32,10 @@ def source_schema(spark: SparkSession, landing_path: str, checkpoint: str) -> St
     try:
         return StructType.fromJson(_load_json(spark, saved))
     except AnalysisException:
-        inferred = spark.read.option("recursiveFileLookup", "true").json(landing_path).schema
+        lines = spark.read.option("recursiveFileLookup", "true").text(landing_path)
+        sample = new_path(spark, "schema-sample")
+        lines.limit(SAMPLE_LINES).write.text(sample)
+        inferred = spark.read.json(sample).schema
     seen, fields = set(), []
     for field in inferred:
         if field.name != _CORRUPT and field.name.lower() not in seen:
@@ -66,7 +73,8 @@ def parse_lines(lines: DataFrame, schema: StructType, source: str, entity: str)
     ``_rescued_data`` holds as JSON the fields that are no column and the values that are
     not of their column's type; a line that is no JSON object is kept whole.
     """
-    typed = F.from_json("value", schema)
+    checked = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    typed = F.from_json("value", checked, {"columnNameOfCorruptRecord": _CORRUPT})
     as_text = F.from_json("value", "map<string,string>")
     names = [f.name for f in schema]
     parsed = lines.filter(F.trim("value") != "").select(
@@ -75,8 +83,8 @@ def parse_lines(lines: DataFrame, schema: StructType, source: str, entity: str)
     misread = F.array_compact(
         F.array(
             *[
-                F.when(F.col("_text")[n].isNotNull() & F.col("_typed")[n].isNull(), F.lit(n))
-                for n in names
+                F.when(F.col("_text")[f.name].isNotNull() & _unread(f), F.lit(f.name))
+                for f in schema
             ]
         )
     )
@@ -105,6 +113,18 @@ def parse_lines(lines: DataFrame, schema: StructType, source: str, entity: str)
     )
 
 
+def _unread(field: StructField) -> Column:
+    """Whether a field's text did not become its type. A column of structs or arrays can be read
+    and still have lost a value inside; then the line is marked, and the field by itself too."""
+    column = F.col("_typed")[field.name]
+    if not isinstance(field.dataType, (StructType, ArrayType, MapType)):
+        return column.isNull()
+    alone = StructType([StructField("x", field.dataType), StructField(_CORRUPT, StringType())])
+    wrapped = F.concat(F.lit('{"x":'), F.col("_text")[field.name], F.lit("}"))
+    inside = F.from_json(wrapped, alone, {"columnNameOfCorruptRecord": _CORRUPT})[_CORRUPT]
+    return column.isNull() | (F.col("_typed")[_CORRUPT].isNotNull() & inside.isNotNull())
+
+
 def load_bronze(
     spark: SparkSession, landing_path: str, bronze_path: str, checkpoint: str, source: str, entity: str
 ) -> None:

@@ -9,15 +9,14 @@ from __future__ import annotations
 
 import re
 
+from carelake import fixed_values as fixed
+
 AS_OF = "TIMESTAMP '2001-09-30 00:00:00'"
-_STATUS = {
-    "completed": ["completed", "complete", "attended"],
-    "arrived": ["arrived"],
-    "booked": ["booked", "confirmed"],
-    "cancelled": ["cancelled", "canceled"],
-    "dna": ["dna", "no show", "no_show", "did not attend"],
-    "rescheduled": ["rescheduled"],
-}
+
+
+def _list(values) -> str:
+    """A list of fixed values as an SQL array."""
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values) + "]"
 
 
 def _round(x: str, places: int) -> str:
@@ -99,7 +98,11 @@ def _positions(column: str) -> str:
     )
 
 
-_PRICES = "[140.0, 95.0, 165.0, 88.0, 193.99, 110.0]"
+_PRICES = _list(fee for _, fee, _, _ in fixed.SERVICES)
+_NAMES = _list(
+    f"{first} {last}"
+    for first, last in zip(fixed.PRACTITIONER_FIRST_NAMES, fixed.PRACTITIONER_LAST_NAMES, strict=True)
+)
 
 _CHAIN: list[tuple[str, str]] = [
     ("feed", f"""
@@ -108,8 +111,10 @@ _CHAIN: list[tuple[str, str]] = [
         l_suppkey AS practitionerID,
         CASE WHEN l_partkey % 499 <> 0 THEN 1 + (l_suppkey + l_linenumber) % 25 END AS locationID,
         CASE WHEN l_partkey % 211 = 5 THEN NULL WHEN l_partkey % 211 = 6 THEN '31/02/2000'
+             WHEN l_partkey % 211 = 7 THEN '' WHEN l_partkey % 211 = 8 THEN '  '
              ELSE strftime(l_shipdate, '%Y-%m-%d') END AS appointmentDate,
-        CASE WHEN l_partkey % 223 <> 0 THEN {_clock(_START)} ELSE '25:99' END AS appointmentStartTime,
+        CASE WHEN l_partkey % 223 = 0 THEN '25:99' WHEN l_partkey % 223 = 1 THEN '' WHEN l_partkey % 223 = 2 THEN ' '
+             ELSE {_clock(_START)} END AS appointmentStartTime,
         CASE WHEN {_LEN} < 48 THEN
           CASE WHEN {_LEN} = 47 THEN {_clock(_START + ' - 30')} ELSE {_clock(_START + ' + ' + _LEN)} END
         END AS appointmentEndTime,
@@ -133,8 +138,8 @@ _CHAIN: list[tuple[str, str]] = [
       SELECT CAST("ID" AS VARCHAR) AS src_appointment_id, CAST(patientID AS VARCHAR) AS src_patient_id,
         CAST(practitionerID AS VARCHAR) AS src_practitioner_id, CAST(locationID AS VARCHAR) AS src_clinic_id,
         CAST(appointmentTypeID AS VARCHAR) AS src_service_id, appointmentType AS service_name,
-        TRY_CAST(appointmentDate || ' ' || appointmentStartTime AS TIMESTAMP) AS start_ts,
-        TRY_CAST(appointmentDate || ' ' || appointmentEndTime AS TIMESTAMP) AS end_ts,
+        TRY_CAST(nullif(trim(appointmentDate), '') || ' ' || nullif(trim(appointmentStartTime), '') AS TIMESTAMP) AS start_ts,
+        TRY_CAST(nullif(trim(appointmentDate), '') || ' ' || nullif(trim(appointmentEndTime), '') AS TIMESTAMP) AS end_ts,
         CAST(date_diff('minute', start_ts, end_ts) AS INTEGER) AS duration_min,
         CASE WHEN cancelled = '1' THEN 'cancelled' WHEN "DNA" = '1' THEN 'dna'
              WHEN arrived = '1' THEN 'completed' ELSE 'booked' END AS status,
@@ -197,29 +202,26 @@ _CHAIN: list[tuple[str, str]] = [
             FROM appointment)"""),
     ("dim_clinic", f"""
       SELECT id AS src_clinic_id,
-        ['Bondi Junction', 'Parramatta', 'Chatswood', 'Newtown', 'Liverpool', 'Manly'][p % 6 + 1] AS clinic_name,
-        'NSW' AS state, CAST([6, 8, 5, 4, 7, 5][p % 6 + 1] AS INTEGER) AS treatment_rooms,
-        'Australia/Sydney' AS clinic_timezone, {_key('id')} AS clinic_key, p
+        {_list(fixed.CLINIC_NAMES)}[p % 6 + 1] AS clinic_name,
+        {_list(fixed.CLINIC_STATES)}[p % 6 + 1] AS state,
+        CAST({_list(fixed.CLINIC_ROOMS)}[p % 6 + 1] AS INTEGER) AS treatment_rooms,
+        '{fixed.CLINIC_TIMEZONE}' AS clinic_timezone, {_key('id')} AS clinic_key, p
       FROM {_positions('src_clinic_id')}"""),
     ("dim_practitioner", f"""
       SELECT q.id AS src_practitioner_id,
-        ['Sarah Mitchell', 'James Nguyen', 'Priya Patel', 'Wei Chen', 'Mohammed Okafor', 'Emma Wilson',
-         'Liam Brown', 'Aroha Taylor', 'Daniel Singh', 'Sophie Kaur', 'Raj Novak', 'Chloe Ferrari'][q.p % 12 + 1]
-          AS practitioner_name,
-        ['Physiotherapy', 'Podiatry', 'Exercise Physiology', 'Occupational Therapy', 'Dietetics'][q.p % 5 + 1]
-          AS discipline,
-        CAST([95.0, 88.0, 78.0, 92.0, 82.0][q.p % 5 + 1] AS DOUBLE) AS hourly_cost_synth,
+        {_NAMES}[q.p % 12 + 1] AS practitioner_name,
+        {_list(name for name, _ in fixed.DISCIPLINES)}[q.p % 5 + 1] AS discipline,
+        CAST({_list(cost for _, cost in fixed.DISCIPLINES)}[q.p % 5 + 1] AS DOUBLE) AS hourly_cost_synth,
         c.src_clinic_id AS home_clinic_id,
         CASE WHEN q.p % 4 = 0 THEN 0.6::DOUBLE ELSE 1.0::DOUBLE END AS fte, {_key('q.id')} AS practitioner_key
       FROM {_positions('src_practitioner_id')} q
       LEFT JOIN dim_clinic c ON c.p = q.p % (SELECT count(*) FROM dim_clinic)"""),
     ("dim_service", f"""
       SELECT id AS src_service_id,
-        ['Initial Consultation', 'Standard Consultation', 'Extended Consultation', 'DVA Standard',
-         'NDIS Session', 'Home Care Visit'][p % 6 + 1] AS service_name,
+        {_list(name for name, *_ in fixed.SERVICES)}[p % 6 + 1] AS service_name,
         CAST({_PRICES}[p % 6 + 1] AS DOUBLE) AS standard_fee_synth,
-        CAST([45, 30, 60, 30, 60, 45][p % 6 + 1] AS INTEGER) AS standard_duration_min,
-        ['Private', 'Private', 'Private', 'DVA', 'NDIS', 'HomeCare'][p % 6 + 1] AS payer_type
+        CAST({_list(minutes for _, _, minutes, _ in fixed.SERVICES)}[p % 6 + 1] AS INTEGER) AS standard_duration_min,
+        {_list(payer for *_, payer in fixed.SERVICES)}[p % 6 + 1] AS payer_type
       FROM {_positions('src_service_id')}"""),
     ("priced", f"""
       SELECT a.* EXCLUDE (service_name), s.service_name, s.payer_type, s.standard_fee_synth,
@@ -322,7 +324,8 @@ _CHAIN += [
     ("mark", """
       SELECT 'clinic' AS source, entity, greatest(a.mark, coalesce(b.mark, a.mark)) AS high_water_mark,
              CASE WHEN b.mark IS NULL THEN 'run-1' ELSE 'run-2' END AS last_batch_id
-      FROM (SELECT event_type AS entity, max(ts) AS mark FROM events WHERE event_id % 3 = 0 GROUP BY 1) a
+      FROM (SELECT event_type AS entity, max(ts) AS mark FROM events
+            WHERE event_id % 3 = 0 OR event_type = 'error' GROUP BY 1) a
       LEFT JOIN (SELECT event_type AS entity, max(ts) AS mark FROM events
                  WHERE event_id % 3 <> 0 AND event_type <> 'error' GROUP BY 1) b USING (entity)"""),
     ("ledger", """
@@ -416,8 +419,7 @@ _CLINIC_ROLLUP = _rollup(
     "revenue direct_cost margin delivered_hours available_hours",
 )
 _KNOWN_STATUS = " ".join(
-    f"WHEN lower(trim(raw_status)) IN ({', '.join(repr(w) for w in words)}) THEN '{status}'"
-    for status, words in _STATUS.items()
+    f"WHEN lower(trim(raw_status)) = '{word}' THEN '{status}'" for word, status in fixed.STATUS_WORDS.items()
 )
 _EVENT_LINE = (
     """'{"ID":' || event_id || ',"entity":"' || event_type || '","userID":' || user_id || ',"value":' || value """
@@ -532,7 +534,7 @@ def all_oracles() -> dict[str, str]:
                    WHEN broken THEN '{{"_corrupt_record":"' || replace(payload, '"', '\\"') || '"}}' END AS _rescued_data,
               'clinic' AS _source, 'events' AS _entity,
               CASE WHEN event_id % 2 = 1 THEN 'run-2' ELSE 'run-1' END AS _batch_id, CAST(ts AS DATE) AS dt,
-              sha256(payload) AS _payload_hash
+              payload AS _raw_payload, sha256(payload) AS _payload_hash
             FROM (SELECT *, CASE WHEN unknown THEN left(line, length(line) - 1) || ',"channel":"web"}}'
                 WHEN wrong_type THEN replace(line, '"userID":' || user_id, '"userID":"u' || user_id || '"')
                 WHEN broken THEN left(line, length(line) - 5) ELSE line END AS payload

@@ -108,3 +108,14 @@ def test_changed_since(spark):
     since = F.lit("2024-03-01 11:00:00").cast("timestamp")
     assert [r["id"] for r in landing.changed_since(df, "m", since).collect()] == [2]
     assert landing.changed_since(df, None, since).count() == 4
+
+
+def test_a_value_lost_inside_a_struct_is_rescued(spark):
+    schema = "id long, x struct<y:long,z:string>, tags array<long>"
+    lines = ['{"id":1,"x":{"y":"bad","z":"s"},"tags":[1]}', '{"id":2,"x":{"y":5,"z":"s"},"tags":[1,"two"]}', '{"id":3,"x":{"y":5},"tags":null}']
+    df = spark.createDataFrame([(v, "/dt=2024-01-01/batch_id=b/f") for v in lines], "value string, _source_file string")
+    fields = spark.createDataFrame([], schema).schema
+    got = {r["id"]: r for r in bronze.parse_lines(df, fields, "s", "e").collect()}
+    assert json.loads(got[1]["_rescued_data"]) == {"x": '{"y":"bad","z":"s"}'}
+    assert "tags" in json.loads(got[2]["_rescued_data"])
+    assert got[3]["_rescued_data"] is None

@@ -195,3 +195,10 @@ def test_utc_now_iso(spark):
 def test_local_date_is_ahead_of_utc(spark):
     df = spark.sql("select timestamp '2024-03-01 19:00:00' as t")
     assert df.select(visits.local_date(F.col("t"), "Australia/Sydney")).first()[0] == dt.date(2024, 3, 2)
+
+
+def test_blank_dates_and_times_are_no_timestamp(spark):
+    parts = [("", "10:00"), ("2024-01-02", ""), ("2024-01-02", " "), (" ", " "), (" 2024-01-02 ", " 10:00 ")]
+    df = spark.createDataFrame(parts, "d string, t string")
+    got = [r[0] for r in df.select(visits.compose_timestamp(F.col("d"), F.col("t")).cast("string")).collect()]
+    assert got == [None, None, None, None, "2024-01-02 10:00:00"]

@@ -195,3 +195,39 @@ def test_normalise_rates(spark):
     df = spark.createDataFrame([(0.5, 34.0, 0.2, None), (1.2, 0.1, 9.0, None)], "dna_rate double, margin_pct double, revenue double, x_ratio double")
     got = [tuple(r) for r in semantic.normalise_rates(df).collect()]
     assert got == [(50.0, 34.0, 0.2, None), (120.0, 0.1, 9.0, None)]
+
+
+def test_patients_end_as_parties(spark, lake):
+    config = LakeConfig(lake.catalog, lake.storage_root, "crm", "patients", "run-1")
+    rows = [
+        (1, "A", "B", "a@x.com", "0411111111", "1980-01-01", "2000", "2024-05-01 10:00:00"),
+        (1, "A", "B", "a@y.com", "0411111111", "1980-01-01", "2000", "2024-05-02 10:00:00"),
+        (2, "A", "B", "a@y.com", "", "1980-01-01", "2000", "2024-05-01 10:00:00"),
+        (3, "C", "D", "c@z.com", "0422222222", "1990-01-01", "2001", "2024-05-01 10:00:00"),
+    ]
+    fields = "ID long, patient_first_name string, patient_last_name string, patient_email string, patient_phone string, patient_dob string, postcode string, DateModified string"
+    now = F.current_timestamp()
+    feed = spark.createDataFrame(rows, fields).withColumn("DateModified", F.date_format(now - F.expr("INTERVAL 1 DAY") + F.expr("make_interval(0,0,0,0,0,0,day(cast(DateModified as date)))"), "yyyy-MM-dd HH:mm:ss"))
+    assert pipeline.run(spark, config, feed, F.lit(AS_OF)) == []
+    party = {r["source_party_id"]: r["email_norm"] for r in spark.table(lake.table("silver", "party")).collect()}
+    assert party == {"1": "a@y.com", "2": "a@y.com", "3": "c@z.com"}
+    identity = {r["party_key"]: r["identity_key"] for r in spark.table(lake.table("silver", "party_identity")).collect()}
+    assert identity == {"crm||1": "crm||1", "crm||2": "crm||1", "crm||3": "crm||3"}
+    audit = ops_log.audit_state(spark.table(lake.table("ops", "ingest_audit"))).collect()
+    assert [(r["status"], r["record_count"], r["page_count"] > 0) for r in audit] == [("SUCCEEDED", 4, True)]
+
+
+def test_sweep_and_reconciliation_are_stored(spark, lake):
+    feed = records(spark)
+    pipeline.run(spark, lake, feed, F.lit(AS_OF))
+    visits = spark.table(lake.table("silver", "appointment"))
+    days = visits.groupBy(F.date_format("start_ts", "yyyy-MM-dd").alias("grain_value")).agg(F.count("*").cast("double").alias("amount"))
+    pipeline.reconcile_days(spark, lake, days, 0.0)
+    ids = visits.select("src_appointment_id").filter("src_appointment_id <> '1000000'").collect()
+    kept = spark.createDataFrame(ids[1:], "src_appointment_id string")
+    pipeline.sweep(spark, lake, kept, F.lit("2024-06-01").cast("timestamp"))
+    assert spark.table(lake.table("silver", "appointment")).filter("is_deleted").count() >= 1
+    pipeline.build_silver(spark, lake)
+    assert spark.table(lake.table("silver", "appointment")).filter("is_deleted").count() >= 1
+    results = spark.table(lake.table("ops", "recon_results"))
+    assert results.count() > 0 and results.filter("NOT passed OR run_ts IS NULL").count() == 0

@@ -112,6 +112,19 @@ def test_deletion_sweep(spark):
 
 
 def test_patient_list(spark):
-    patients = feed(spark, {}).select("ID", *[c for c in BASE if c.startswith("patient_")], "postcode")
-    row = silver.parties_from_patients(patients, "crm").first()
+    versions = feed(spark, {}, {"patient_email": "old@x.com", "lastModified": "1990-01-01 00:00:00"})
+    patients = versions.withColumnRenamed("lastModified", "DateModified").select(
+        "ID", *[c for c in BASE if c.startswith("patient_")], "postcode", "DateModified", "_ingest_ts", "_payload_hash"
+    )
+    (row,) = silver.parties_from_patients(patients, "crm").collect()
     assert (row["source"], row["source_party_id"], row["email_norm"]) == ("crm", "1", "ann@x.com")
+
+
+def test_deletion_marks_outlast_a_build(spark):
+    built = build(feed(spark, {"ID": 1}, {"ID": 2}))
+    ids = spark.createDataFrame([("1",)], "src_appointment_id string")
+    swept = silver.sweep_deleted(built, ids, F.lit("2024-03-01").cast("timestamp"))
+    again = by_id(silver.carry_deleted(built, swept))
+    assert {k: (r["is_deleted"], str(r["deleted_detected_at"])) for k, r in again.items()} == {
+        "1": (False, "None"), "2": (True, "2024-03-01 00:00:00"),
+    }
