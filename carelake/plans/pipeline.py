@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,10 +57,31 @@ def build_bronze(spark: SparkSession, config: LakeConfig) -> DataFrame:
     return spark.read.parquet(config.bronze_path)
 
 
+def merged_versions(spark: SparkSession, config: LakeConfig) -> DataFrame:
+    """The store of latest versions, brought up to date with bronze.
+
+    Bronze rows from the load time of the store's newest version on are merged. Some of them may
+    be in the store already; merging them again changes nothing, so a run that ended early is
+    made good by the next one.
+    """
+    ref = f"{config.storage_root}/silver_versions/{config.source}"
+    landed = spark.read.parquet(config.bronze_path)
+    schema = silver.versions_schema(landed)
+    try:
+        newest = silver.stored_versions(spark, ref, schema).agg(F.max("_ingest_ts").alias("at")).first()["at"]
+    except AnalysisException:
+        silver.create_versions(landed, ref)
+    else:
+        new = landed if newest is None else landed.filter(F.col("_ingest_ts") >= F.lit(newest))
+        silver.merge_versions(new, ref)
+    return silver.stored_versions(spark, ref, schema)
+
+
 def build_silver(spark: SparkSession, config: LakeConfig) -> None:
-    """Both silver tables of the visits from one deduplication of bronze. Marks of deletion that a
-    sweep has set are carried over from the build before."""
-    latest = stage(silver.latest_visits(spark.read.parquet(config.bronze_path)), "latest")
+    """Both silver tables of the visits, from the store of their latest versions, into which only
+    what was loaded since is merged (X01). Marks of deletion that a sweep has set are carried
+    over from the build before."""
+    latest = merged_versions(spark, config)
     built, ref = silver.appointments(latest, config.source), config.table("silver", "appointment")
     if spark.catalog.tableExists(ref):
         built = stage(silver.carry_deleted(built, spark.table(ref)), "appointment")
