@@ -89,5 +89,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     knows the true size, which is what its broadcast decisions rest on.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
