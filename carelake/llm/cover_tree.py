@@ -34,15 +34,26 @@ class Tree:
         self.centres = np.array(self.centre, dtype=float).reshape(len(self.lo), -1)
         self.norms = np.sqrt((self.centres**2).sum(axis=1))
         self.radii = np.array(self.radius)
+        self.floats = self.points.astype(float)
+        self.largest = float(np.abs(self.floats).max(initial=0))
 
 
-def build(ids: np.ndarray, points: np.ndarray, *, leaf: int = 128, fan_out: int = 16) -> Tree:
+def build(ids: np.ndarray, points: np.ndarray, *, leaf: int = 512, fan_out: int = 16) -> Tree:
     """A tree of whole-number vectors, one per row. Nodes of ``leaf`` members, or of members that
     are all equal, are not divided."""
     order = np.arange(len(ids))
     lo, hi, centre, radius, children = [], [], [], [], []
-    away = points - points[:1]
-    todo = [(0, len(ids), 0, np.sqrt((away.astype(float) ** 2).sum(axis=1)), None)]
+    exact = points.astype(float)
+    squares = np.einsum("ij,ij->i", exact, exact)
+
+    def distances(members: np.ndarray, middle: int) -> np.ndarray:
+        """Rounded up, so that radii never come out too small."""
+        apart = squares[members] + squares[middle] - 2.0 * (exact[members] @ exact[middle])
+        apart[members == middle] = 0.0
+        return np.sqrt(np.maximum(apart, 0.0) + (squares[members] + squares[middle]) * 1e-12)
+
+    everyone = np.arange(len(ids))
+    todo = [(0, len(ids), 0, distances(everyone, 0) if len(ids) else np.zeros(0), None)]
     while todo:
         start, stop, middle, far, parent = todo.pop()
         node = len(lo)
@@ -50,17 +61,17 @@ def build(ids: np.ndarray, points: np.ndarray, *, leaf: int = 128, fan_out: int
             children[parent].append(node)
         lo.append(start)
         hi.append(stop)
-        centre.append(points[middle].astype(float))
+        centre.append(exact[middle] if len(ids) else np.zeros(points.shape[1]))
         radius.append(float(far.max()) if len(far) else 0.0)
         children.append([])
-        if stop - start <= leaf or radius[node] == 0:
-            continue
         own = order[start:stop]
+        if stop - start <= leaf or not (exact[own] != exact[middle]).any():
+            continue
         nearest, distance, middles = np.zeros(len(own), dtype=int), far.copy(), [middle]
-        while len(middles) < fan_out and distance.max() > radius[node] / 2 or len(middles) == 1:
+        while len(middles) == 1 or (len(middles) < fan_out and distance.max() > radius[node] / 2):
             new = int(distance.argmax())
             middles.append(own[new])
-            to_new = np.sqrt(((points[own] - points[own[new]]).astype(float) ** 2).sum(axis=1))
+            to_new = distances(own, own[new])
             closer = to_new < distance
             nearest[closer], distance[closer] = len(middles) - 1, to_new[closer]
         by_child = np.argsort(nearest, kind="stable")
@@ -72,14 +83,12 @@ def build(ids: np.ndarray, points: np.ndarray, *, leaf: int = 128, fan_out: int
     return Tree(ids[order], points[order], lo, hi, centre, radius, children)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of two whole-number arrays, exact; held within 64 bits."""
-    if not len(a) or not len(b):
-        return np.zeros((len(a), len(b)), dtype=np.int64)
-    largest = float(np.abs(a.astype(float)).max()) * float(np.abs(b.astype(float)).max()) * a.shape[1]
-    if largest < _EXACT:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    wide = a.astype(object) @ b.astype(object).T
+def products(a: Tree, lo: int, hi: int, b: Tree, start: int, stop: int) -> np.ndarray:
+    """Inner products of some rows of two trees, exact, as doubles where these hold them and
+    otherwise as integers within 64 bits."""
+    if a.largest * b.largest * a.points.shape[1] < _EXACT:
+        return a.floats[lo:hi] @ b.floats[start:stop].T
+    wide = a.points[lo:hi].astype(object) @ b.points[start:stop].astype(object).T
     bounds = np.iinfo(np.int64)
     return np.array([[min(max(x, bounds.min), bounds.max) for x in row] for row in wide], dtype=np.int64)
 
@@ -104,22 +113,26 @@ class Best:
         return float(self.scores[lo:hi, -1].min()) if full.all() else -np.inf
 
     def offer(self, lo: int, hi: int, scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray) -> None:
+        """Take in the scores of queries ``lo`` to ``hi`` with the rows of ``ids``. Only scores that
+        reach a query's worst are looked at; they are sorted together with those it has."""
         k = self.scores.shape[1]
-        rows = np.flatnonzero(((scores >= self.scores[lo:hi, -1:]) | ~self.taken[lo:hi, -1:]).any(axis=1))
-        if not len(rows):
+        row, column = np.nonzero((scores >= self.scores[lo:hi, -1:]) | ~self.taken[lo:hi, -1:])
+        own = ids[column] == query_ids[row]
+        row, column = row[~own], column[~own]
+        if not len(row):
             return
-        at = lo + rows
-        all_ids = np.broadcast_to(ids, (len(rows), len(ids)))
-        s = np.concatenate([self.scores[at], scores[rows]], axis=1)
-        i = np.concatenate([self.ids[at], all_ids], axis=1)
-        t = np.concatenate([self.taken[at], all_ids != query_ids[rows][:, None]], axis=1)
-        order = np.lexsort((i, -s.astype(float), ~t), axis=-1)
-        if np.abs(s[t]).max(initial=0) >= _EXACT:  # too large to be told apart as doubles
-            order = np.array([sorted(range(s.shape[1]), key=lambda j: (not t[r, j], -int(s[r, j]), i[r, j])) for r in range(len(rows))])
-        order = order[:, :k]
-        self.scores[at], self.ids[at], self.taken[at] = (
-            np.take_along_axis(x, order, axis=1) for x in (s, i, t)
-        )
+        rows = np.unique(row)
+        held, place = np.nonzero(self.taken[lo + rows])
+        of = np.concatenate([rows[held], row])
+        new_scores = np.concatenate([self.scores[lo + rows[held], place], scores[row, column].astype(np.int64)])
+        new_ids = np.concatenate([self.ids[lo + rows[held], place], ids[column]])
+        # Negated bit by bit, which also has the lowest 64-bit number.
+        order = np.lexsort((new_ids, ~new_scores, of))
+        of, new_scores, new_ids = of[order], new_scores[order], new_ids[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        best = rank < k
+        at = (lo + of[best], rank[best])
+        self.scores[at], self.ids[at], self.taken[at] = new_scores[best], new_ids[best], True
 
 
 def top_k(queries: Tree, data: Tree, k: int) -> tuple[Best, int]:
@@ -143,7 +156,7 @@ def top_k(queries: Tree, data: Tree, k: int) -> tuple[Best, int]:
         below_q, below_x = queries.children[q], data.children[x]
         if not below_q and not below_x:
             start, stop = data.lo[x], data.hi[x]
-            scores = products(queries.points[lo:hi], data.points[start:stop])
+            scores = products(queries, lo, hi, data, start, stop)
             multiplied += scores.size
             best.offer(lo, hi, scores, data.ids[start:stop], queries.ids[lo:hi])
         elif below_x and (not below_q or data.radii[x] >= queries.radii[q]):

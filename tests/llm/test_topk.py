@@ -55,7 +55,8 @@ def test_awkward_vectors(spark):
 def test_scores_beyond_doubles(spark):
     rows = [(i, [f32(2.0**21 + 64 * i), f32(2.0**22 + 64 * i + 1)]) for i in range(9)]
     assert found(spark, rows) == brute(rows, [0, 3, 6], 5)
-    assert cover_tree.products(np.array([[2**62, 2**62]]), np.array([[4, 4]])).tolist() == [[2**63 - 1]]
+    large, four = (cover_tree.build(np.array([1]), np.array([[n, n]])) for n in (2**62, 4))
+    assert cover_tree.products(large, 0, 1, four, 0, 1).tolist() == [[2**63 - 1]]
 
 
 def test_a_tree_covers_its_members():
