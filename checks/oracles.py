@@ -486,6 +486,12 @@ def all_oracles() -> dict[str, str]:
         "duplicate_keys": """
             SELECT src_appointment_id, count(*) AS versions FROM typed GROUP BY 1 HAVING count(*) > 1""",
         "dq_trend": _monthly_checks(),
+        "dq_history": f"""
+            SELECT *, row_number() OVER (ORDER BY run_ts DESC, check_name) - 1 AS place
+            FROM ({_checks(_APPOINTMENT_CHECKS + _PARTY_CHECKS)})
+            CROSS JOIN (SELECT unnest([TIMESTAMP '2001-09-29 00:00:00', {AS_OF}]) AS run_ts)""",
+        "response_records": """
+            SELECT event_id AS "ID", event_type AS kind, value FROM events""",
         "reconcile": """
             SELECT 'appointment_count' AS check_name, 'visit day' AS grain, grain_value, source_value, platform_value,
               coalesce(platform_value, 0) - coalesce(source_value, 0) AS variance, 2.0::DOUBLE AS tolerance,

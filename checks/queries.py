@@ -12,7 +12,7 @@ from carelake.operators import components, dedupe, matching
 from carelake.plans import gold, marts, quality, semantic, silver
 from carelake.session import new_path, stage, tune
 from carelake.sources import landing, ops_log, testdata
-from carelake.sources.tables import read_table, table_census
+from carelake.sources.tables import append_table, read_table, table_census
 from carelake.sources.testdata import SECOND_SOURCE, SOURCE
 from carelake.streaming import bronze
 
@@ -303,6 +303,36 @@ def dq_trend(spark, sf_dir):
     return ops_log.dq_trend(monthly)
 
 
+@_query
+def dq_history(spark, sf_dir):
+    """The checks as a ledger: appended by two runs and read back, those of the last run first;
+    ``place`` is the row's place in that order."""
+    latest = stage(_latest(spark, sf_dir), "latest")
+    found = stage(
+        quality.quality_checks(silver.appointments(latest, SOURCE), silver.party_candidates(latest, SOURCE), _as_of()),
+        "results",
+    )
+    ref = new_path(spark, "dq-results")
+    for run in ("2001-09-29", AS_OF):
+        append_table(found.withColumn("run_ts", F.lit(run).cast("timestamp")), ref)
+    # Twenty-four rows, whatever the tables hold.
+    read = quality.latest_first(read_table(spark, ref)).coalesce(1)
+    return read.withColumn("place", F.monotonically_increasing_id())
+
+
+@_query
+def response_records(spark, sf_dir):
+    """All events as responses of the source, one per user, and their records taken out again."""
+    record = F.struct(F.col("event_id").alias("ID"), F.col("event_type").alias("kind"), "value")
+    listed = testdata.table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(record).alias("patients"))
+    body = F.struct(
+        F.lit("success").alias("status"), F.struct(F.struct("patients").alias("results")).alias("data")
+    )
+    records = landing.response_records(listed.select(F.to_json(body).alias("value")), "patients")
+    read = F.from_json("value", "ID long, kind string, value double")
+    return records.select(read.alias("r")).select("r.*")
+
+
 @_query
 def reconcile(spark, sf_dir):
     """Visits per day: rows that the source sent against rows that silver kept."""
