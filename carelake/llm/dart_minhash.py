@@ -125,15 +125,3 @@ def bands(values: np.ndarray, rows: int) -> np.ndarray:
         keys = mix(keys * _STEP + grouped[:, :, i])
     return keys.view(np.int64)
 
-
-def similarity(a: np.ndarray, b: np.ndarray, weighted: bool) -> float:
-    """Jaccard similarity of two arrays of elements; their repeats are the weights, or nothing."""
-    a, in_a = np.unique(a, return_counts=True)
-    b, in_b = np.unique(b, return_counts=True)
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not weighted:
-        both, either = len(at_a), len(a) + len(b) - len(at_a)
-    else:
-        both = int(np.minimum(in_a[at_a], in_b[at_b]).sum())
-        either = int(in_a.sum() + in_b.sum()) - both
-    return both / either if either else 0.0

@@ -1,14 +1,16 @@
 """Near-duplicate documents: DartMinHash signatures, banded joining, exact verification.
 
 1. Documents of equal text are one node from the start, however many there are.
-2. Signatures are cut into bands; nodes that share a band may be near-duplicates. Within a band
-   each node is compared with the smallest one only, never all with all.
-3. A comparison is exact: the similarity of the sets of shingles of the two texts.
+2. Signatures are cut into bands; nodes that share a band may be near-duplicates. Each band has
+   a leader, the node that shares most bands with others, and its nodes are compared with the
+   leader only, never all with all.
+3. A comparison is exact: the similarity of the sets of shingles of the two texts. It also says
+   which of the leader's shingles the other text has, and which others.
 4. Connected components of what is similar are the classes.
-5. Where a band holds nodes of several classes after that, pairs across them may be missing that
-   the smallest node did not tell. Distances to it exclude most of them, since they obey the
-   triangle inequality; the others are compared as well. So no two nodes that share a band
-   stay apart for not having been compared.
+5. Where nodes that were compared with one leader are of several classes after that, some may be
+   similar without the leader being so. From what was kept in step 3 their similarity follows
+   exactly: they meet in blocks of a bounded number of nodes, and only links come out of that.
+   So no two nodes that share a band stay apart for not having been compared.
 
 Defined results: texts without words, NULL among them, are nobody's duplicates, but equal ones of
 each other where not NULL; texts of fewer words than a shingle have one shingle, of all their
@@ -31,6 +33,8 @@ from carelake.session import stage
 SHINGLE = 5
 THRESHOLD = 0.8
 COORDINATES, BAND_ROWS = 128, 4
+# Nodes of one leader that a task holds, twice at most.
+BLOCK = 1_024
 
 
 def shingles(words, n: int = SHINGLE):
@@ -111,18 +115,44 @@ def counted(owner, elements):
     return owner[start], elements[start], np.diff(np.append(start, len(owner))).astype(float)
 
 
+def units(elements, weighted: bool):
+    """Distinct elements, ascending; with weights, each occurrence of an element is one of its own,
+    so that the similarity of these sets is the weighted one."""
+    import numpy as np
+
+    from carelake.llm.superkmers import mix
+
+    if weighted:
+        _, values, counts = counted(np.zeros(len(elements), dtype=np.int64), elements)
+        nth = np.arange(len(elements)) - np.repeat(np.cumsum(counts) - counts, counts.astype(np.int64))
+        elements = mix(np.repeat(values, counts.astype(np.int64)) ^ mix(nth.astype(np.uint64)))
+    return np.unique(elements)
+
+
+def told_by(leader, other) -> tuple[float, bytes, bytes]:
+    """Similarity of two sets of units; a bit for each of the leader's that the other one has; and
+    what else the other one has."""
+    import numpy as np
+
+    both = np.isin(leader, other, assume_unique=True)
+    more = np.setdiff1d(other, leader, assume_unique=True)
+    either = len(leader) + len(more)
+    return int(both.sum()) / either if either else 0.0, np.packbits(both).tobytes(), more.tobytes()
+
+
 def _compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, weighted: bool) -> DataFrame:
-    """``a, b, similarity`` of pairs of nodes: the text of a node is that of its first document."""
+    """``a, b, similarity, has, more`` of pairs of a leader a and a node b (see ``told_by``): the
+    text of a node is that of its first document."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from carelake.llm.dart_minhash import similarity
-        from carelake.llm.near_dedup import elements_of
+        from carelake.llm.near_dedup import elements_of, told_by, units
 
         for batch in batches:
             left, right = elements_of(batch.column(2)), elements_of(batch.column(3))
-            found = [similarity(x, y, weighted) for x, y in zip(left, right, strict=True)]
+            told = [told_by(units(x, weighted), units(y, weighted)) for x, y in zip(left, right, strict=True)]
+            columns = [pa.array([t[i] for t in told], k) for i, k in enumerate((pa.float64(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "similarity"]
+                [batch.column(0), batch.column(1), *columns], names=["a", "b", "similarity", "has", "more"]
             )
 
     texts = docs.select(docs["doc_id"].cast("long").alias("_doc"), digest(docs).alias("_digest"), docs["text"].alias("_text"))
@@ -135,7 +165,8 @@ def _compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, weighted: boo
         return joined.drop("first", "digest", "_doc", "_digest")
 
     both = with_text(with_text(pairs, "a"), "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(compare, "a long, b long, similarity double").dropDuplicates(["a", "b"])
+    schema = "a long, b long, similarity double, has binary, more binary"
+    return both.mapInArrow(compare, schema).dropDuplicates(["a", "b"])
 
 
 def elements_of(texts: pa.Array) -> list:
@@ -155,18 +186,11 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, weighted:
     nodes = nodes.filter("digest IS NOT NULL").withColumn("node", F.monotonically_increasing_id())
     nodes = stage(nodes, "nodes")
 
-    band = nodes.select("node", F.explode("bands").alias("band"))
-    shared = band.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("size")).filter("size > 1")
-    shared = stage(shared.select(F.col("band").alias("_band"), "least"), "shared-bands")
-    members = stage(band.join(shared, F.col("band") == F.col("_band")).select("band", "node", "least"), "members")
-
-    pairs = members.filter("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    compared = stage(_compared(pairs, nodes, docs, weighted), "compared")
+    compared = stage(_compared(_with_leaders(nodes), nodes, docs, weighted), "compared")
     links = compared.filter(F.col("similarity") >= threshold).select("a", "b")
     component = stage(connected_components(nodes.select("node"), links), "components")
 
-    more = stage(_compared(_open_pairs(members, component, compared, threshold), nodes, docs, weighted), "compared")
-    late = more.filter(F.col("similarity") >= threshold).select("a", "b")
+    late = stage(_links_past_leaders(compared, component, threshold), "late-links")
     if not late.isEmpty():
         component = stage(connected_components(nodes.select("node"), links.unionByName(late)), "components")
 
@@ -184,23 +208,91 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, weighted:
     return joined.select("doc_id", "digest", of_null.alias("class_id"), kept.alias("kept"))
 
 
-def _open_pairs(members: DataFrame, component: DataFrame, compared: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that share a band but no component, were not compared, and can be similar by their
-    distances to the band's smallest node: these differ by no more than the pair's own."""
-    placed = members.join(component, "node").join(
-        compared.select(F.col("a").alias("least"), F.col("b").alias("node"), "similarity"), ["least", "node"], "left"
+def _with_leaders(nodes: DataFrame) -> DataFrame:
+    """``a, b``: each node with the leaders of its bands. A text with many near copies shares more
+    bands than its copies do among themselves, so it is the one to lead where it is."""
+    band = nodes.select("node", F.explode("bands").alias("band"))
+    shared = band.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = stage(shared.select(F.col("band").alias("_band"), "size"), "shared-bands")
+    members = stage(band.join(shared, F.col("band") == F.col("_band")).select("band", "node", "size"), "members")
+    degree = members.groupBy("node").agg(F.sum("size").alias("degree")).select(F.col("node").alias("_node"), "degree")
+    ranked = members.join(stage(degree, "degrees"), F.col("node") == F.col("_node"))
+    first = F.struct(F.col("degree"), (-F.col("node")).alias("n"))
+    leader = ranked.groupBy("band").agg(F.max(first).alias("top"))
+    leader = stage(leader.select(F.col("band").alias("_band"), (-F.col("top.n")).alias("a")), "leaders")
+    led = members.join(leader, F.col("band") == F.col("_band")).filter("node <> a")
+    return led.select("a", F.col("node").alias("b")).distinct()
+
+
+def _links_past_leaders(compared: DataFrame, component: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: similar nodes of different components that were compared with the same leader.
+
+    Only leaders are looked at whose nodes are of several components. The nodes of one are dealt
+    into blocks, and each pair of blocks meets in one group.
+    """
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from carelake.llm.near_dedup import links_between
+
+        own, rows = None, []
+        for batch in batches:
+            found: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != own:
+                    found += links_between(rows, threshold)
+                    own, rows = row[:3], []
+                rows.append(row)
+            yield _pairs(found)
+        yield _pairs(links_between(rows, threshold))
+
+    placed = compared.join(component.withColumnRenamed("node", "b"), "b")
+    led = placed.groupBy("a").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")
     )
-    placed = stage(placed.select("band", "node", "component", (1 - F.col("similarity")).alias("away")), "placed")
-    several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    several = several.filter("lo < hi").select(F.col("band").alias("_band"))
-    # The smallest node itself has no distance here; it was compared with every other one.
-    open_ = placed.filter("away IS NOT NULL").join(several, F.col("band") == F.col("_band"), "left_semi")
-    left = open_.select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("away").alias("da"))
-    right = open_.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("away").alias("db"))
-    near = F.abs(F.col("da") - F.col("db")) <= 1 - threshold + 1e-9
-    pairs = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near)
-    done = compared.select("a", "b")
-    return pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    open_ = stage(led.filter("lo < hi").select(F.col("a").alias("_a"), blocks.alias("blocks")), "open-leaders")
+    rows = placed.join(open_, F.col("a") == F.col("_a"))
+    block = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = [F.col("a"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    dealt = rows.select(*cell, "block", "b", "component", "has", "more").repartition("a", "i", "j")
+    return dealt.sortWithinPartitions("a", "i", "j").mapInArrow(search, "a long, b long").distinct()
+
+
+def _pairs(found: list[tuple]) -> pa.RecordBatch:
+    arrays = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
+    return pa.RecordBatch.from_arrays(arrays, names=["a", "b"])
+
+
+def links_between(rows: list[tuple], threshold: float) -> list[tuple[int, int]]:
+    """Links across the two blocks of a cell, or within its only one: of rows (leader, i, j, block,
+    node, component, has, more). What two nodes have in common is what both have of the leader's,
+    and what else both have; the latter is counted only where it can matter."""
+    import numpy as np
+
+    if len({r[5] for r in rows}) < 2:
+        return []
+    has = np.unpackbits(np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
+    has = has.astype(np.float32)
+    more = [np.frombuffer(r[7], np.uint64) for r in rows]
+    extra = np.array([len(m) for m in more])
+    size = has.sum(axis=1).astype(np.int64) + extra
+    block, node, component = (np.array([r[i] for r in rows]) for i in (3, 4, 5))
+    left = np.flatnonzero(block == rows[0][1])
+    right = np.flatnonzero(block == rows[0][2])
+    if not len(left) or not len(right):
+        return []
+    shared = (has[left] @ has[right].T).astype(np.int64)
+    at_most = shared + np.minimum(extra[left][:, None], extra[right][None, :])
+    total = size[left][:, None] + size[right][None, :]
+    open_ = (at_most >= threshold * (total - at_most) - 1e-9) & (component[left][:, None] != component[right][None, :])
+    found = []
+    for x, y in zip(*np.nonzero(open_), strict=True):
+        a, b = left[x], right[y]
+        both = shared[x, y] + len(np.intersect1d(more[a], more[b], assume_unique=True))
+        if node[a] != node[b] and both and both / (total[x, y] - both) >= threshold:
+            found.append((int(min(node[a], node[b])), int(max(node[a], node[b]))))
+    return found
 
 
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:

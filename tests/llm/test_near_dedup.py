@@ -75,14 +75,21 @@ def test_groups_of_copies(spark, prose):
     check(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4))
 
 
-def test_pairs_that_the_smallest_does_not_tell(spark):
-    """b and c are similar, and neither is to a, the smallest of all their bands."""
-    band = [(k, n, 0) for k in range(3) for n in (0, 1, 2, 3)]
-    members = spark.createDataFrame(band, "band long, node long, least long")
-    component = spark.createDataFrame([(0, 0), (1, 1), (2, 2), (3, 3)], "node long, component long")
-    compared = spark.createDataFrame([(0, 1, 0.7), (0, 2, 0.65), (0, 3, 0.1)], "a long, b long, similarity double")
-    pairs = near_dedup._open_pairs(members, component, compared, 0.8).collect()
-    assert [tuple(r) for r in pairs] == [(1, 2)]
+@pytest.mark.parametrize("block", [1_024, 2])
+def test_nodes_that_are_similar_past_their_leader(spark, monkeypatch, block):
+    """1 and 2 are similar, and neither is to 0, that leads all of them."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(9)
+    leader = np.arange(100, dtype=np.uint64)
+    sets = {1: [*range(50), *range(200, 300)], 2: [*range(45), *range(200, 305)], 3: [*range(40), *range(900, 960)],
+            **{n: [*range(30, 90), *rng.sample(range(1000, 9000), 70)] for n in range(4, 12)}}
+    sets[12] = sets[5][:-3]
+    told = {n: near_dedup.told_by(leader, np.unique(np.array(s, dtype=np.uint64))) for n, s in sets.items()}
+    rows = [(0, n, *(bytearray(x) if isinstance(x, bytes) else x for x in t)) for n, t in told.items()]
+    compared = spark.createDataFrame(rows, "a long, b long, similarity double, has binary, more binary")
+    component = spark.createDataFrame([(n, n) for n in range(13)], "node long, component long")
+    links = near_dedup._links_past_leaders(compared, component, 0.8).collect()
+    assert sorted(tuple(r) for r in links) == [(1, 2), (5, 12)]
 
 
 def test_nothing(nothing):
@@ -118,9 +125,10 @@ def test_signatures_estimate_similarity(weighted, n):
 
 def test_similarity_of_weights():
     a, b = np.array([1, 1, 1, 2], dtype=np.uint64), np.array([1, 3], dtype=np.uint64)
-    assert dart_minhash.similarity(a, b, weighted=False) == 1 / 3
-    assert dart_minhash.similarity(a, b, weighted=True) == 1 / 5
-    assert dart_minhash.similarity(a[:0], b[:0], weighted=True) == 0.0
+    similarity = lambda x, y, weighted: near_dedup.told_by(*(near_dedup.units(v, weighted) for v in (x, y)))[0]
+    assert similarity(a, b, False) == 1 / 3
+    assert similarity(a, b, True) == 1 / 5
+    assert similarity(a[:0], b[:0], True) == 0.0
 
 
 def test_weighted_classes(spark, prose):
