@@ -24,8 +24,3 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Few rows to an Arrow batch, so that a Python worker holds a bounded number of texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
-def keyed(df: DataFrame, *columns: str) -> DataFrame:
-    """Only ``columns`` of ``df``; whatever else it has cannot clash with an operator's own."""
-    return df.select(*[df[c] for c in columns])

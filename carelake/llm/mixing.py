@@ -86,8 +86,6 @@ def _share(family: DataFrame, parent: Sequence[str], name: str) -> DataFrame:
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    if not keys:
-        return left.join(F.broadcast(right))
     renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     return left.join(renamed, reduce(lambda a, b: a & b, same), how).drop(*[f"_k_{k}" for k in keys])
