@@ -31,6 +31,7 @@ from carelake.session import stage
 
 MINIMISER_WORDS = 5
 HOT_ROWS = 1_000
+SALTS = 16
 _KEY = "doc_id long, h long"
 _PACKED = f"{_KEY}, minimiser long, start int, n int, packed string"
 _FOUND = f"{_KEY}, start int, n int"
@@ -176,21 +177,32 @@ def _spans(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _of_hot(packed: DataFrame, k: int) -> DataFrame:
-    """The same for hot minimisers, by counts of whole strings and then of single windows."""
+    """The same for hot minimisers, by counts of whole strings and then of single windows.
+
+    One string, or one window, may still be that of a third of all rows. Counting combines it
+    before the shuffle; to find its rows again, these are dealt by a salt as well, and each of
+    the few counted ones is given to every salt.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     strings = packed.groupBy("minimiser", "packed").agg(
         F.count("*").alias("c"), F.min(F.struct("doc_id", "h", "start")).alias("at"), F.min("n").alias("n")
     )
-    many = strings.filter("c > 1").select(F.col("minimiser").alias("_m"), F.col("packed").alias("_p"))
-    same = (packed["minimiser"] == F.col("_m")) & (packed["packed"] == F.col("_p"))
-    whole = packed.join(many, same).select("doc_id", "h", "start", "n")
+    many = strings.filter("c > 1").select(
+        F.col("minimiser").alias("_m"), F.col("packed").alias("_p"), salts.alias("_s")
+    )
+    salted = packed.withColumn("salt", F.pmod(F.xxhash64("doc_id", "h", "start"), F.lit(SALTS)).cast("int"))
+    same = (F.col("minimiser") == F.col("_m")) & (F.col("packed") == F.col("_p")) & (F.col("salt") == F.col("_s"))
+    whole = salted.join(many, same).select("doc_id", "h", "start", "n")
 
     words = F.split("packed", " ", -1)
     windows = strings.select("c", "at", words.alias("w"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
     windows = windows.select(
         "c", "at", "j", F.array_join(F.slice("w", F.col("j") + 1, k), " ").alias("window")
     )
-    again = windows.groupBy("window").agg(F.sum("c").alias("n")).filter("n > 1").select(F.col("window").alias("_w"))
-    alone = windows.filter("c = 1").join(again, F.col("window") == F.col("_w"))
+    again = windows.groupBy("window").agg(F.sum("c").alias("n")).filter("n > 1")
+    again = again.select(F.col("window").alias("_w"), salts.alias("_s"))
+    alone = windows.filter("c = 1").withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(SALTS)).cast("int"))
+    alone = alone.join(again, (F.col("window") == F.col("_w")) & (F.col("salt") == F.col("_s")))
     return whole.unionByName(
         alone.select("at.doc_id", "at.h", (F.col("at.start") + F.col("j")).alias("start"), F.lit(1).alias("n"))
     )
