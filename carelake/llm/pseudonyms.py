@@ -10,12 +10,19 @@ fixed format; they become a keyed digest at a domain that cannot exist.
 Only valid values are touched: card numbers of 13 to 19 digits with a right check digit, phone
 numbers of 10 to 13 digits written as such, addresses of bytes, days of 1800 to 2199.
 
+A card number begins and ends where a group of digits does, and may stand beside other numbers.
+Usual groupings (all in one, 4-4-4-4, 4-4-4-4-3, 4-6-5, 4-6-4) go before all other kinds, and any
+other grouping by single spaces and hyphens after them; there, one of ten lists of numbers passes
+the check by chance at each length and is rewritten too.
+
 Defined results: NULL text stays NULL and has none; empty text stays empty; repeated rows come
 out alike; long texts are rewritten whole; other columns pass through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +40,27 @@ _PHONE = (
     r"|(?<![\p{L}\p{N}.+-])(?:\+\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\p{N}-])"
     r"|(?<![\p{L}\p{N}])\+\d{10,13}(?!\p{N})"
 )
-_CARD = r"(?<![\p{L}\p{N}.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}]|-\p{N})"
-_ANY = "|".join((_MAIL, _ISO, _DAY_FIRST, _IP, _PHONE, _CARD))
+_OTHERS = "|".join((_MAIL, _ISO, _DAY_FIRST, _IP, _PHONE))
+
+# Where a card number can begin: not in a word or a number, nor where a phone number of 13 digits does.
+_START = r"(?<![\p{L}\p{N}.-])(?!(?<=\+)\d{13}(?!\p{N}))(?=(\d(?:[ -]?\d){12}(?s:.{0,100})))"
+_END = r"(?![\p{L}\p{N}]|-\p{N}|[\p{L}\p{N}._%+-]*@[A-Za-z0-9-])"
+_USUAL = (
+    r"\d{4}(?:[ -]\d{4}){3}",
+    r"\d{4}[ -]\d{6}[ -]\d{5}",
+    r"\d{4}[ -]\d{6}[ -]\d{4}",
+    r"\d{13,19}",
+    r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}",
+)
+_LOOSE = tuple(rf"\d(?:[ -]?\d){{{n - 1}}}" for n in (16, 15, 14, 13, 19, 18, 17))
+# Characters that stand for nothing mark where a valid number of 13 to 19 digits begins. Should a
+# text have some of its own, they are put between two more.
+_MARKS = "\ufdd0\ufdd1\ufdd2\ufdd3\ufdd4\ufdd5\ufdd6"
+_OPEN, _CLOSE = "\ufdde", "\ufddf"
+_MARKED = "|".join(
+    rf"(?<!{_OPEN}){mark}\d(?:[ -]?[{_MARKS}]*\d){{{n - 1}}}" for n, mark in enumerate(_MARKS, 13)
+)
+_WORTH = rf"{_OTHERS}|{_START}"
 
 _FIRST_DAY = "1800-01-01"
 # 400 years of the calendar have 146,097 days, which is 189 times 773.
@@ -190,13 +216,11 @@ def kind_of(s: Column) -> Column:
     day = _day(s)
     in_range = day.between(F.lit(_FIRST_DAY).cast("date"), F.lit("2199-12-31").cast("date"))
     bytes_ = F.forall(F.split(s, r"\."), lambda p: p.cast("int") <= 255)
-    n = F.length(_digits(s))
     return (
         F.when(F.contains(s, F.lit("@")), "email")
         .when(F.regexp_like(s, F.lit(f"^(?:{_ISO}|{_DAY_FIRST})$")), F.when(in_range, "date"))
         .when(F.regexp_like(s, F.lit(f"^(?:{_IP})$")), F.when(bytes_, "ip"))
-        .when(F.regexp_like(s, F.lit(f"^(?:{_PHONE})$")), F.when(n.between(10, 13), "phone"))
-        .otherwise(F.when(n.between(13, 19) & F.call_function("luhn_check", _digits(s)), "card"))
+        .when(F.length(_digits(s)).between(10, 13), "phone")
     )
 
 
@@ -206,32 +230,107 @@ def _pseudonym(key: str, s: Column, kind: Column) -> Column:
         .when(kind == "date", _date(key, s))
         .when(kind == "ip", _ip(key, s))
         .when(kind == "phone", _phone(key, s))
-        .when(kind == "card", _card(key, s))
         .otherwise(s)
     )
 
 
+def _piece(new: Column, kind: Column) -> Column:
+    return F.struct(new.alias("new"), kind.cast("string").alias("kind"))
+
+
+def _cut(text: Column, regex: str, of: Callable[[Column], Column], rest: Callable[[Column], Column]) -> Column:
+    """Pieces of a text in order: ``of`` a match is one, ``rest`` of what is between them several."""
+
+    def pieces(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(regex), F.lit(0)), of)
+        return let(
+            found,
+            lambda f: F.flatten(
+                F.transform(F.split(t, regex, -1), lambda gap, i: F.concat(rest(gap), F.slice(f, i + 1, F.lit(1))))
+            ),
+        )
+
+    return let(text, pieces)
+
+
+def _mark_cards(text: Column, forms: Sequence[str]) -> Column:
+    """``text`` with a mark wherever a valid card number begins, for the first form that is one."""
+
+    def mark(ahead: Column) -> Column:
+        def of_form(form: str) -> Column:
+            number = _digits(F.regexp_extract(ahead, f"^({form}){_END}", 1))
+            return let(
+                number,
+                lambda n: F.when(
+                    F.call_function("luhn_check", n), F.substring(F.lit(_MARKS), F.length(n) - 12, F.lit(1))
+                ),
+            )
+
+        return F.coalesce(*[of_form(form) for form in forms], F.lit(""))
+
+    def marked(t: Column) -> Column:
+        marks = F.transform(F.regexp_extract_all(t, F.lit(_START), F.lit(1)), mark)
+        return let(
+            marks,
+            lambda ms: F.array_join(
+                F.transform(
+                    F.split(t, _START, -1),
+                    lambda piece, i: F.when(i == 0, F.substring(piece, F.lit(2), F.length(piece))).otherwise(
+                        F.concat(F.get(ms, i - 1), piece)
+                    ),
+                ),
+                "",
+            ),
+        )
+
+    # The line break is there so that no card begins the text, and every piece but the first has a mark.
+    own = F.regexp_replace(text, f"([{_MARKS}{_OPEN}{_CLOSE}])", f"{_OPEN}$1{_CLOSE}")
+    return let(
+        own, lambda t: F.when(F.regexp_like(t, F.lit(_START)), marked(F.concat(F.lit("\n"), t))).otherwise(t)
+    )
+
+
+def _unmarked(text: Column) -> Column:
+    return F.regexp_replace(text, f"{_OPEN}(.){_CLOSE}|[{_MARKS}]", "$1")
+
+
+def _pieces(key: str, text: Column) -> Column:
+    """Cards in a usual grouping are found first, then all other kinds, then cards grouped anyhow.
+    Each kind is looked for in all that those before have left."""
+
+    def plain(t: Column) -> Column:
+        return F.array(_piece(t, F.lit(None)))
+
+    def cards(t: Column, forms: Sequence[str], rest: Callable[[Column], Column]) -> Column:
+        return _cut(
+            _mark_cards(t, forms),
+            _MARKED,
+            lambda m: let(_unmarked(m), lambda s: _piece(_card(key, s), F.lit("card"))),
+            lambda gap: let(_unmarked(gap), rest),
+        )
+
+    def others(t: Column) -> Column:
+        found = _cut(
+            t,
+            _OTHERS,
+            lambda s: let(kind_of(s), lambda kind: _piece(_pseudonym(key, s, kind), kind)),
+            lambda gap: cards(gap, _LOOSE, plain),
+        )
+        return F.when(F.regexp_like(t, F.lit("[0-9@]")), found).otherwise(plain(t))
+
+    return cards(text, _USUAL, others)
+
+
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``pii``, an array of the kinds found,
     in the order of the text. Most texts have neither a digit nor an @ and are passed as they are."""
     text = docs["text"]
 
-    def parts(t: Column) -> Column:
-        found = F.transform(
-            F.regexp_extract_all(t, F.lit(_ANY), F.lit(0)),
-            lambda s: let(
-                kind_of(s),
-                lambda k: F.struct(_pseudonym(key, s, k).alias("new"), k.alias("kind")),
-            ),
-        )
-        return F.struct(F.split(t, _ANY, -1).alias("gaps"), found.alias("found"))
-
-    def rebuilt(p: Column) -> Column:
-        pieces = F.transform(p["gaps"], lambda g, i: F.concat(g, F.coalesce(F.get(p["found"], i)["new"], F.lit(""))))
-        kinds = F.filter(F.transform(p["found"], lambda f: f["kind"]), lambda k: k.isNotNull())
-        return F.struct(F.array_join(pieces, "").alias("text"), kinds.alias("pii"))
+    def rebuilt(pieces: Column) -> Column:
+        kinds = F.filter(F.transform(pieces, lambda p: p["kind"]), lambda k: k.isNotNull())
+        return F.struct(F.array_join(F.transform(pieces, lambda p: p["new"]), "").alias("text"), kinds.alias("pii"))
 
     untouched = F.struct(text.alias("text"), F.array().cast("array<string>").alias("pii"))
-    worth = F.regexp_like(text, F.lit("[0-9@]")) & F.regexp_like(text, F.lit(_ANY))
-    done = docs.withColumn("_done", F.when(worth, let(parts(text), rebuilt)).otherwise(untouched))
+    worth = F.regexp_like(text, F.lit("[0-9@]")) & F.regexp_like(text, F.lit(_WORTH))
+    done = docs.withColumn("_done", F.when(worth, let(_pieces(key, text), rebuilt)).otherwise(untouched))
     return done.withColumns({"text": F.col("_done.text"), "pii": F.col("_done.pii")}).drop("_done")

@@ -92,6 +92,35 @@ def test_several_in_one_text(spark):
     assert parts and parts[1] == parts[3] != card(1)
 
 
+def test_cards_beside_other_numbers(spark):
+    visa, amex, long_ = "4111 1111 1111 1111", "3782 822463 10005", card(7, 19)
+    loose = "411111 11111 11111"
+    cards = [visa, visa.replace(" ", ""), amex, long_, loose]
+    alone = {cards[i]: r["text"] for i, r in rewrite(spark, cards).items()}
+    around = [("", " 123"), ("", " 12/27"), ("5 ", ""), ("5 ", " 123"), ("2027 ", " 2"), ("", " 12/27 123"), ("1 2 3 ", " 4 5 6"), ("", ", 7 ")]
+    cases = [(before, c, after) for before, after in around for c in cards[:4]]
+    for i, r in rewrite(spark, ["".join(case) for case in cases]).items():
+        before, c, after = cases[i]
+        assert (r["text"], r["pii"]) == (before + alone[c] + after, ["card"]), cases[i]
+    # By any chance of the check digit, whatever follows.
+    texts = [f"{visa} {i}" for i in range(100, 200)]
+    assert [r["text"] for r in rewrite(spark, texts).values()] == [f"{alone[visa]} {i}" for i in range(100, 200)]
+    assert rewrite(spark, [f"{loose} 123"])[0]["text"] == f"{alone[loose]} 123"
+
+
+def test_all_of_a_row_of_numbers(spark):
+    r = rewrite(spark, ["9807915762804490 190.137.223.204"])[0]
+    assert r["pii"] == (["card", "ip"] if luhn("9807915762804490") else ["ip"]) and "190.137.223.204" not in r["text"]
+    text = f"{card(3)} 190.137.223.204 {card(4)} 2020-02-29 {card(5)} {card(6)} 017-555-7713 29/02/2020 x@example.com {card(7)}"
+    r = rewrite(spark, [text])[0]
+    assert r["pii"] == ["card", "ip", "card", "date", "card", "card", "phone", "date", "email", "card"]
+    assert not set(text.split()) & set(r["text"].split())
+    assert rewrite(spark, [f"{card(3)}@example.com"])[0]["pii"] == ["email"]
+    odd = "\ufdd3\ufdde\ufddf $1 \\ "
+    r = rewrite(spark, [odd + card(3) + odd])[0]
+    assert r["pii"] == ["card"] and r["text"] == odd + rewrite(spark, [card(3)])[0]["text"] + odd
+
+
 def test_awkward_documents(awkward, nothing):
     got = op.pseudonymise(awkward, KEY)
     before = sorted(((r["doc_id"], r["text"]) for r in awkward.collect()), key=repr)
