@@ -10,6 +10,10 @@ fixed format; they become a keyed digest at a domain that cannot exist.
 Only valid values are touched: card numbers of 13 to 19 digits with a right check digit, phone
 numbers of 10 to 13 digits written as such, addresses of bytes, days of 1800 to 2199.
 
+A phone number is written with a plus and any grouping, as groups of 3, 3 and 4 digits, or with a
+0 and an area code of 1 to 5 digits more, set apart, and any grouping. Its last ten digits change,
+so one number in its national and its international form gets two pseudonyms.
+
 A card number begins and ends where a group of digits does, and may stand beside other numbers.
 Usual groupings (all in one, 4-4-4-4, 4-4-4-4-3, 4-6-5, 4-6-4) go before all other kinds, and any
 other grouping by single spaces and hyphens after them; there, one of ten lists of numbers passes
@@ -38,7 +42,8 @@ _IP = r"(?<![\p{N}.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\p{N}]|\.\p{N})"
 _PHONE = (
     r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\p{N})"
     r"|(?<![\p{L}\p{N}.+-])(?:\+\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\p{N}-])"
-    r"|(?<![\p{L}\p{N}])\+\d{10,13}(?!\p{N})"
+    r"|(?<![\p{L}\p{N}])\+\d(?:(?:[ ./-]|[ .-]?\(|\)[ .-]?)?\d){9,12}(?!\p{N})"
+    r"|(?<![\p{L}\p{N}./+-])(?=\(0\d{1,5}\)|0\d{1,5}[ ./-])\(?0(?:(?:\)[ ./-]?|[ ./-])?\d){9,12}(?!\p{N}|-\p{N})"
 )
 _OTHERS = "|".join((_MAIL, _ISO, _DAY_FIRST, _IP, _PHONE))
 

@@ -121,6 +121,19 @@ def test_all_of_a_row_of_numbers(spark):
     assert r["pii"] == ["card"] and r["text"] == odd + rewrite(spark, [card(3)])[0]["text"] + odd
 
 
+def test_phones_of_other_countries(spark):
+    phones = ["+49 30 12345678", "+33 1 23 45 67 89", "01 23 45 67 89", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+34 912 34 56 78",
+              "(030) 12345678", "030/12345678", "020 7946 0958", "01.23.45.67.89", "0171 2345678", "+4930 1234 5678"]
+    got = rewrite(spark, [f"call {p}, or 5" for p in phones] + ["+331234567", "0123456789", "01 23 45", "0.25 0.75 0.5"])
+    for i, p in enumerate(phones):
+        new = got[i]["text"][5:-6]
+        assert got[i]["pii"] == ["phone"] and new != p and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", p), p
+        assert got[i]["text"] == f"call {new}, or 5"
+    assert [got[i]["pii"] for i in range(len(phones), len(got))] == [[]] * 4
+    digits = [re.sub(r"\D", "", got[i]["text"][5:-6]) for i in range(len(phones))]
+    assert digits[0] == digits[11]  # one number, however it is grouped
+
+
 def test_awkward_documents(awkward, nothing):
     got = op.pseudonymise(awkward, KEY)
     before = sorted(((r["doc_id"], r["text"]) for r in awkward.collect()), key=repr)
