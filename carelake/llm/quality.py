@@ -3,8 +3,9 @@
 Labelling rules look at a document's measures and vote good or bad, or abstain. How far each
 rule is to be believed is estimated from their agreement over *all* documents, by expectation
 maximisation over a histogram of vote patterns, which has at most 3 ** rules rows whatever the
-corpus. A document is kept if its posterior probability of being good is at least a half; no
-single rule decides.
+corpus. A document is kept if its posterior probability of being good is at least a half. Rules
+that hardly ever accuse a good document weigh so much that one bad vote can reject, against all
+others; no rule may therefore depend on a text's length or script.
 
 Defined results: NULL and empty texts have no words; all measures are 0, every rule abstains,
 and they fail the base rules. Repeated rows are judged each, alike. An empty table gives no
@@ -24,6 +25,8 @@ from carelake.llm.common import WORD, let
 
 GOOD, BAD, ABSTAIN = 1, -1, 0
 MIN_WORDS = 50
+# Of a longer text, distinct words are counted in each stretch of as many words.
+WINDOW = 2_000
 
 
 # --- Measures -----------------------------------------------------------------------
@@ -68,6 +71,21 @@ def _equal_to_an_earlier(lines: Column) -> Column:
     return let(F.array_sort(lines), same)
 
 
+def _distinct_in_windows(words: Column) -> Column:
+    """Distinct words of each window, added up: as a share of all words it does not fall with length."""
+
+    def of(hashes: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(hashes), F.lit(WINDOW))
+        added = F.aggregate(
+            starts,
+            F.lit(0).cast("long"),
+            lambda n, at: n + F.size(F.array_distinct(F.slice(hashes, at, F.lit(WINDOW)))),
+        )
+        return F.when(F.size(hashes) > 0, added).otherwise(F.lit(0).cast("long"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
+
+
 def _count(text: Column, kept: str) -> Column:
     """Characters of a class: the length of the text without all others."""
     return F.length(F.regexp_replace(text, f"[^{kept}]+", "")).cast("long")
@@ -87,11 +105,12 @@ def measures(text: Column) -> Column:
                     _repeats(words).alias("n_repeat_words"),
                     F.size(lines).cast("long").alias("n_lines"),
                     _count(text, r"\p{Lu}").alias("n_capitals"),
-                    _count(text, r"\p{L}").alias("n_letters"),
+                    _count(text, r"\p{L}\p{M}").alias("n_letters"),
                     _count(text, "!").alias("n_exclamations"),
                     F.size(F.filter(words, lambda w: F.length(w) == 1)).cast("long").alias("n_single"),
                     F.size(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
                     .cast("long").alias("n_distinct"),
+                    _distinct_in_windows(words).alias("n_window_distinct"),
                 )
 
             return let(F.filter(F.split(text, "\n", -1), lambda line: F.regexp_like(line, F.lit(WORD))), of_lines)
@@ -107,16 +126,18 @@ def measures(text: Column) -> Column:
 @dataclass(frozen=True)
 class LabelRule:
     """Votes bad from ``bad`` on and good up to ``good`` (or the other way round, if ``bad`` is
-    the smaller), of one measure divided by another; between them, or by nothing, it abstains."""
+    the smaller), of one measure divided by another; between them, or by nothing, it abstains.
+    ``windowed`` is the part as measured in windows, the same for texts of up to ``WINDOW`` words."""
 
     name: str
     part: str
     whole: str
     good: float
     bad: float
+    windowed: str | None = None
 
     def vote(self, of: Column) -> Column:
-        ratio = F.try_divide(of[self.part], of[self.whole])  # NULL where there is nothing to divide by
+        ratio = F.try_divide(of[self.windowed or self.part], of[self.whole])  # NULL where there is nothing to divide by
         high = self.bad > self.good
         is_bad = ratio >= self.bad if high else ratio <= self.bad
         is_good = ratio <= self.good if high else ratio >= self.good
@@ -127,7 +148,7 @@ RULES = (
     LabelRule("symbols", "n_symbols", "n_words", 0.02, 0.2),
     LabelRule("repeated words", "n_repeat_words", "n_words", 0.15, 0.5),
     LabelRule("repeated lines", "n_dup_lines", "n_lines", 0.1, 0.4),
-    LabelRule("few distinct words", "n_distinct", "n_words", 0.35, 0.15),
+    LabelRule("few distinct words", "n_distinct", "n_words", 0.35, 0.15, "n_window_distinct"),
     LabelRule("capitals", "n_capitals", "n_letters", 0.15, 0.4),
     LabelRule("exclamations", "n_exclamations", "n_words", 0.05, 0.4),
     LabelRule("letters", "n_letters", "word_chars", 0.85, 0.75),

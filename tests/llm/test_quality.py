@@ -84,3 +84,17 @@ def test_labels_of_the_driver(spark):
     counts = {(r["quality"], r["base_failed"], r["kept"]): r["count"] for r in got.groupBy("quality", "base_failed", "kept").count().collect()}
     assert counts.get((0, False, True), 0) <= 0.02 * sum(n for (q, *_), n in counts.items() if q == 0)
     assert counts.get((1, False, False), 0) <= 0.005 * sum(n for (q, *_), n in counts.items() if q == 1)
+
+
+def test_clean_texts_of_any_length_and_script_are_kept(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abdeghilnorstu", k=rng.randint(2, 8))) for _ in range(6000)]
+    book = " ".join(rng.choices(words, k=60_000))
+    hindi = "यह एक साधारण हिन्दी पाठ है जिसमें अनेक शब्द और वाक्य लिखे गए हैं ताकि उसकी गुणवत्ता मापी जा सके".split()
+    more = "नदी पर्वत किताब विद्यालय बच्चे मित्र गाँव शहर रास्ता पानी सूरज चाँद तारे खेत किसान बाज़ार समय जीवन परिवार संगीत".split()
+    indic = " ".join(rng.choices(hindi + more, k=90))
+    junk = " ".join(rng.choices(words[:40], k=60_000))
+    docs = spark.createDataFrame([("book", book), ("indic", indic), ("junk", junk)], "doc_id string, text string")
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").cast("string"), "text")
+    got = {r["doc_id"]: r["kept"] for r in judged(given.unionByName(docs)).filter("doc_id in ('book', 'indic', 'junk')").collect()}
+    assert got == {"book": True, "indic": True, "junk": False}
