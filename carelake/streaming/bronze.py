@@ -11,20 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
-from carelake.session import new_path
 from carelake.sources.landing import BATCH_FILE, BATCH_FOLDER, DATE_FOLDER
 
 _CORRUPT = "_corrupt_record"
 # A load of a long backlog is committed in steps of this many files.
 FILES_PER_STEP = 10_000
-# As many lines decide the columns of a feed.
-SAMPLE_LINES = 1_000_000
 
 
 def source_schema(spark: SparkSession, landing_path: str, checkpoint: str) -> StructType:
     """Column types of the landed records, inferred by the first load and kept beside its
-    checkpoint so that later loads agree (S02). The types come from a sample of SAMPLE_LINES
-    lines; what does not fit them, or has no column, is rescued and not lost.
+    checkpoint so that later loads agree (S02). The types come from all lines of the first load,
+    whatever their number; what a later load brings besides is rescued and not lost.
 
     Of field names that differ only in case the first is a column; the others are rescued.
     """
@@ -32,10 +29,9 @@ def source_schema(spark: SparkSession, landing_path: str, checkpoint: str) -> St
     try:
         return StructType.fromJson(_load_json(spark, saved))
     except AnalysisException:
-        lines = spark.read.option("recursiveFileLookup", "true").text(landing_path)
-        sample = new_path(spark, "schema-sample")
-        lines.limit(SAMPLE_LINES).write.text(sample)
-        inferred = spark.read.json(sample).schema
+        landed = spark.read.option("recursiveFileLookup", "true")
+        empty = landed.text(landing_path).isEmpty()
+        inferred = StructType() if empty else landed.json(landing_path).schema
     seen, fields = set(), []
     for field in inferred:
         if field.name != _CORRUPT and field.name.lower() not in seen:

@@ -101,6 +101,16 @@ def test_records_of_a_response(spark, rows):
         landing.response_records(one('{"status":"failure","details":{"errorMessage":"bad key"}}'), "patients").collect()
 
 
+def test_columns_come_from_all_lines(spark, tmp_path):
+    n = 1_000_001
+    line = F.when(F.col("id") == n - 1, '{"ID":2.5,"late":"x"}').otherwise('{"ID":1}')
+    spark.range(0, n, 1, 1).select(line.alias("value")).write.text(f"{tmp_path}/landing")
+    schema = bronze.source_schema(spark, f"{tmp_path}/landing", f"{tmp_path}/ops")
+    assert schema.simpleString() == "struct<ID:double,late:string>"
+    spark.range(0).select(F.lit("").alias("value")).write.text(f"{tmp_path}/none")
+    assert len(bronze.source_schema(spark, f"{tmp_path}/none", f"{tmp_path}/ops2")) == 0
+
+
 def test_changed_since(spark):
     df = spark.createDataFrame(
         [(1, "2024-03-01 10:00:00"), (2, "2024-03-01T12:00:00Z"), (3, None), (4, "soon")], "id int, m string"
