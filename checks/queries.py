@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions import identity, measures, visits
-from carelake.operators import components, dedupe, matching
+from carelake.operators import components, dedupe, matching, ordering
 from carelake.plans import gold, marts, quality, semantic, silver
 from carelake.session import new_path, stage, tune
 from carelake.sources import landing, ops_log, testdata
@@ -22,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-09-30"
 # Where the modification times of the feed are divided into loads of the incremental build.
 LOADS_BEFORE = ("1997-01-01", "1999-07-01")
+# Records in a response of the source, at most.
+RESPONSE_RECORDS = 500
 
 _registry: dict[str, Query] = {}
 
@@ -322,9 +324,14 @@ def dq_history(spark, sf_dir):
 
 @_query
 def response_records(spark, sf_dir):
-    """All events as responses of the source, one per user, and their records taken out again."""
+    """All events as responses of the source, in pages per user, and their records taken out again."""
     record = F.struct(F.col("event_id").alias("ID"), F.col("event_type").alias("kind"), "value")
-    listed = testdata.table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(record).alias("patients"))
+    events = testdata.table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    numbered = ordering.ordered_scan(
+        events.withColumn("one", F.lit(1).cast("long")), keys=["user_id"], order=["event_id"], sums={"before": "one"}
+    )
+    page = F.floor(F.col("before") / RESPONSE_RECORDS).alias("page")
+    listed = numbered.groupBy("user_id", page).agg(F.collect_list(record).alias("patients"))
     body = F.struct(
         F.lit("success").alias("status"), F.struct(F.struct("patients").alias("results")).alias("data")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from carelake.sources import landing
 from carelake.streaming import bronze
+from checks import queries
 
 
 @pytest.fixture
@@ -101,6 +102,19 @@ def test_records_of_a_response(spark, rows):
         landing.response_records(one('{"status":"failure","details":{"errorMessage":"bad key"}}'), "patients").collect()
 
 
+def test_responses_are_bounded(spark, tmp_path, monkeypatch):
+    events = spark.range(2_001).selectExpr(
+        "id AS event_id", "if(id < 2000, 7L, NULL) AS user_id", "'a' AS event_type", "id / 2 AS value"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    seen, taken_out = [], landing.response_records
+    monkeypatch.setattr(landing, "response_records", lambda df, entity: seen.append(df) or taken_out(df, entity))
+    got = queries.all_queries()["response_records"](spark, str(tmp_path))
+    assert sorted(r["ID"] for r in got.collect()) == list(range(2_001))
+    sizes = [len(json.loads(r["value"])["data"]["results"]["patients"]) for r in seen[0].collect()]
+    assert sorted(sizes) == [1, 500, 500, 500, 500]
+
+
 def test_columns_come_from_all_lines(spark, tmp_path):
     n = 1_000_001
     line = F.when(F.col("id") == n - 1, '{"ID":2.5,"late":"x"}').otherwise('{"ID":1}')
