@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets, topk
+from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets, simhash, topk
 from carelake.llm.common import table
 from carelake.llm.near_dedup import near_duplicates
 from carelake.llm.sharding import shard_documents
@@ -144,6 +144,13 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their fingerprints, and the smallest document that near ones lead to."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES: list[Query] = [
     op1_rendezvous_shards,
     op2_superkmer_dedup,
@@ -155,6 +162,7 @@ QUERIES: list[Query] = [
     op8_token_records,
     op9_dart_minhash,
     op10_trigram_secrets,
+    op11_simhash,
 ]
 
 
