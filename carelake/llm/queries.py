@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import mixing, packing, pseudonyms, quality, records, secrets, simhash, topk
+from carelake.llm import lexical, mixing, packing, pseudonyms, quality, records, secrets, simhash, topk
 from carelake.llm.common import table
 from carelake.llm.near_dedup import near_duplicates
 from carelake.llm.sharding import shard_documents
@@ -21,6 +21,7 @@ SEQUENCE = 2048
 PACKED_END, RECORD_END = 1, 2
 PASSAGE_WORDS = 35
 VECTOR_SCALE, QUERY_EVERY, TOP_K = 64, 20, 20
+RANKED = 10
 PSEUDONYM_KEY = "a key of this query, not a secret"
 DOMAINS = ("web", "books", "news", "code")
 MIX_LEVELS = ("domain", "lang", "source")
@@ -151,6 +152,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents ranked for each benchmark item."""
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=RANKED)
+
+
 QUERIES: list[Query] = [
     op1_rendezvous_shards,
     op2_superkmer_dedup,
@@ -163,6 +169,7 @@ QUERIES: list[Query] = [
     op9_dart_minhash,
     op10_trigram_secrets,
     op11_simhash,
+    op12_k2_treap_search,
 ]
 
 
