@@ -223,9 +223,113 @@ SELECT item_id, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id N
 FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
 
+def _repair_sql() -> str:
+    """Costs and audits per state of the grammar, turn by turn; no alignment with strings."""
+    more = lambda v, cost, initial: f"{{'c': {v}.c + {cost}, 'a': {v}.a || '{initial}'}}"
+    never = "{'c': 1000000000, 'a': ''}"
+
+    def inserted(v: str) -> str:
+        us = ", ".join(more(f"{v}.{x}", 5, "I") for x in ("e", "s", "a"))
+        return f"{{'e': {v}.e, 's': {v}.s, 'u': list_min([{v}.u, {us}]), 'a': list_min([{v}.a, {more(f'{v}.u', 5, 'I')}])}}"
+
+    def step() -> str:
+        def fit(letter: str) -> str:
+            return f"(CASE WHEN must THEN 1000000 WHEN initial = '{letter}' THEN 0 ELSE 1 END + CASE WHEN cut THEN 5 ELSE 0 END)"
+
+        def to(letter: str, *froms: str) -> str:
+            return ", ".join(
+                f"{{'c': v.{x}.c + {fit(letter)}, 'a': v.{x}.a || CASE WHEN initial = '{letter}' THEN 'K' ELSE 'R' END}}" for x in froms
+            )
+
+        only_s = f"CASE WHEN initial = 's' THEN {{'c': v.e.c + {fit('s')}, 'a': v.e.a || 'K'}} ELSE {never} END"
+        gone = {x: more(f"v.{x}", 2, "D") for x in "esua"}
+        return (
+            f"{{'e': {gone['e']}, 's': list_min([{gone['s']}, {only_s}]),"
+            f" 'u': list_min([{gone['u']}, {to('u', 'e', 's', 'a')}]), 'a': list_min([{gone['a']}, {to('a', 'u')}])}}"
+        )
+
+    return f"""
+WITH RECURSIVE table_bits AS (  -- the 256 entries of the CRC-32 table, eight halvings each
+    SELECT i::UINTEGER AS i, i::UINTEGER AS v, 0 AS step FROM range(256) r(i)
+    UNION ALL
+    SELECT i, CASE WHEN v & 1 = 1 THEN xor(3988292384::UINTEGER, v >> 1) ELSE v >> 1 END, step + 1
+    FROM table_bits WHERE step < 8
+),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM table_bits WHERE step = 8),
+named AS (
+    SELECT row_number() OVER () AS row, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS bytes
+    FROM conversations
+),
+drawn AS (
+    SELECT * EXCLUDE (bytes), xor(4294967295::UINTEGER, list_reduce(
+        list_prepend(4294967295::UINTEGER, list_transform(range(0, octet_length(bytes)),
+            lambda i: ('0x' || substr(hex(bytes), 2 * i::INTEGER + 1, 2))::UINTEGER)),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))::BIGINT % 20 AS kind
+    FROM named, crc_table
+),
+turns AS (
+    SELECT row, conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM drawn WHERE kind <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), row, copy) AS at FROM turns
+),
+judged AS (
+    SELECT conv_id, turn, at, role, text, left(role, 1) AS initial,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY at) || left(role, 1) AS pair,
+        NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+        NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY at) > 1 AS twice,
+        NOT blank AND NOT twice AND NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS cut,
+        blank OR twice AS must
+    FROM placed
+),
+summed AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (twice) AS duplicate, count(*) FILTER (cut) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+),
+started AS (SELECT {{'e': {{'c': 0, 'a': ''}}, 's': {never}, 'u': {never}, 'a': {never}}} AS v),
+states AS (
+    SELECT conv_id, 0::BIGINT AS at, {inserted('w')} AS v
+    FROM summed, (SELECT {inserted('v')} AS w FROM started)
+    UNION ALL
+    SELECT conv_id, at, {inserted('w')} FROM (SELECT conv_id, at, {inserted('w')} AS w FROM (
+        SELECT judged.conv_id, judged.at, {step()} AS w
+        FROM states JOIN judged ON judged.conv_id IS NOT DISTINCT FROM states.conv_id AND judged.at = states.at + 1))
+),
+ended AS (
+    SELECT conv_id, list_min([v.e, v.a]) AS best FROM states QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY at DESC) = 1
+),
+edits AS (SELECT conv_id, unnest(string_split(best.a, '')) AS edit, unnest(range(1, length(best.a) + 1)) AS i FROM ended),
+counted AS (
+    SELECT *, count(*) FILTER (edit <> 'I') OVER before AS at, count(*) FILTER (edit <> 'D') OVER before AS said,
+        count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id) AS length
+    FROM edits WINDOW before AS (PARTITION BY conv_id ORDER BY i)
+),
+texts AS (
+    SELECT counted.conv_id, string_agg(
+        CASE WHEN edit = 'K' THEN role WHEN (said - 1 - length % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS repaired
+    FROM counted LEFT JOIN judged ON judged.conv_id IS NOT DISTINCT FROM counted.conv_id AND judged.at = counted.at
+    WHERE edit <> 'D' GROUP BY counted.conv_id
+)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+    coalesce(best.a, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every
+LEFT JOIN summed ON summed.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
+        "op13_turn_alignment": _repair_sql(),
         "op12_k2_treap_search": RANKED_SQL,
         "op2_superkmer_dedup": SUBSTRINGS_SQL,
         "op7_dual_tree_topk": TOPK_SQL,

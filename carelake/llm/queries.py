@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import lexical, mixing, packing, pseudonyms, quality, records, secrets, simhash, topk
+from carelake.llm import conversations, lexical, mixing, packing, pseudonyms, quality, records, secrets, simhash, topk
 from carelake.llm.common import table
 from carelake.llm.near_dedup import near_duplicates
 from carelake.llm.sharding import shard_documents
@@ -157,6 +157,11 @@ def op12_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=RANKED)
 
 
+def op13_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged, with their faults and the cheapest repair of their structure."""
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: list[Query] = [
     op1_rendezvous_shards,
     op2_superkmer_dedup,
@@ -170,6 +175,7 @@ QUERIES: list[Query] = [
     op10_trigram_secrets,
     op11_simhash,
     op12_k2_treap_search,
+    op13_turn_alignment,
 ]
 
 
