@@ -275,13 +275,13 @@ turns AS (
     FROM drawn WHERE kind <> 0
 ),
 placed AS (
-    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), row, copy) AS at FROM turns
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), row, copy) AS pos FROM turns
 ),
 judged AS (
-    SELECT conv_id, turn, at, role, text, left(role, 1) AS initial,
-        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY at) || left(role, 1) AS pair,
+    SELECT conv_id, turn, pos, role, text, left(role, 1) AS initial,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair,
         NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
-        NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY at) > 1 AS twice,
+        NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS twice,
         NOT blank AND NOT twice AND NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS cut,
         blank OR twice AS must
     FROM placed
@@ -294,19 +294,19 @@ summed AS (
 ),
 started AS (SELECT {{'e': {{'c': 0, 'a': ''}}, 's': {never}, 'u': {never}, 'a': {never}}} AS v),
 states AS (
-    SELECT conv_id, 0::BIGINT AS at, {inserted('w')} AS v
+    SELECT conv_id, 0::BIGINT AS pos, {inserted('w')} AS v
     FROM summed, (SELECT {inserted('v')} AS w FROM started)
     UNION ALL
-    SELECT conv_id, at, {inserted('w')} FROM (SELECT conv_id, at, {inserted('w')} AS w FROM (
-        SELECT judged.conv_id, judged.at, {step()} AS w
-        FROM states JOIN judged ON judged.conv_id IS NOT DISTINCT FROM states.conv_id AND judged.at = states.at + 1))
+    SELECT conv_id, pos, {inserted('w')} FROM (SELECT conv_id, pos, {inserted('w')} AS w FROM (
+        SELECT judged.conv_id, judged.pos, {step()} AS w
+        FROM states JOIN judged ON judged.conv_id IS NOT DISTINCT FROM states.conv_id AND judged.pos = states.pos + 1))
 ),
 ended AS (
-    SELECT conv_id, list_min([v.e, v.a]) AS best FROM states QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY at DESC) = 1
+    SELECT conv_id, list_min([v.e, v.a]) AS best FROM states QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1
 ),
 edits AS (SELECT conv_id, unnest(string_split(best.a, '')) AS edit, unnest(range(1, length(best.a) + 1)) AS i FROM ended),
 counted AS (
-    SELECT *, count(*) FILTER (edit <> 'I') OVER before AS at, count(*) FILTER (edit <> 'D') OVER before AS said,
+    SELECT *, count(*) FILTER (edit <> 'I') OVER before AS pos, count(*) FILTER (edit <> 'D') OVER before AS said,
         count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id) AS length
     FROM edits WINDOW before AS (PARTITION BY conv_id ORDER BY i)
 ),
@@ -314,16 +314,16 @@ texts AS (
     SELECT counted.conv_id, string_agg(
         CASE WHEN edit = 'K' THEN role WHEN (said - 1 - length % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
             || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS repaired
-    FROM counted LEFT JOIN judged ON judged.conv_id IS NOT DISTINCT FROM counted.conv_id AND judged.at = counted.at
+    FROM counted LEFT JOIN judged ON judged.conv_id IS NOT DISTINCT FROM counted.conv_id AND judged.pos = counted.pos
     WHERE edit <> 'D' GROUP BY counted.conv_id
 )
-SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+SELECT named_convs.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
     coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
     coalesce(best.a, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
-FROM (SELECT DISTINCT conv_id FROM conversations) every
-LEFT JOIN summed ON summed.conv_id IS NOT DISTINCT FROM every.conv_id
-LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM every.conv_id
-LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM every.conv_id
+FROM (SELECT DISTINCT conv_id FROM conversations) named_convs
+LEFT JOIN summed ON summed.conv_id IS NOT DISTINCT FROM named_convs.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM named_convs.conv_id
+LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM named_convs.conv_id
 """
 
 
