@@ -31,7 +31,7 @@ from carelake.llm.common import small_batches
 from carelake.session import stage
 
 WAVE_TERMS, BLOCK_TERMS = 200_000, 2_048
-RANGE_DOCS, RANGE_CELLS = 1 << 15, 1 << 21
+RANGE_DOCS, RANGE_CELLS = 1 << 15, 1 << 19
 
 # Letters and digits of ASCII, and all beyond it, make terms; all else parts them.
 _TERM_BYTES = bytes(

@@ -26,41 +26,41 @@ from carelake.llm.cutting_stock import patterns
 from carelake.operators.ordering import ordered_scan
 from carelake.session import stage
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, width int, ids binary"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+WITH_IDS = f"{PIECES}, width int, ids binary"
 
 
-def cut(docs: DataFrame, tokenizer: str, *, length: int, end_id: int) -> DataFrame:
+def cut(docs: DataFrame, tokenizer: str, *, length: int, end_id: int, with_ids: bool = False) -> DataFrame:
     """The pieces of ``docs(doc_id, text)``: whole sequences, and one rest of each document.
 
-    ``ids`` holds a piece's ids as little-endian integers of ``width`` bytes; ``ids_crc32`` is
-    of the same ids at 4 bytes each.
+    ``ids_crc32`` is of a piece's ids at 4 bytes each. With ``with_ids``, which ``sequences`` needs
+    and ``pack`` does not, ``ids`` holds them as little-endian integers of ``width`` bytes.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from carelake.llm.tokens import encoder
 
         own = encoder(tokenizer)
-        width = own.dtype.itemsize
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            columns: list[list] = [[] for _ in range(7)]
-            for doc_id, ids in zip(doc_ids, own.ids(texts, end_id), strict=True):
-                wide = np.frombuffer(ids, own.dtype).astype("<u4").tobytes()
-                n = len(ids) // width
-                for start in range(0, n, length):
-                    stop = min(start + length, n)
-                    crc = zlib.crc32(memoryview(wide)[4 * start : 4 * stop])
-                    row = (doc_id, start, stop - start, crc, n, width, ids[width * start : width * stop])
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
-            kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=[x.split()[0] for x in PIECES.split(", ")],
-            )
-
-    small_batches(docs.sparkSession)
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(pieces, PIECES)
+            for first, ids, ends in own.parts(batch.column(1), end_id):
+                many = np.diff(ends, prepend=0)
+                of = np.repeat(np.arange(len(many)), -(-many // length))
+                each = np.bincount(of, minlength=len(many))
+                start = (np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)) * length
+                size = np.minimum(length, many[of] - start)
+                at = (ends - many)[of] + start
+                wide = memoryview(ids.astype("<u4").tobytes())
+                crc = [zlib.crc32(wide[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), size.tolist(), strict=True)]
+                columns = [batch.column(0).take(pa.array(first + of)), *map(pa.array, (start, size, np.array(crc, dtype=np.int64), many[of]))]
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+                if with_ids:
+                    raw = [ids[a : a + n].tobytes() for a, n in zip(at.tolist(), size.tolist(), strict=True)]
+                    columns += [pa.array(np.full(len(of), ids.itemsize, dtype=np.int32)), pa.array(raw, pa.binary())]
+                    names += ["width", "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    small_batches(docs.sparkSession, 2048)
+    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(pieces, WITH_IDS if with_ids else PIECES)
 
 
 def _intervals(demand: dict[int, int], capacity: int, alone: int) -> list[tuple]:
@@ -119,7 +119,7 @@ def pack(pieces: DataFrame, *, length: int, grain: int = 8) -> DataFrame:
 
 def sequences(pieces: DataFrame, packed: DataFrame, *, length: int, pad_id: int = 0) -> DataFrame:
     """``sequence_id, n_tokens, ids, pieces``: the ids of each sequence, padded, and which piece
-    lies where. A sequence has at most ``length`` pieces."""
+    lies where. ``pieces`` were cut with their ids. A sequence has at most ``length`` pieces."""
     key = ["doc_id", "start", "length", "ids_crc32"]
     numbered = Window.partitionBy(*key).orderBy(F.lit(1))
     with_ids = pieces.select(*key, "width", "ids", F.row_number().over(numbered).alias("_copy"))

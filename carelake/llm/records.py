@@ -49,8 +49,8 @@ def _masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + _MASK) & 0xFFFFFFFF
 
 
-def payload(doc_id: int | None, ids: bytes, width: int) -> bytes:
-    return _PAYLOAD.pack(width, doc_id is not None, doc_id or 0) + ids
+def payload(doc_id: int | None, ids: bytes | memoryview, width: int) -> bytes:
+    return b"".join((_PAYLOAD.pack(width, doc_id is not None, doc_id or 0), ids))
 
 
 def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
@@ -108,12 +108,14 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, *, end_id: int) ->
         with filesystem.open_output_stream(place, buffer_size=1 << 20) as file:
             for batch in batches:
                 doc_ids, rows = batch.column(0).to_pylist(), []
-                for doc_id, ids in zip(doc_ids, own.ids(batch.column(1).to_pylist(), end_id), strict=True):
-                    record = frame(payload(doc_id, ids, width))
-                    file.write(record)
-                    n = len(ids) // width
-                    rows.append((doc_id, name, task.partitionId(), offset, len(record), n, first))
-                    offset, first = offset + len(record), first + n
+                for start, ids, ends in own.parts(batch.column(1), end_id):
+                    raw = memoryview(ids.tobytes())
+                    ends = ends.tolist()
+                    for doc_id, a, b in zip(doc_ids[start : start + len(ends)], [0, *ends], ends, strict=False):
+                        record = frame(payload(doc_id, raw[width * a : width * b], width))
+                        file.write(record)
+                        rows.append((doc_id, name, task.partitionId(), offset, len(record), b - a, first))
+                        offset, first = offset + len(record), first + b - a
                 yield _batch(rows)
 
     key = [F.col("doc_id"), F.xxhash64("text")]

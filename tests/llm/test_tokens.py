@@ -28,7 +28,7 @@ def test_words_give_what_whole_texts_give(whole):
     rng = random.Random(0)
     spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["​", "᠎", "﻿"]
     odd = ["don't", "it's.", "'s", "A.B,c", "12ab", "İ", "ǅo", "é", "́", "naïve!", "ﬁn",
-           "<|endoftext|>", "x<|startoftext|>y", "Ång", "z" * 300, "\U0001f600", "中文", "क्ष", "...", "!", "ab!!"]
+           "<|endoftext|>", "x<|startoftext|>y", "Ång", "z" * 300, "\U0001f600", "中文", "क्ष", "...", "!", "ab!!", "क़", "Ω", "ᄀ", "ᅡ", "ΟΔΟΣ,", "ß?", "a,", "é.", "é"]
     texts = ["", None, *spaces, *odd]
     texts += ["".join(rng.choice(odd + ["word", "Word,"]) + rng.choice(spaces) for _ in range(30)) for _ in range(300)]
     for limit in (10, 10**6):
@@ -111,6 +111,7 @@ def test_patterns_find_the_exact_optimum():
 def test_packing(awkward, texts_of, whole, length, grain):
     pieces = stage(packing.cut(awkward, VOCABULARY, length=length, end_id=1), "pieces")
     packed = packing.pack(pieces, length=length, grain=grain).collect()
+    assert not {"ids", "width"} & set(pieces.columns)
     ids = defaultdict(list)
     for i, t in texts_of:
         ids[i].append(whole(t, 1))
@@ -130,6 +131,7 @@ def test_packing(awkward, texts_of, whole, length, grain):
             assert offset == at
             at += n
         assert at <= length
+    pieces = stage(packing.cut(awkward, VOCABULARY, length=length, end_id=1, with_ids=True), "pieces")
     made = packing.sequences(pieces, packing.pack(pieces, length=length, grain=grain), length=length).collect()
     assert len(made) == len(sequences)
     for r in made:
