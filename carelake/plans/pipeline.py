@@ -54,7 +54,7 @@ def build_bronze(spark: SparkSession, config: LakeConfig) -> DataFrame:
     bronze.load_bronze(
         spark, config.landing_path, config.bronze_path, config.checkpoint_path, config.source, config.entity
     )
-    return spark.read.parquet(config.bronze_path)
+    return bronze.read_bronze(spark, config.bronze_path)
 
 
 def merged_versions(spark: SparkSession, config: LakeConfig) -> DataFrame:
@@ -65,7 +65,7 @@ def merged_versions(spark: SparkSession, config: LakeConfig) -> DataFrame:
     made good by the next one.
     """
     ref = f"{config.storage_root}/silver_versions/{config.source}"
-    landed = spark.read.parquet(config.bronze_path)
+    landed = bronze.read_bronze(spark, config.bronze_path)
     schema = silver.versions_schema(landed)
     try:
         newest = silver.stored_versions(spark, ref, schema).agg(F.max("_ingest_ts").alias("at")).first()["at"]
@@ -94,7 +94,7 @@ def build_parties(spark: SparkSession, config: LakeConfig) -> None:
     of parties to the smallest of each block, ``silver.party_identity`` the components of those
     that are sure enough to be followed without a look (J06, X04). Patients that are known from
     visits only take part as well."""
-    patients = spark.read.parquet(config.bronze_path)
+    patients = bronze.read_bronze(spark, config.bronze_path)
     party, visits = config.table("silver", "party"), config.table("silver", "party_candidate")
     overwrite_table(silver.parties_from_patients(patients, config.source), party)
     known = [spark.table(party)]

@@ -1,15 +1,13 @@
-"""Landing files to bronze: each file once, nothing dropped.
-
-Bronze is read by path rather than by table name: the file sink's own log under that path
-says which files belong to completed batches, and only a read by path heeds it.
-"""
+"""Landing files to bronze: each file once, nothing dropped."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegralType, StringType, StructType
 
 from carelake.sources.landing import BATCH_FILE, BATCH_FOLDER, DATE_FOLDER
 
@@ -66,35 +64,26 @@ def parse_lines(lines: DataFrame, schema: StructType, source: str, entity: str)
     """Typed columns, what did not fit them, and provenance (S03-S07). Works on batch
     DataFrames and on streams alike.
 
-    ``_rescued_data`` holds as JSON the fields that are no column and the values that are
-    not of their column's type; a line that is no JSON object is kept whole.
+    A line is parsed once, as a VARIANT, and columns are taken from that. ``_rescued_data`` holds
+    as JSON the fields that are no column and those in which a value, however deep inside, is not
+    of its type or has no place. A line that is no JSON object, or names a field twice, is kept whole.
     """
-    checked = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
-    typed = F.from_json("value", checked, {"columnNameOfCorruptRecord": _CORRUPT})
-    as_text = F.from_json("value", "map<string,string>")
-    names = [f.name for f in schema]
     parsed = lines.filter(F.trim("value") != "").select(
-        "*", typed.alias("_typed"), as_text.alias("_text")
-    )
-    misread = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col("_text")[f.name].isNotNull() & _unread(f), F.lit(f.name))
-                for f in schema
-            ]
-        )
-    )
-    unfit = F.map_filter(
-        "_text", lambda name, _: ~name.isin(*names) | F.array_contains(misread, name)
+        "*", F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>").alias("_fields")
     )
+    fields = F.col("_fields")
+    misread = F.array_compact(F.array(*[F.when(~_fits(fields[f.name], f.dataType), F.lit(f.name)) for f in schema]))
+    names = [f.name for f in schema]
+    unfit = F.map_filter(fields, lambda name, _: ~name.isin(*names) | F.array_contains("_misread", name))
+    as_text = F.transform_values(unfit, lambda _, value: _as(value, "string"))
     batch = F.coalesce(
         F.nullif(F.regexp_extract("_source_file", BATCH_FOLDER, 1), F.lit("")),
         F.nullif(F.regexp_extract("_source_file", BATCH_FILE, 1), F.lit("")),
     )
-    return parsed.select(
-        *[F.col("_typed")[n].alias(n) for n in names],
-        F.when(F.col("_text").isNull(), F.to_json(F.create_map(F.lit(_CORRUPT), F.col("value"))))
-        .when(F.size(unfit) > 0, F.to_json(unfit))
+    return parsed.withColumn("_misread", misread).select(
+        *[_value(fields[f.name], f.dataType).alias(f.name) for f in schema],
+        F.when(fields.isNull(), F.to_json(F.create_map(F.lit(_CORRUPT), F.col("value"))))
+        .when(F.size(unfit) > 0, F.to_json(as_text))
         .alias("_rescued_data"),
         F.lit(source).alias("_source"),
         F.lit(entity).alias("_entity"),
@@ -109,16 +98,61 @@ def parse_lines(lines: DataFrame, schema: StructType, source: str, entity: str)
     )
 
 
-def _unread(field: StructField) -> Column:
-    """Whether a field's text did not become its type. A column of structs or arrays can be read
-    and still have lost a value inside; then the line is marked, and the field by itself too."""
-    column = F.col("_typed")[field.name]
-    if not isinstance(field.dataType, (StructType, ArrayType, MapType)):
-        return column.isNull()
-    alone = StructType([StructField("x", field.dataType), StructField(_CORRUPT, StringType())])
-    wrapped = F.concat(F.lit('{"x":'), F.col("_text")[field.name], F.lit("}"))
-    inside = F.from_json(wrapped, alone, {"columnNameOfCorruptRecord": _CORRUPT})[_CORRUPT]
-    return column.isNull() | (F.col("_typed")[_CORRUPT].isNotNull() & inside.isNotNull())
+def _as(value: Column, kind: str) -> Column:
+    return F.try_variant_get(value, "$", kind)
+
+
+def _value(value: Column, kind: DataType) -> Column:
+    """A variant as a column's type; NULL where it is not of that type. What is of its type inside a
+    struct or an array stays, whatever is beside it."""
+    if isinstance(kind, StructType):
+        inside = _as(value, "map<string,variant>")
+        return F.when(inside.isNotNull(), F.struct(*[_value(inside[f.name], f.dataType).alias(f.name) for f in kind]))
+    if isinstance(kind, ArrayType):
+        return F.transform(_as(value, "array<variant>"), lambda x: _value(x, kind.elementType))
+    if isinstance(kind, StringType):
+        return _as(value, "string")
+    return F.when(_readable(F.schema_of_variant(value), kind), _as(value, kind.simpleString()))
+
+
+def _readable(found: Column, kind: DataType) -> Column:
+    """Whether a JSON value of the kind ``found`` can be in a column without a loss."""
+    if isinstance(kind, BooleanType):
+        return found == "BOOLEAN"
+    whole = found == "BIGINT"
+    return whole if isinstance(kind, IntegralType) else whole | (found == "DOUBLE") | found.startswith("DECIMAL")
+
+
+def _fits(value: Column, kind: DataType) -> Column:
+    """Whether all of a variant has found its place in a column. What is missing or null does."""
+    if isinstance(kind, StructType):
+        inside = _as(value, "map<string,variant>")
+        known = F.forall(F.map_keys(inside), lambda name: name.isin(*kind.names))
+        fits = reduce(lambda a, b: a & b, [_fits(inside[f.name], f.dataType) for f in kind], known)
+    elif isinstance(kind, ArrayType):
+        fits = F.forall(_as(value, "array<variant>"), lambda x: _fits(x, kind.elementType))
+    else:
+        fits = _value(value, kind).isNotNull()
+    return value.isNull() | F.is_variant_null(value) | F.coalesce(fits, F.lit(False))
+
+
+# --- The table ----------------------------------------------------------------------
+#
+# Each batch of the stream is a folder of its own, named after the stream and the batch. A batch
+# that is run again, after a driver died in it, overwrites its folder; a folder counts from the
+# marker on that Spark writes last. So a line is in the table once, whatever died and when, and no
+# log lists the files.
+
+_LOAD, _DONE = "load_id", "_SUCCESS"
+
+
+def _batch_writer(bronze_path: str, checkpoint: str):
+    def write(rows: DataFrame, batch: int) -> None:
+        stream = _load_json(rows.sparkSession, f"{checkpoint}/metadata")["id"]
+        writer = rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        writer.parquet(f"{bronze_path}/{_LOAD}={stream}-{batch:08d}")
+
+    return write
 
 
 def load_bronze(
@@ -128,16 +162,29 @@ def load_bronze(
     schema = source_schema(spark, landing_path, checkpoint)
     rows = parse_lines(landed_lines(spark, landing_path), schema, source, entity)
     query = (
-        rows.writeStream.format("parquet")
-        .option("path", bronze_path)
+        rows.writeStream.foreachBatch(_batch_writer(bronze_path, f"{checkpoint}/write"))
         .option("checkpointLocation", f"{checkpoint}/write")
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
 
 
+def finished_loads(spark: SparkSession, bronze_path: str) -> list[str]:
+    """The folders of batches that were written in full. There is one per step of a load."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{bronze_path}/{_LOAD}=*/{_DONE}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted(status.getPath().getParent().toString() for status in found)
+
+
+def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """All batches that were written in full, with the ``load_id`` of each."""
+    loads = finished_loads(spark, bronze_path)
+    if not loads:
+        raise ValueError(f"no load of {bronze_path} was finished yet")
+    return spark.read.option("basePath", bronze_path).parquet(*loads)
+
+
 def load_report(bronze: DataFrame) -> DataFrame:
     """``total_rows, rescued_rows`` of a bronze table in one pass (S09). Rescued rows are
     the first sign of a change at the source."""

@@ -473,7 +473,7 @@ def bronze_events(spark, sf_dir):
     )
     landing.write_lines(lines, paths[0])
     bronze.load_bronze(spark, *paths)
-    return spark.read.parquet(paths[1]).select(
+    return bronze.read_bronze(spark, paths[1]).select(
         "ID", "entity", "userID", "value", "lastModified", "_rescued_data",
         "_source", "_entity", "_batch_id", "dt", "_raw_payload", "_payload_hash",
     )
@@ -491,7 +491,7 @@ def bronze_report(spark, sf_dir):
         records.select(broken.alias("value"), F.lit("2024-01-01").alias("dt"), F.lit("run-1").alias("batch_id")), paths[0]
     )
     bronze.load_bronze(spark, *paths)
-    return bronze.load_report(spark.read.parquet(paths[1]))
+    return bronze.load_report(bronze.read_bronze(spark, paths[1]))
 
 
 def _now() -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def land(spark, paths, batch, lines, dt="2024-03-01"):
 
 def load(spark, paths):
     bronze.load_bronze(spark, *paths)
-    return spark.read.parquet(paths[1])
+    return bronze.read_bronze(spark, paths[1])
 
 
 CLEAN = ['{"ID":1,"DNA":"0","note":null}', '{"ID":2,"DNA":"1","note":"x"}']
@@ -61,7 +62,7 @@ def test_nothing_is_dropped(spark, paths):
     assert rescued[messy[2]] == {"_corrupt_record": messy[2]}
     assert rescued[messy[3]] == {"_corrupt_record": messy[3]}
     assert rescued[messy[5]] == {"dna": "0"}
-    report = bronze.load_report(spark.read.parquet(paths[1])).first()
+    report = bronze.load_report(bronze.read_bronze(spark, paths[1])).first()
     assert (report["total_rows"], report["rescued_rows"]) == (7, 5)
 
 
@@ -73,6 +74,70 @@ def test_provenance(spark, paths):
     assert "/batch_id=run-1/" in row["_source_file"] and row["_ingest_ts"] is not None
 
 
+@pytest.mark.parametrize("dies", ["before", "halfway", "after"])
+def test_a_killed_load_gives_each_line_once(spark, paths, monkeypatch, dies):
+    """The driver dies before, within or after writing a batch, and the load is started again."""
+    land(spark, paths, "run-1", CLEAN)
+    assert load(spark, paths).count() == 2
+    land(spark, paths, "run-2", ['{"ID":%d,"DNA":"0","note":null}' % i for i in range(3, 8)])
+    whole = bronze._batch_writer
+
+    def dying(*to):
+        def write(rows, batch):
+            if dies == "halfway":
+                whole(*to)(rows.limit(2), batch)
+                folder = bronze.finished_loads(spark, paths[1])[-1]
+                os.remove(f"{folder.removeprefix('file:')}/_SUCCESS")
+            if dies == "after":
+                whole(*to)(rows, batch)
+            raise RuntimeError("killed")
+
+        return write
+
+    monkeypatch.setattr(bronze, "_batch_writer", dying)
+    with pytest.raises(Exception, match="killed"):
+        load(spark, paths)
+    seen = bronze.read_bronze(spark, paths[1]).count()
+    assert seen == (7 if dies == "after" else 2)
+    monkeypatch.undo()
+    got = load(spark, paths)
+    assert sorted(r["ID"] for r in got.collect()) == list(range(1, 8))
+    assert got.select("load_id").distinct().count() == 2
+    assert not os.path.exists(f"{paths[1]}/_spark_metadata")
+    assert load(spark, paths).count() == 7
+
+
+def test_nothing_was_loaded(spark, paths):
+    with pytest.raises(ValueError, match="no load"):
+        bronze.read_bronze(spark, paths[1])
+
+
+def test_a_line_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"a":1}', "f")], "value string, _source_file string")
+    fields = spark.createDataFrame([], "a long, b struct<c:long,d:array<string>>, e double").schema
+    plan = bronze.parse_lines(df, fields, "s", "e")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson(") == 1 and "from_json" not in plan
+
+
+def test_what_is_not_of_its_type_is_rescued(spark):
+    schema = "id long, x struct<y:long,z:string>, tags array<long>, d double, b boolean, s string"
+    cases = {
+        '{"id":1,"d":3,"s":1.5,"b":false}': ((1, None, None, 3.0, False, "1.5"), None),
+        '{"id":1.5,"d":"3"}': ((None,) * 6, {"id": "1.5", "d": "3"}),
+        '{"id":12345678901234567890,"b":"true"}': ((None,) * 6, {"id": "12345678901234567890", "b": "true"}),
+        '{"x":{"y":5,"new":1}}': ((None, (5, None), None, None, None, None), {"x": '{"new":1,"y":5}'}),
+        '{"x":[1],"tags":{"a":1}}': ((None,) * 6, {"x": "[1]", "tags": '{"a":1}'}),
+        '{"tags":[1,"two"]}': ((None, None, [1, None], None, None, None), {"tags": '[1,"two"]'}),
+        '{"id":1,"id":2}': ((None,) * 6, {"_corrupt_record": '{"id":1,"id":2}'}),
+        '{"s":{"q":[1]},"id":null}': ((None,) * 5 + ('{"q":[1]}',), None),
+    }
+    df = spark.createDataFrame([(v, "f") for v in cases], "value string, _source_file string")
+    got = bronze.parse_lines(df, spark.createDataFrame([], schema).schema, "s", "e").collect()
+    for r in got:
+        rescued = r["_rescued_data"] and json.loads(r["_rescued_data"])
+        assert (tuple(r)[:6], rescued) == cases[r["_raw_payload"]]
+
+
 def test_batch_id_from_a_file_name(spark):
     schema = "ID bigint"
     names = ["/x/dt=2024-03-01/manual-12ab_00003.json", "/x/dt=2024-03-01/981_00000.json", "/x/other.json"]

@@ -10,6 +10,7 @@ from carelake.fixed_values import GOLD_TABLES, LAYERS, OPS_TABLES
 from carelake.plans import pipeline, quality, semantic
 from carelake.sources import ops_log, testdata
 from carelake.sources.tables import read_table
+from carelake.streaming.bronze import read_bronze
 
 SF = "/root/testdata/sf0.001"
 AS_OF = dt.datetime(2002, 1, 1)
@@ -111,13 +112,13 @@ def test_full_run_then_increment(spark, lake):
     census = {r["table_name"]: r["row_count"] for r in pipeline.gold_census(spark, lake).collect()}
     assert set(census) == set(GOLD_TABLES) and all(census.values())
     first = census["fct_appointment"]
-    loaded = spark.read.parquet(lake.bronze_path).count()
+    loaded = read_bronze(spark, lake.bronze_path).count()
     assert loaded == feed.filter("ID % 2 = 0").count()
 
     pipeline.run(spark, with_run(lake, "run-2"), feed.filter("ID % 2 = 1"), as_of)
     census = {r["table_name"]: r["row_count"] for r in pipeline.gold_census(spark, lake).collect()}
     assert census["fct_appointment"] > first
-    bronze = spark.read.parquet(lake.bronze_path)
+    bronze = read_bronze(spark, lake.bronze_path)
     assert bronze.count() == feed.count() and bronze.filter("_rescued_data IS NOT NULL").count() == 0
     silver = spark.table(lake.table("silver", "appointment"))
     assert silver.count() == silver.select("src_appointment_id").distinct().count() == census["fct_appointment"]
