@@ -7,17 +7,17 @@ pseudonyms in all documents. What is validated stays valid: a card number keeps
 digit, an address four bytes, a date is another day of the calendar. Mail addresses have no
 fixed format; they become a keyed digest at a domain that cannot exist.
 
-Only valid values are touched: card numbers of 13 to 19 digits with a right check digit, phone
-numbers of 10 to 13 digits written as such, addresses of bytes, days of 1800 to 2199.
+Only valid values are touched: card numbers of a length and first digits that issuers use, with a
+right check digit, of which the first four stay; phone numbers of 10 to 13 digits written as such, addresses of bytes, days of 1800 to 2199.
 
 A phone number is written with a plus and any grouping, as groups of 3, 3 and 4 digits, or with a
 0 and an area code of 1 to 5 digits more, set apart, and any grouping. Its last ten digits change,
 so one number in its national and its international form gets two pseudonyms.
 
 A card number begins and ends where a group of digits does, and may stand beside other numbers.
-Usual groupings (all in one, 4-4-4-4, 4-4-4-4-3, 4-6-5, 4-6-4) go before all other kinds, and any
-other grouping by single spaces and hyphens after them; there, one of ten lists of numbers passes
-the check by chance at each length and is rewritten too.
+Usual groupings (all in one, 4-4-4-4, 4-4-4-4-3, 4-6-5, 4-6-4) go before all other kinds. After them
+come other groupings by single spaces and hyphens, if the groups have two digits or more and no
+other number stands beside them. A list of more than eight numbers of four digits holds no cards.
 
 Defined results: NULL text stays NULL and has none; empty text stays empty; repeated rows come
 out alike; long texts are rewritten whole; other columns pass through.
@@ -35,7 +35,9 @@ from carelake.llm.common import let
 ROUNDS = 10
 KINDS = ("email", "date", "ip", "phone", "card")
 
-_MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+# Java walks a repeated group by recursion, one frame a turn, so what may repeat without bound is
+# single characters only; whether the labels of a domain are such is looked at afterwards.
+_MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9.-]*[A-Za-z0-9-]\.[A-Za-z]{2,}"
 _ISO = r"(?<![\p{N}-])\d{4}-\d{2}-\d{2}(?![\p{N}-])"
 _DAY_FIRST = r"(?<![\p{N}./])(?:\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\p{N}/])"
 _IP = r"(?<![\p{N}.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\p{N}]|\.\p{N})"
@@ -47,17 +49,36 @@ _PHONE = (
 )
 _OTHERS = "|".join((_MAIL, _ISO, _DAY_FIRST, _IP, _PHONE))
 
-# Where a card number can begin: not in a word or a number, nor where a phone number of 13 digits does.
-_START = r"(?<![\p{L}\p{N}.-])(?!(?<=\+)\d{13}(?!\p{N}))(?=(\d(?:[ -]?\d){12}(?s:.{0,100})))"
+# Where a card number can begin: not in a word or a number, nor where a phone number of 13 digits
+# does, nor far down a list of numbers of four digits.
+_AHEAD = r"(?=(\d(?:[ -]?\d){12}(?s:.{0,100})))"
+_START = (
+    r"(?<![\p{L}\p{N}.-])(?!(?<=\+)\d{13}(?!\p{N}))"
+    rf"(?!(?<=(?:\d{{4}}[ -]){{5}})\d{{4}}[ -]\d{{4}}[ -]){_AHEAD}"
+)
+# Where a number in an unusual grouping can begin: not behind another group of digits either.
+_LOOSE_START = rf"(?<![\p{{L}}\p{{N}}.-])(?<!\p{{N}}[ -])(?!(?<=\+)\d{{13}}(?!\p{{N}})){_AHEAD}"
 _END = r"(?![\p{L}\p{N}]|-\p{N}|[\p{L}\p{N}._%+-]*@[A-Za-z0-9-])"
 _USUAL = (
-    r"\d{4}(?:[ -]\d{4}){3}",
+    r"\d{4}(?:[ -]\d{4}){3}(?!(?:[ -]\d{4}){5})",
     r"\d{4}[ -]\d{6}[ -]\d{5}",
     r"\d{4}[ -]\d{6}[ -]\d{4}",
     r"\d{13,19}",
     r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}",
 )
-_LOOSE = tuple(rf"\d(?:[ -]?\d){{{n - 1}}}" for n in (16, 15, 14, 13, 19, 18, 17))
+# Groups of any size, and none beside them.
+_LOOSE = tuple(rf"\d(?:[ -]?\d){{{n - 1}}}(?![ -]\p{{N}})" for n in (16, 15, 14, 13, 19, 18, 17))
+# First digits that issuers have, with the lengths of their numbers.
+_ISSUED = "^(?:" + "|".join((
+    r"4\d{12}(?:\d{3}){0,2}",
+    r"5[1-5]\d{14}",
+    r"2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}",
+    r"3[47]\d{13}",
+    r"3(?:0[0-5]|[689]\d)\d{11}",
+    r"35(?:2[89]|[3-8]\d)\d{12,15}",
+    r"(?:6011|62\d\d|64[4-9]\d|65\d\d)\d{12,15}",
+)) + ")$"
+_ISSUER_DIGITS = 4
 # Characters that stand for nothing mark where a valid number of 13 to 19 digits begins. Should a
 # text have some of its own, they are put between two more.
 _MARKS = "\ufdd0\ufdd1\ufdd2\ufdd3\ufdd4\ufdd5\ufdd6"
@@ -72,13 +93,14 @@ _FIRST_DAY = "1800-01-01"
 _DAY_PARTS = (189, 773)
 
 
-def _digest(key: str, kind: str, round_: Column, half: Column) -> Column:
+def _digest(key: str, kind: str | Column, round_: Column, half: Column) -> Column:
     """60 bits that nobody without the key can foretell."""
-    name = F.concat_ws(":", F.lit(key), F.lit(kind), round_.cast("string"), half.cast("string"))
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    name = F.concat_ws(":", F.lit(key), kind, round_.cast("string"), half.cast("string"))
     return F.conv(F.substring(F.sha2(F.encode(name, "UTF-8"), 256), 1, 15), 16, 10).cast("long")
 
 
-def feistel(key: str, kind: str, a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+def feistel(key: str, kind: str | Column, a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
     """The keyed permutation of pairs a < ``size_a``, b < ``size_b``, as a struct of both."""
     start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
 
@@ -96,7 +118,7 @@ def _power_of_ten(n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(10**i) for i in range(11)]), n + 1)
 
 
-def permute_digits(key: str, kind: str, digits: Column) -> Column:
+def permute_digits(key: str, kind: str | Column, digits: Column) -> Column:
     """Another string of as many digits, 2 to 20. Lengths are permuted apart from each other."""
 
     def of(s: Column) -> Column:
@@ -134,10 +156,12 @@ def _refill(shape: Column, digits: Column) -> Column:
 
 
 def _card(key: str, s: Column) -> Column:
-    """All digits but the last are permuted; the last is made right for them."""
+    """The issuer's digits stay, and the last is made right for the others, which are permuted."""
 
     def of(digits: Column) -> Column:
-        body = permute_digits(key, "card", F.substring(digits, F.lit(1), F.length(digits) - 1))
+        issuer, own = F.substring(digits, 1, _ISSUER_DIGITS), F.length(digits) - _ISSUER_DIGITS - 1
+        named = F.concat(F.lit("card:"), issuer)
+        body = F.concat(issuer, permute_digits(key, named, F.substring(digits, F.lit(_ISSUER_DIGITS + 1), own)))
 
         def checked(b: Column) -> Column:
             right = F.filter(
@@ -221,8 +245,9 @@ def kind_of(s: Column) -> Column:
     day = _day(s)
     in_range = day.between(F.lit(_FIRST_DAY).cast("date"), F.lit("2199-12-31").cast("date"))
     bytes_ = F.forall(F.split(s, r"\."), lambda p: p.cast("int") <= 255)
+    labels = F.split(F.substring_index(s, "@", -1), r"\.")
     return (
-        F.when(F.contains(s, F.lit("@")), "email")
+        F.when(F.contains(s, F.lit("@")), F.when(~F.array_contains(labels, ""), "email"))
         .when(F.regexp_like(s, F.lit(f"^(?:{_ISO}|{_DAY_FIRST})$")), F.when(in_range, "date"))
         .when(F.regexp_like(s, F.lit(f"^(?:{_IP})$")), F.when(bytes_, "ip"))
         .when(F.length(_digits(s)).between(10, 13), "phone")
@@ -258,28 +283,30 @@ def _cut(text: Column, regex: str, of: Callable[[Column], Column], rest: Callabl
     return let(text, pieces)
 
 
-def _mark_cards(text: Column, forms: Sequence[str]) -> Column:
+def _mark_cards(text: Column, forms: Sequence[str], start: str) -> Column:
     """``text`` with a mark wherever a valid card number begins, for the first form that is one."""
 
     def mark(ahead: Column) -> Column:
         def of_form(form: str) -> Column:
-            number = _digits(F.regexp_extract(ahead, f"^({form}){_END}", 1))
-            return let(
-                number,
-                lambda n: F.when(
-                    F.call_function("luhn_check", n), F.substring(F.lit(_MARKS), F.length(n) - 12, F.lit(1))
-                ),
-            )
+            def mark_of(n: Column) -> Column:
+                return F.when(
+                    F.call_function("luhn_check", n) & F.regexp_like(n, F.lit(_ISSUED)),
+                    F.substring(F.lit(_MARKS), F.length(n) - 12, F.lit(1)),
+                )
+
+            written = F.regexp_extract(ahead, f"^({form}){_END}", 1)
+            single = F.regexp_like(written, F.lit(r"(?:^|[ -])\d(?:[ -]|$)"))
+            return F.when((written != "") & ~single, let(_digits(written), mark_of))
 
         return F.coalesce(*[of_form(form) for form in forms], F.lit(""))
 
     def marked(t: Column) -> Column:
-        marks = F.transform(F.regexp_extract_all(t, F.lit(_START), F.lit(1)), mark)
+        marks = F.transform(F.regexp_extract_all(t, F.lit(start), F.lit(1)), mark)
         return let(
             marks,
             lambda ms: F.array_join(
                 F.transform(
-                    F.split(t, _START, -1),
+                    F.split(t, start, -1),
                     lambda piece, i: F.when(i == 0, F.substring(piece, F.lit(2), F.length(piece))).otherwise(
                         F.concat(F.get(ms, i - 1), piece)
                     ),
@@ -291,7 +318,7 @@ def _mark_cards(text: Column, forms: Sequence[str]) -> Column:
     # The line break is there so that no card begins the text, and every piece but the first has a mark.
     own = F.regexp_replace(text, f"([{_MARKS}{_OPEN}{_CLOSE}])", f"{_OPEN}$1{_CLOSE}")
     return let(
-        own, lambda t: F.when(F.regexp_like(t, F.lit(_START)), marked(F.concat(F.lit("\n"), t))).otherwise(t)
+        own, lambda t: F.when(F.regexp_like(t, F.lit(start)), marked(F.concat(F.lit("\n"), t))).otherwise(t)
     )
 
 
@@ -306,9 +333,9 @@ def _pieces(key: str, text: Column) -> Column:
     def plain(t: Column) -> Column:
         return F.array(_piece(t, F.lit(None)))
 
-    def cards(t: Column, forms: Sequence[str], rest: Callable[[Column], Column]) -> Column:
+    def cards(t: Column, forms: Sequence[str], start: str, rest: Callable[[Column], Column]) -> Column:
         return _cut(
-            _mark_cards(t, forms),
+            _mark_cards(t, forms, start),
             _MARKED,
             lambda m: let(_unmarked(m), lambda s: _piece(_card(key, s), F.lit("card"))),
             lambda gap: let(_unmarked(gap), rest),
@@ -319,11 +346,11 @@ def _pieces(key: str, text: Column) -> Column:
             t,
             _OTHERS,
             lambda s: let(kind_of(s), lambda kind: _piece(_pseudonym(key, s, kind), kind)),
-            lambda gap: cards(gap, _LOOSE, plain),
+            lambda gap: cards(gap, _LOOSE, _LOOSE_START, plain),
         )
         return F.when(F.regexp_like(t, F.lit("[0-9@]")), found).otherwise(plain(t))
 
-    return cards(text, _USUAL, others)
+    return cards(text, _USUAL, _START, others)
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
