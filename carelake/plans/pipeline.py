@@ -26,6 +26,8 @@ def extract(spark: SparkSession, config: LakeConfig, records: DataFrame) -> None
     run = (config.source, config.entity, config.run_id)
     field = config.modified_field
     since = F.lit(ops_log.read_watermark(spark, marks, *run[:2]).isoformat(" ")).cast("timestamp")
+    # As they are now: a mark that another run moves meanwhile must not be moved again by this one.
+    stored = stage(ops_log.current_marks(spark, marks), "marks")
     ops_log.audit_start(spark, audit, *run)
     count = None
     try:
@@ -42,7 +44,7 @@ def extract(spark: SparkSession, config: LakeConfig, records: DataFrame) -> None
                 F.lit(config.entity).alias("entity"),
                 landing.read_timestamp(F.col(field)).alias("modified"),
             )
-            moved = ops_log.next_marks(seen, spark.table(marks), F.current_timestamp())
+            moved = ops_log.next_marks(seen, stored, F.current_timestamp())
             ops_log.commit_watermarks(moved.withColumn("last_batch_id", F.lit(config.run_id)), marks)
     except Exception as failure:
         ops_log.audit_finish(spark, audit, *run, "FAILED", count, error_message=str(failure))

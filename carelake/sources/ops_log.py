@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,11 +17,13 @@ from carelake.fixed_values import (
     OVERLAP_HOURS,
 )
 from carelake.operators.ordering import ordered_scan
-from carelake.sources.tables import append_table, lookup_rows, read_table, replace_partitions
+from carelake.session import stage
+from carelake.sources import commits
+from carelake.sources.tables import append_table, is_path, lookup_rows, table_path
 
 WATERMARK_SCHEMA = (
     "high_water_mark timestamp, last_batch_id string, updated_at timestamp, "
-    "source string, entity string"
+    "source string, entity string, version int"
 )
 AUDIT_SCHEMA = (
     "source string, entity string, batch_id string, record_count bigint, page_count int, "
@@ -40,60 +43,101 @@ def extract_from(high_water_mark: Column, now: Column) -> Column:
     )
 
 
-def read_watermark(
-    spark: SparkSession, ref: str, source: str, entity: str, now: datetime | None = None
-) -> datetime:
-    """Start of the next extract of one entity, as naive UTC."""
+@dataclass(frozen=True)
+class Mark:
+    """Where the next extract of an entity starts, as naive UTC, and the version that says so."""
+
+    start: datetime
+    version: int
+
+
+def mark_log(spark: SparkSession, ref: str) -> DataFrame:
+    """All marks that were ever committed. The files are what counts: a mark is committed with its
+    folder, and the catalog hears of it afterwards."""
+    path = table_path(spark, ref)
+    if not commits.matching(spark, f"{path}/source=*/entity=*/{commits.NUMBER}=*"):
+        return spark.createDataFrame([], WATERMARK_SCHEMA)
+    return spark.read.schema(WATERMARK_SCHEMA).parquet(path)
+
+
+def current_marks(spark: SparkSession, ref: str) -> DataFrame:
+    """The last version of each mark."""
+    mark = F.struct("high_water_mark", "last_batch_id", "updated_at")
+    latest = mark_log(spark, ref).groupBy("source", "entity").agg(
+        F.max_by(mark, "version").alias("mark"), F.max("version").alias("version")
+    )
+    return latest.select("mark.*", "source", "entity", "version")
+
+
+def read_mark(spark: SparkSession, ref: str, source: str, entity: str, now: datetime | None = None) -> Mark:
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     marks = (
-        read_table(spark, ref, WATERMARK_SCHEMA)
+        current_marks(spark, ref)
         .filter((F.col("source") == source) & (F.col("entity") == entity))
-        .agg(F.max("high_water_mark").alias("mark"))
+        .agg(F.max("high_water_mark").alias("mark"), F.coalesce(F.max("version"), F.lit(0)).alias("version"))
     )
     # As text, so that the time zone of the Python process plays no part.
-    start = marks.select(
-        F.date_format(
-            extract_from(F.col("mark"), F.lit(now.isoformat(" ")).cast("timestamp")),
-            "yyyy-MM-dd HH:mm:ss.SSSSSS",
-        )
-    ).first()[0]
-    return datetime.fromisoformat(start)
+    start = F.date_format(
+        extract_from(F.col("mark"), F.lit(now.isoformat(" ")).cast("timestamp")), "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    )
+    row = marks.select(start.alias("start"), "version").first()
+    return Mark(datetime.fromisoformat(row["start"]), row["version"])
+
+
+def read_watermark(
+    spark: SparkSession, ref: str, source: str, entity: str, now: datetime | None = None
+) -> datetime:
+    """Start of the next extract of one entity, as naive UTC."""
+    return read_mark(spark, ref, source, entity, now).start
 
 
 def next_marks(seen: DataFrame, stored: DataFrame, now: Column) -> DataFrame:
-    """``source, entity, high_water_mark`` after a batch.
+    """``source, entity, high_water_mark, version`` after a batch (S17), with the version that it
+    follows.
 
     ``seen(source, entity, modified)`` are the records of the batch, ``stored`` the marks
     before it. The mark is the latest modification seen, never the clock. It does not fall
     behind the stored mark either, although the batch was read from an overlap before it.
     """
     latest = seen.groupBy("source", "entity").agg(F.max("modified").alias("latest"))
-    before = stored.select("source", "entity", F.col("high_water_mark").alias("mark"))
+    before = stored.select("source", "entity", F.col("high_water_mark").alias("mark"), "version")
     return latest.join(before, ["source", "entity"], "left").select(
         "source",
         "entity",
         F.greatest("latest", "mark", extract_from(F.col("mark"), now)).alias("high_water_mark"),
+        F.coalesce("version", F.lit(0)).alias("version"),
     )
 
 
 def commit_watermarks(marks: DataFrame, ref: str) -> None:
-    """Upsert ``source, entity, high_water_mark, last_batch_id`` (S19). The mark table is
-    partitioned by its key, so each committed key replaces its own partition only.
+    """Commit ``source, entity, high_water_mark, last_batch_id, version``, one row per key, as the
+    next versions of their marks (S19). CommitConflict if one was moved since ``version`` was read:
+    the run that finds this read from a mark that no longer holds, and is to be made again.
 
     To be called only after a batch was written in full: a mark committed after a partial
     batch hides the rest of it for good.
     """
-    rows = marks.filter(F.col("high_water_mark").isNotNull()).select(
-        "high_water_mark", "last_batch_id", F.current_timestamp().alias("updated_at"), "source", "entity"
-    )
-    replace_partitions(rows, ref, ["source", "entity"])
+    spark, root = marks.sparkSession, table_path(marks.sparkSession, ref)
+    rows = stage(marks.filter(F.col("high_water_mark").isNotNull()), "marks")
+    for key in rows.select("source", "entity", "version").collect():
+        own = (F.col("source") == key["source"]) & (F.col("entity") == key["entity"])
+        row = rows.filter(own).select("high_water_mark", "last_batch_id", F.current_timestamp().alias("updated_at"))
+        names = "/".join(f"{c}={commits.escaped(spark, key[c])}" for c in ("source", "entity"))
+        commits.commit(row, f"{root}/{names}", key["version"] + 1)
+        if not is_path(ref):
+            text = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            spec = f"source = {text(key['source'])}, entity = {text(key['entity'])}, version = {key['version'] + 1}"
+            spark.sql(f"ALTER TABLE {ref} ADD IF NOT EXISTS PARTITION ({spec})")
 
 
 def commit_watermark(
-    spark: SparkSession, ref: str, source: str, entity: str, mark: datetime, batch_id: str
+    spark: SparkSession, ref: str, source: str, entity: str, mark: datetime, batch_id: str, version: int | None = None
 ) -> None:
-    row = [(source, entity, mark.isoformat(" "), batch_id)]
-    marks = lookup_rows(spark, row, "source string, entity string, mark string, last_batch_id string")
+    """Commit one mark after ``version``, or after the one that holds now."""
+    if version is None:
+        version = read_mark(spark, ref, source, entity).version
+    row = [(source, entity, mark.isoformat(" "), batch_id, version)]
+    marks = lookup_rows(spark, row, "source string, entity string, mark string, last_batch_id string, version int")
     commit_watermarks(marks.withColumn("high_water_mark", F.col("mark").cast("timestamp")), ref)
 
 
@@ -220,9 +264,10 @@ def bootstrap_statements(catalog: str, storage_root: str) -> list[str]:
             last_batch_id STRING COMMENT 'Run that last moved the mark',
             updated_at TIMESTAMP,
             source STRING NOT NULL COMMENT 'Source system',
-            entity STRING NOT NULL COMMENT 'Kind of record')
-            USING parquet PARTITIONED BY (source, entity)
-            COMMENT 'Position of incremental extraction, one row per source and entity'""",
+            entity STRING NOT NULL COMMENT 'Kind of record',
+            version INT NOT NULL COMMENT 'How often the mark was moved; the last version holds')
+            USING parquet PARTITIONED BY (source, entity, version)
+            COMMENT 'Positions of incremental extraction, append-only'""",
         f"""CREATE TABLE IF NOT EXISTS {ops}.ingest_audit (
             source STRING, entity STRING,
             batch_id STRING COMMENT 'Run id, the same for a retry',

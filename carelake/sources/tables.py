@@ -27,6 +27,14 @@ def read_table(spark: SparkSession, ref: str, schema: StructType | str | None =
     return reader.parquet(ref)
 
 
+def table_path(spark: SparkSession, ref: str) -> str:
+    """Where a table's files are."""
+    if is_path(ref):
+        return ref
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {ref}").filter("col_name = 'Location'")
+    return described.first()["data_type"].removesuffix("/")
+
+
 def overwrite_table(df: DataFrame, ref: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table, columns included (S11). Must not read the table it replaces.
 

@@ -512,7 +512,7 @@ def _event_marks(spark, sf_dir) -> DataFrame:
     for batch_id, of_batch in (("run-1", first), ("run-2", ~first)):
         marks = ops_log.next_marks(seen.filter(of_batch), stored, _now())
         ops_log.commit_watermarks(marks.withColumn("last_batch_id", F.lit(batch_id)), ref)
-        stored = read_table(spark, ref, ops_log.WATERMARK_SCHEMA)
+        stored = ops_log.current_marks(spark, ref)
     return stored
 
 

@@ -9,6 +9,7 @@ from carelake.config import LakeConfig, require
 from carelake.fixed_values import GOLD_TABLES, LAYERS, OPS_TABLES
 from carelake.plans import pipeline, quality, semantic
 from carelake.sources import ops_log, testdata
+from carelake.sources.commits import CommitConflict
 from carelake.sources.tables import read_table
 from carelake.streaming.bronze import read_bronze
 
@@ -61,28 +62,48 @@ def test_watermark(spark, lake, as_path):
     ops_log.bootstrap(spark, lake.catalog, lake.storage_root)
     ref = f"{lake.storage_root}/marks" if as_path else lake.table("ops", "watermark")
     now = dt.datetime(2024, 6, 1)
-    if not as_path:
-        assert ops_log.read_watermark(spark, ref, "s", "e", now) == now - dt.timedelta(days=730)
+    assert ops_log.read_watermark(spark, ref, "s", "e", now) == now - dt.timedelta(days=730)
     ops_log.commit_watermark(spark, ref, "s", "e", dt.datetime(2024, 5, 1, 12), "run-1")
     ops_log.commit_watermark(spark, ref, "s", "2024", dt.datetime(2024, 4, 1), "run-1")
     ops_log.commit_watermark(spark, ref, "s", "e", dt.datetime(2024, 5, 3), "run-2")
     assert ops_log.read_watermark(spark, ref, "s", "e", now) == dt.datetime(2024, 5, 1)
     assert ops_log.read_watermark(spark, ref, "s", "other", now) == now - dt.timedelta(days=730)
-    got = read_table(spark, ref, ops_log.WATERMARK_SCHEMA).select("entity", "last_batch_id").collect()
-    assert sorted(tuple(r) for r in got) == [("2024", "run-1"), ("e", "run-2")]
+    got = ops_log.current_marks(spark, ref).select("entity", "last_batch_id", "version").collect()
+    assert sorted(tuple(r) for r in got) == [("2024", "run-1", 1), ("e", "run-2", 2)]
+    assert read_table(spark, ref, ops_log.WATERMARK_SCHEMA).count() == 3
+
+
+@pytest.mark.parametrize("as_path", [False, True])
+def test_interleaved_runs_never_move_a_mark_back(spark, lake, as_path):
+    """Both read version 1; the one with the later mark commits first, the other is refused."""
+    ops_log.bootstrap(spark, lake.catalog, lake.storage_root)
+    ref = f"{lake.storage_root}/marks" if as_path else lake.table("ops", "watermark")
+    name = ("it's: a/b", "e=1")
+    ops_log.commit_watermark(spark, ref, *name, dt.datetime(2024, 5, 1), "run-1")
+    one, other = (ops_log.read_mark(spark, ref, *name) for _ in range(2))
+    assert one == other and one.version == 1
+    ops_log.commit_watermark(spark, ref, *name, dt.datetime(2024, 5, 9), "run-2", one.version)
+    with pytest.raises(CommitConflict):
+        ops_log.commit_watermark(spark, ref, *name, dt.datetime(2024, 5, 4), "run-3", other.version)
+    assert ops_log.read_watermark(spark, ref, *name) == dt.datetime(2024, 5, 7)
+    ops_log.commit_watermark(spark, ref, *name, dt.datetime(2024, 5, 10), "run-3")
+    got = ops_log.mark_log(spark, ref).orderBy("version").select("last_batch_id", "version").collect()
+    assert [tuple(r) for r in got] == [("run-1", 1), ("run-2", 2), ("run-3", 3)]
+    if not as_path:
+        assert spark.table(ref).filter("source = \"it's: a/b\" AND entity = 'e=1'").count() == 3
 
 
 def test_mark_never_moves_back(spark):
     stored = spark.createDataFrame(
-        [(dt.datetime(2024, 5, 3), "r", None, "s", "a")], ops_log.WATERMARK_SCHEMA
+        [(dt.datetime(2024, 5, 3), "r", None, "s", "a", 4)], ops_log.WATERMARK_SCHEMA
     )
     seen = spark.createDataFrame(
         [("s", "a", dt.datetime(2024, 5, 2)), ("s", "b", dt.datetime(2024, 1, 1)), ("s", "c", None)],
         "source string, entity string, modified timestamp",
     )
     now = F.lit("2024-06-01").cast("timestamp")
-    got = {r["entity"]: str(r["high_water_mark"])[:10] for r in ops_log.next_marks(seen, stored, now).collect()}
-    assert got == {"a": "2024-05-03", "b": "2024-01-01", "c": "2022-06-02"}
+    got = {r["entity"]: (str(r["high_water_mark"])[:10], r["version"]) for r in ops_log.next_marks(seen, stored, now).collect()}
+    assert got == {"a": ("2024-05-03", 4), "b": ("2024-01-01", 0), "c": ("2022-06-02", 0)}
 
 
 def test_audit(spark, lake):
