@@ -46,6 +46,13 @@ class LakeConfig:
     def table(self, layer: str, name: str) -> str:
         return f"{self.catalog}.{layer}.{name}"
 
+    def layer(self, layer: str) -> str:
+        return f"{self.catalog}.{layer}"
+
+    def published(self, group: str) -> str:
+        """Where a group of tables that change together is published."""
+        return f"{self.storage_root}/groups/{group}"
+
     @property
     def landing_path(self) -> str:
         return f"{self.storage_root}/landing/raw/{self.source}/{self.entity}"

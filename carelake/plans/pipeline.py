@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +10,9 @@ from carelake.fixed_values import GOLD_TABLES
 from carelake.operators import components, matching
 from carelake.plans import gold, marts, quality, silver
 from carelake.session import stage, staging, tune
-from carelake.sources import landing, ops_log
-from carelake.sources.tables import overwrite_table, table_census
+from carelake.sources import landing, ops_log, publication
+from carelake.sources.publication import Writer
+from carelake.sources.tables import table_census
 from carelake.streaming import bronze
 
 
@@ -60,35 +60,34 @@ def build_bronze(spark: SparkSession, config: LakeConfig) -> DataFrame:
 
 
 def merged_versions(spark: SparkSession, config: LakeConfig) -> DataFrame:
-    """The store of latest versions, brought up to date with bronze.
-
-    Bronze rows from the load time of the store's newest version on are merged. Some of them may
-    be in the store already; merging them again changes nothing, so a run that ended early is
-    made good by the next one.
-    """
+    """The store of latest versions, brought up to date with bronze: the batches that the store
+    does not know yet are merged, and no other is read."""
     ref = f"{config.storage_root}/silver_versions/{config.source}"
-    landed = bronze.read_bronze(spark, config.bronze_path)
-    schema = silver.versions_schema(landed)
-    try:
-        newest = silver.stored_versions(spark, ref, schema).agg(F.max("_ingest_ts").alias("at")).first()["at"]
-    except AnalysisException:
-        silver.create_versions(landed, ref)
-    else:
-        new = landed if newest is None else landed.filter(F.col("_ingest_ts") >= F.lit(newest))
-        silver.merge_versions(new, ref)
+    loads, merged = bronze.finished_loads(spark, config.bronze_path), silver.merged_loads(spark, ref)
+    new = [load for load in loads if (of := bronze.batch_of(load))[1] > merged.get(of[0], -1)]
+    if new:
+        last: dict[str, int] = {}
+        for stream, batch in map(bronze.batch_of, new):
+            last[stream] = max(batch, last.get(stream, -1))
+        silver.merge_versions(bronze.read_bronze(spark, config.bronze_path, new), ref, loads=last)
+    schema = silver.versions_schema(bronze.read_bronze(spark, config.bronze_path, loads[-1:]))
     return silver.stored_versions(spark, ref, schema)
 
 
 def build_silver(spark: SparkSession, config: LakeConfig) -> None:
     """Both silver tables of the visits, from the store of their latest versions, into which only
     what was loaded since is merged (X01). Marks of deletion that a sweep has set are carried
-    over from the build before."""
+    over from the build before. The two are published together."""
     latest = merged_versions(spark, config)
-    built, ref = silver.appointments(latest, config.source), config.table("silver", "appointment")
-    if spark.catalog.tableExists(ref):
-        built = stage(silver.carry_deleted(built, spark.table(ref)), "appointment")
-    overwrite_table(built, ref)
-    overwrite_table(silver.party_candidates(latest, config.source), config.table("silver", "party_candidate"))
+
+    def build(writer: Writer) -> None:
+        built = silver.appointments(latest, config.source)
+        if "appointment" in writer.before.tables:
+            built = silver.carry_deleted(built, publication.table(spark, writer.before, "appointment"))
+        writer.write("appointment", built)
+        writer.write("party_candidate", silver.party_candidates(latest, config.source))
+
+    publication.publish(spark, config.published("silver_visits"), build, config.layer("silver"))
 
 
 def build_parties(spark: SparkSession, config: LakeConfig) -> None:
@@ -97,28 +96,34 @@ def build_parties(spark: SparkSession, config: LakeConfig) -> None:
     that are sure enough to be followed without a look (J06, X04). Patients that are known from
     visits only take part as well."""
     patients = bronze.read_bronze(spark, config.bronze_path)
-    party, visits = config.table("silver", "party"), config.table("silver", "party_candidate")
-    overwrite_table(silver.parties_from_patients(patients, config.source), party)
-    known = [spark.table(party)]
-    if spark.catalog.tableExists(visits):
-        listed = spark.table(party).select("source", "source_party_id")
-        known.append(spark.table(visits).join(listed, ["source", "source_party_id"], "left_anti"))
-    pool = stage(silver.party_pool(*known), "parties")
-    overwrite_table(matching.match_links(pool), config.table("silver", "party_link"))
-    links = spark.table(config.table("silver", "party_link")).filter("auto_link")
-    identity = components.connected_components(
-        pool.select(F.col("party_key").alias("node")),
-        links.select(F.col("anchor_key").alias("a"), F.col("party_key").alias("b")),
-    )
-    named = identity.select(F.col("node").alias("party_key"), F.col("component").alias("identity_key"))
-    overwrite_table(named, config.table("silver", "party_identity"))
+    visits = publication.opened(spark, config.published("silver_visits"))
+
+    def build(writer: Writer) -> None:
+        known = [writer.write("party", silver.parties_from_patients(patients, config.source))]
+        if "party_candidate" in visits.tables:
+            listed = known[0].select("source", "source_party_id")
+            seen = publication.table(spark, visits, "party_candidate")
+            known.append(seen.join(listed, ["source", "source_party_id"], "left_anti"))
+        pool = stage(silver.party_pool(*known), "parties")
+        links = writer.write("party_link", matching.match_links(pool)).filter("auto_link")
+        identity = components.connected_components(
+            pool.select(F.col("party_key").alias("node")),
+            links.select(F.col("anchor_key").alias("a"), F.col("party_key").alias("b")),
+        )
+        named = identity.select(F.col("node").alias("party_key"), F.col("component").alias("identity_key"))
+        writer.write("party_identity", named)
+
+    publication.publish(spark, config.published("silver_parties"), build, config.layer("silver"))
 
 
 def sweep(spark: SparkSession, config: LakeConfig, full_pull_ids: DataFrame, detected_at: Column) -> None:
     """Mark stored visits that a full pull of the source no longer has; the marks outlast builds."""
-    ref = config.table("silver", "appointment")
-    swept = silver.sweep_deleted(spark.table(ref), full_pull_ids, detected_at)
-    overwrite_table(stage(swept, "swept"), ref)
+
+    def build(writer: Writer) -> None:
+        before = publication.table(spark, writer.before, "appointment")
+        writer.write("appointment", silver.sweep_deleted(before, full_pull_ids, detected_at))
+
+    publication.publish(spark, config.published("silver_visits"), build, config.layer("silver"))
 
 
 def reconcile_days(spark: SparkSession, config: LakeConfig, source: DataFrame, tolerance: float) -> None:
@@ -143,25 +148,26 @@ def check_silver(spark: SparkSession, config: LakeConfig, as_of: Column) -> list
 
 def build_gold(spark: SparkSession, config: LakeConfig, as_of: Column) -> None:
     """All gold tables. Each is written before the next reads it, so that nothing is
-    computed twice and every join knows the real size of its sides."""
-
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        overwrite_table(df, config.table("gold", name))
-        return spark.table(config.table("gold", name))
-
-    appointment = spark.table(config.table("silver", "appointment"))
-    positions = gold.member_positions(appointment)
-    date = publish("dim_date", gold.dim_date(appointment))
-    clinic = publish("dim_clinic", gold.dim_clinic(positions, config.source))
-    practitioner = publish("dim_practitioner", gold.dim_practitioner(positions, config.source))
-    service = publish("dim_service", gold.dim_service(positions))
-    fact = publish("fct_appointment", gold.fct_appointment(appointment, service, practitioner, clinic))
-    star = gold.Star(config.source, date, clinic, practitioner, service, fact)
-    publish("fct_capacity", star.capacity)
-    publish("mart_clinic_monthly", marts.mart_clinic_monthly(star))
-    publish("mart_practitioner_monthly", marts.mart_practitioner_monthly(star))
-    publish("mart_service_monthly", marts.mart_service_monthly(star))
-    publish("mart_patient_summary", marts.mart_patient_summary(fact, as_of))
+    computed twice and every join knows the real size of its sides. They are published together:
+    until the last one is written, readers have the star of the run before."""
+    visits = publication.opened(spark, config.published("silver_visits"))
+    appointment = publication.table(spark, visits, "appointment")
+
+    def build(writer: Writer) -> None:
+        positions = gold.member_positions(appointment)
+        date = writer.write("dim_date", gold.dim_date(appointment))
+        clinic = writer.write("dim_clinic", gold.dim_clinic(positions, config.source))
+        practitioner = writer.write("dim_practitioner", gold.dim_practitioner(positions, config.source))
+        service = writer.write("dim_service", gold.dim_service(positions))
+        fact = writer.write("fct_appointment", gold.fct_appointment(appointment, service, practitioner, clinic))
+        star = gold.Star(config.source, date, clinic, practitioner, service, fact)
+        writer.write("fct_capacity", star.capacity)
+        writer.write("mart_clinic_monthly", marts.mart_clinic_monthly(star))
+        writer.write("mart_practitioner_monthly", marts.mart_practitioner_monthly(star))
+        writer.write("mart_service_monthly", marts.mart_service_monthly(star))
+        writer.write("mart_patient_summary", marts.mart_patient_summary(fact, as_of))
+
+    publication.publish(spark, config.published("gold"), build, config.layer("gold"))
 
 
 def gold_census(spark: SparkSession, config: LakeConfig) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from carelake.functions.identity import name_key, normalise_email, normalise_phone, surrogate_key
 from carelake.functions.visits import (
@@ -16,7 +18,8 @@ from carelake.functions.visits import (
 )
 from carelake.operators.dedupe import latest_per_key
 from carelake.session import stage
-from carelake.sources.tables import by_partition, overwrite_table, read_table, replace_partitions
+from carelake.sources.publication import KEPT, Writer, opened, remove_unused
+from carelake.sources.tables import by_partition
 
 PATIENT_DETAIL = [
     "patient_first_name", "patient_last_name", "email_norm", "phone_norm",
@@ -109,7 +112,7 @@ def appointments(latest: DataFrame, source: str) -> DataFrame:
                 "deleted_detected_at": F.lit(None).cast("timestamp"),
             }
         )
-        .drop(*PATIENT_DETAIL, "_payload_hash", "visit_month")
+        .drop(*PATIENT_DETAIL, "_payload_hash")
     )
 
 
@@ -144,74 +147,73 @@ def party_pool(*candidates: DataFrame) -> DataFrame:
 
 # --- Incremental build ------------------------------------------------------------
 #
-# The store holds the latest version of every visit by visit month, invalid versions too:
-# they must go on outranking older ones that arrive late.
-
+# The store holds the latest version of every visit, invalid versions too: they must go on
+# outranking older ones that arrive late. It is addressed by id: a visit is in the bucket that
+# its id falls to. A merge reads and writes the buckets of the ids it brings, and publishes them
+# together with the loads that it has merged, in one commit. So a merge that dies has not been,
+# one that is made again brings nothing, and readers see the store before or after it.
 
-TOMBSTONE = "_tombstone"
+# A bucket should have some hundred megabytes.
+BUCKETS = 64
+_BUCKET, _MERGED = "bucket", "merged:"
 
 
 def versions_schema(bronze: DataFrame) -> StructType:
-    return with_month(typed_visits(bronze)).schema
-
+    return typed_visits(bronze).schema
 
-def with_month(versions: DataFrame) -> DataFrame:
-    month = F.coalesce(F.date_format("start_ts", "yyyy-MM"), F.lit("none"))
-    return versions.withColumn("visit_month", month)
 
-
-def create_versions(bronze: DataFrame, ref: str) -> None:
-    """Start a store for ``merge_versions``."""
-    versions = by_partition(_marked(with_month(latest_visits(bronze)), False), ["visit_month"])
-    overwrite_table(versions, ref, partition_by=["visit_month"])
+def merged_loads(spark: SparkSession, ref: str) -> dict[str, int]:
+    """Per stream of loads the last batch that is in the store."""
+    notes = opened(spark, ref).notes
+    return {name.removeprefix(_MERGED): int(batch) for name, batch in notes.items() if name.startswith(_MERGED)}
 
 
 def stored_versions(spark: SparkSession, ref: str, schema: StructType) -> DataFrame:
-    """The latest versions in a store, without the tombstones. A visit without an id is a version
-    like any other: it may still identify a patient."""
-    whole = StructType([*schema.fields, StructField(TOMBSTONE, BooleanType())])
-    return read_table(spark, ref, whole).filter(f"NOT {TOMBSTONE}").drop(TOMBSTONE)
-
-
-def merge_versions(bronze: DataFrame, ref: str) -> None:
-    """Bring new records into a store.
-
-    Only the months that new versions belong to, or that hold an older version of the same
-    visit, are read and written again. Each of them also gets a tombstone, a row that is
-    marked as none, so that a month all of whose visits moved away is overwritten as well.
-    """
-    new = stage(with_month(latest_visits(bronze)), "versions")
-    stored = stored_versions(bronze.sparkSession, ref, new.schema)
-    ids = new.select(F.col("src_appointment_id").alias("_id"))
-    held = stored.join(ids, F.col("src_appointment_id").eqNullSafe(F.col("_id")), "left_semi")
-    months = new.select("visit_month").unionByName(held.select("visit_month")).distinct()
-    # One row per calendar month, so the list is short whatever the size of the store, and
-    # as literals it prunes the partitions that are read.
-    touched = [r["visit_month"] for r in months.collect()]
-    affected = stored.filter(F.col("visit_month").isin(touched))
-    merged = latest_per_key(affected.unionByName(new), ["src_appointment_id"], LATEST_BY)
-    tombstones = months.select(
-        *[
-            F.col(c) if c == "visit_month" else F.lit(None).cast(new.schema[c].dataType).alias(c)
-            for c in new.columns
-        ]
-    )
-    rows = _marked(merged, False).unionByName(_marked(tombstones, True))
-    replace_partitions(rows, ref, ["visit_month"])
-
-
-def _marked(versions: DataFrame, tombstone: bool) -> DataFrame:
-    return versions.withColumn(TOMBSTONE, F.lit(tombstone))
+    """The latest versions in a store. A visit without an id is a version like any other: it may
+    still identify a patient."""
+    tables = opened(spark, ref).tables
+    return spark.read.schema(schema).parquet(*tables.values()) if tables else spark.createDataFrame([], schema)
+
+
+def merge_versions(
+    bronze: DataFrame, ref: str, *, loads: Mapping[str, int] | None = None, buckets: int = BUCKETS
+) -> list[str]:
+    """Bring new records into a store (X01), which the first call makes, with that many buckets.
+    ``loads`` are the last batches that ``bronze`` holds of streams of loads. Gives the buckets
+    that were there and had to be read."""
+    spark = bronze.sparkSession
+    writer = Writer(spark, ref)
+    buckets = int(writer.notes.setdefault("buckets", str(buckets)))
+    versions = latest_visits(bronze)
+    names = versions.columns
+    place = F.pmod(F.xxhash64("src_appointment_id"), F.lit(buckets)).cast("int")
+    new = stage(versions.withColumn(_BUCKET, place), "versions")
+    # One number per bucket, whatever the number of records.
+    touched = [f"{_BUCKET}={r[0]}" for r in new.select(_BUCKET).distinct().collect()]
+    held = [writer.before.tables[t] for t in touched if t in writer.before.tables]
+    merged = new
+    if held:
+        stored = spark.read.schema(versions.schema).parquet(*held).withColumn(_BUCKET, place)
+        merged = latest_per_key(stored.unionByName(new), ["src_appointment_id"], LATEST_BY)
+    paths = [writer.folder(t) for t in touched]
+    if paths:
+        whole = by_partition(merged.select(*names, _BUCKET), [_BUCKET])
+        whole.write.partitionBy(_BUCKET).parquet(paths[0].rpartition("/")[0])
+    writer.notes |= {_MERGED + stream: str(batch) for stream, batch in (loads or {}).items()}
+    writer.commit()
+    remove_unused(spark, ref, KEPT)
+    return held
 
 
 def carry_deleted(appointment: DataFrame, before: DataFrame) -> DataFrame:
     """A newly built ``appointment`` with the deletion marks of the one ``before``: a build from
-    the feed alone cannot know that the source has lost a visit since (X02)."""
+    the feed alone cannot know that the source has lost a visit since (X02). A visit that was
+    delivered after its loss was noticed is there again."""
     marks = before.filter("is_deleted").select("appointment_key", F.col("deleted_detected_at").alias("_since"))
     marked = appointment.join(marks, "appointment_key", "left")
-    known = F.col("_since").isNotNull()
+    known = F.col("_since").isNotNull() & ~F.coalesce(F.col("_ingest_ts") > F.col("_since"), F.lit(False))
     return marked.withColumns(
-        {"is_deleted": F.col("is_deleted") | known, "deleted_detected_at": F.coalesce("deleted_detected_at", "_since")}
+        {"is_deleted": F.col("is_deleted") | known, "deleted_detected_at": F.when(known, F.col("_since")).otherwise(F.col("deleted_detected_at"))}
     ).select(*appointment.columns)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -158,11 +159,16 @@ def _batch_writer(bronze_path: str, checkpoint: str):
 def load_bronze(
     spark: SparkSession, landing_path: str, bronze_path: str, checkpoint: str, source: str, entity: str
 ) -> None:
-    """Append what landed since the last load, then stop."""
+    """Append what landed since the last load, then stop.
+
+    Lines are parsed within a batch rather than in the stream: Spark derives constraints of a whole
+    streaming plan, and the time that takes doubles with every column.
+    """
     schema = source_schema(spark, landing_path, checkpoint)
-    rows = parse_lines(landed_lines(spark, landing_path), schema, source, entity)
+    write = _batch_writer(bronze_path, f"{checkpoint}/write")
     query = (
-        rows.writeStream.foreachBatch(_batch_writer(bronze_path, f"{checkpoint}/write"))
+        landed_lines(spark, landing_path)
+        .writeStream.foreachBatch(lambda lines, batch: write(parse_lines(lines, schema, source, entity), batch))
         .option("checkpointLocation", f"{checkpoint}/write")
         .trigger(availableNow=True)
         .start()
@@ -177,9 +183,15 @@ def finished_loads(spark: SparkSession, bronze_path: str) -> list[str]:
     return sorted(status.getPath().getParent().toString() for status in found)
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """All batches that were written in full, with the ``load_id`` of each."""
-    loads = finished_loads(spark, bronze_path)
+def batch_of(load: str) -> tuple[str, int]:
+    """The stream that wrote a folder, and the number of the batch."""
+    stream, _, batch = load.rpartition(f"{_LOAD}=")[2].rpartition("-")
+    return stream, int(batch)
+
+
+def read_bronze(spark: SparkSession, bronze_path: str, loads: Sequence[str] | None = None) -> DataFrame:
+    """All batches that were written in full, or some of them, with the ``load_id`` of each."""
+    loads = finished_loads(spark, bronze_path) if loads is None else loads
     if not loads:
         raise ValueError(f"no load of {bronze_path} was finished yet")
     return spark.read.option("basePath", bronze_path).parquet(*loads)

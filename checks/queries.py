@@ -155,7 +155,7 @@ def silver_incremental(spark, sf_dir):
     ref = new_path(spark, "visit-versions")
     modified = F.coalesce(F.col("lastModified"), F.lit(""))
     first, second = modified < LOADS_BEFORE[0], modified < LOADS_BEFORE[1]
-    silver.create_versions(feed.filter(first), ref)
+    silver.merge_versions(feed.filter(first), ref)
     # The middle load comes last and twice: what is newer is in the store by then.
     for part in (~second, ~first & second, ~first & second):
         silver.merge_versions(feed.filter(part), ref)

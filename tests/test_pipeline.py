@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelake.config import LakeConfig, require
 from carelake.fixed_values import GOLD_TABLES, LAYERS, OPS_TABLES
 from carelake.plans import pipeline, quality, semantic
-from carelake.sources import ops_log, testdata
+from carelake.sources import commits, ops_log, publication, testdata
 from carelake.sources.commits import CommitConflict
 from carelake.sources.tables import read_table
 from carelake.streaming.bronze import read_bronze
@@ -166,6 +166,49 @@ def test_failed_gate_leaves_gold_alone(spark, lake):
     assert spark.table(lake.table("gold", "fct_appointment")).count() == before
 
 
+@pytest.mark.parametrize("dies_at", ["mart_service_monthly", "commit"])
+def test_a_run_killed_in_gold_leaves_the_old_star(spark, lake, monkeypatch, dies_at):
+    feed = records(spark)
+    pipeline.run(spark, lake, feed.filter("ID % 2 = 0"), F.lit(AS_OF))
+    root = lake.published("gold")
+    before = {r["table_name"]: r["row_count"] for r in pipeline.gold_census(spark, lake).collect()}
+    first = publication.opened(spark, root)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(*((pipeline.marts, dies_at) if dies_at != "commit" else (publication.Writer, "commit")), killed)
+        if dies_at == "commit":
+            with pytest.raises(KeyboardInterrupt):
+                pipeline.build_gold(spark, lake, F.lit(AS_OF))
+        else:
+            with pytest.raises(KeyboardInterrupt):
+                pipeline.run(spark, with_run(lake, "run-2"), feed.filter("ID % 2 = 1"), F.lit(AS_OF))
+    assert publication.opened(spark, root) == first
+    assert {r["table_name"]: r["row_count"] for r in pipeline.gold_census(spark, lake).collect()} == before
+
+    pipeline.run(spark, with_run(lake, "run-3"), feed.filter("ID % 2 = 1"), F.lit(AS_OF))
+    assert publication.opened(spark, root).number == first.number + 1
+    after = spark.table(lake.table("gold", "fct_appointment")).count()
+    old = publication.table(spark, first, "fct_appointment").count()
+    assert old == before["fct_appointment"] and after >= old
+    publication.roll_back(spark, root, first.number, lake.layer("gold"))
+    assert spark.table(lake.table("gold", "fct_appointment")).count() == old
+
+
+def test_old_versions_go_and_running_writers_stay(spark, tmp_path):
+    root, one = f"{tmp_path}/group", lambda n: (lambda w: w.write("t", spark.range(n)))
+    running = publication.Writer(spark, root)
+    running.write("t", spark.range(9))
+    for n in range(1, 6):
+        publication.publish(spark, root, one(n), kept=2)
+    assert [publication.table(spark, publication.opened(spark, root, v), "t").count() for v in (4, 5)] == [4, 5]
+    assert sorted(int(p.rpartition("data-")[2][:8]) for p in commits.matching(spark, f"{root}/data-*")) == [4, 5]
+    with pytest.raises(CommitConflict):
+        running.commit()
+
+
 def test_failed_extract_keeps_the_mark(spark, lake):
     ops_log.bootstrap(spark, lake.catalog, lake.storage_root)
     broken = records(spark).withColumn("Notes", F.raise_error(F.lit("source went away")))
@@ -247,7 +290,7 @@ def test_sweep_and_reconciliation_are_stored(spark, lake):
     pipeline.reconcile_days(spark, lake, days, 0.0)
     ids = visits.select("src_appointment_id").filter("src_appointment_id <> '1000000'").collect()
     kept = spark.createDataFrame(ids[1:], "src_appointment_id string")
-    pipeline.sweep(spark, lake, kept, F.lit("2024-06-01").cast("timestamp"))
+    pipeline.sweep(spark, lake, kept, F.current_timestamp())
     assert spark.table(lake.table("silver", "appointment")).filter("is_deleted").count() >= 1
     pipeline.build_silver(spark, lake)
     assert spark.table(lake.table("silver", "appointment")).filter("is_deleted").count() >= 1

@@ -2,9 +2,12 @@
 
 import itertools
 
+import pytest
 from pyspark.sql import functions as F
 
 from carelake.plans import silver
+from carelake.sources.commits import CommitConflict
+from carelake.sources.publication import Writer, opened
 
 _hash = itertools.count()
 BASE = {
@@ -86,7 +89,7 @@ def test_incremental_build_equals_a_full_one(spark, tmp_path, rows):
     ]
     loads = [feed(spark, *changes) for changes in loads]
     ref = f"{tmp_path}/versions"
-    silver.create_versions(loads[0], ref)
+    silver.merge_versions(loads[0], ref, buckets=4)
     everything = loads[0]
     for more in loads[1:]:
         silver.merge_versions(more, ref)
@@ -94,6 +97,27 @@ def test_incremental_build_equals_a_full_one(spark, tmp_path, rows):
         stored = silver.stored_versions(spark, ref, silver.versions_schema(everything))
         assert rows(silver.appointments(stored, "src")) == rows(build(everything))
     assert sorted(by_id(build(everything))) == ["1", "4", "5", "6"]
+    assert silver.merged_loads(spark, ref) == {}
+
+
+def test_a_merge_opens_only_the_buckets_of_its_ids(spark, tmp_path):
+    ref = f"{tmp_path}/versions"
+    assert silver.stored_versions(spark, ref, silver.versions_schema(feed(spark, {}))).count() == 0
+    assert silver.merge_versions(feed(spark, *[{"ID": i} for i in range(200)]), ref, loads={"a": 0}, buckets=16) == []
+    before = opened(spark, ref)
+    read = silver.merge_versions(feed(spark, {"ID": 7, "DNA": "1"}, {"ID": 7}, {"ID": 900}), ref, loads={"a": 3, "b": 0})
+    after = opened(spark, ref)
+    changed = {name for name in after.tables if after.tables[name] != before.tables.get(name)}
+    assert len(before.tables) > 10 and 1 <= len(changed) <= 2 and {before.tables[c] for c in changed} == set(read)
+    assert silver.merged_loads(spark, ref) == {"a": 3, "b": 0}
+    schema = silver.versions_schema(feed(spark, {}))
+    assert silver.stored_versions(spark, ref, schema).count() == 201
+    # A merge that dies has not been; another writer's commit is not lost.
+    late = Writer(spark, ref)
+    silver.merge_versions(feed(spark, {"ID": 901}), ref)
+    with pytest.raises(CommitConflict):
+        late.commit()
+    assert silver.stored_versions(spark, ref, schema).count() == 202
 
 
 def test_deletion_sweep(spark):
@@ -123,8 +147,8 @@ def test_patient_list(spark):
 def test_deletion_marks_outlast_a_build(spark):
     built = build(feed(spark, {"ID": 1}, {"ID": 2}))
     ids = spark.createDataFrame([("1",)], "src_appointment_id string")
-    swept = silver.sweep_deleted(built, ids, F.lit("2024-03-01").cast("timestamp"))
-    again = by_id(silver.carry_deleted(built, swept))
-    assert {k: (r["is_deleted"], str(r["deleted_detected_at"])) for k, r in again.items()} == {
-        "1": (False, "None"), "2": (True, "2024-03-01 00:00:00"),
-    }
+    swept = silver.sweep_deleted(built, ids, F.lit("2024-03-05").cast("timestamp"))
+    marks = lambda df: {k: (r["is_deleted"], str(r["deleted_detected_at"])) for k, r in by_id(df).items()}
+    assert marks(silver.carry_deleted(built, swept)) == {"1": (False, "None"), "2": (True, "2024-03-05 00:00:00")}
+    delivered = build(feed(spark, {"ID": 1}, {"ID": 2, "_ingest_ts": "2024-03-06"}))
+    assert marks(silver.carry_deleted(delivered, swept)) == {"1": (False, "None"), "2": (False, "None")}
