@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from carelake.functions.identity import strip
+
 
 def status_from_flags(cancelled: Column, dna: Column, arrived: Column) -> Column:
     """One status from three independent "0"/"1" flags; cancelled outranks dna, dna
@@ -20,10 +22,10 @@ def status_from_flags(cancelled: Column, dna: Column, arrived: Column) -> Column
 def compose_timestamp(date_text: Column, time_text: Column) -> Column:
     """Timestamp from a date text and a time text.
 
-    NULL when either part is missing, blank or unreadable. A lone time would otherwise be
+    NULL when either part is missing, blank (of any white space) or unreadable. A lone time would otherwise be
     read as today, and a lone date as midnight.
     """
-    day, clock = (F.nullif(F.trim(part), F.lit("")) for part in (date_text, time_text))
+    day, clock = (F.nullif(strip(part), F.lit("")) for part in (date_text, time_text))
     return F.concat(day, F.lit(" "), clock).try_cast("timestamp")
 
 

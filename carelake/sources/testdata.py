@@ -96,11 +96,16 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_every(part, 211, 6), "31/02/2000")
         .when(_every(part, 211, 7), "")
         .when(_every(part, 211, 8), "  ")
+        .when(_every(part, 211, 9), "\t")
+        .when(_every(part, 211, 10), F.concat(F.lit("\n"), day, F.lit("\t")))
         .otherwise(day)
         .alias("appointmentDate"),
         F.when(_every(part, 223), "25:99")
         .when(_every(part, 223, 1), "")
         .when(_every(part, 223, 2), " ")
+        .when(_every(part, 223, 3), "\t")
+        .when(_every(part, 223, 4), "\r\n")
+        .when(_every(part, 223, 5), F.concat(_clock(start_minute), F.lit("\r\n")))
         .otherwise(_clock(start_minute))
         .alias("appointmentStartTime"),
         F.when(length < 48, _clock(end_minute)).alias("appointmentEndTime"),

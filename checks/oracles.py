@@ -14,6 +14,10 @@ from carelake import fixed_values as fixed
 AS_OF = "TIMESTAMP '2001-09-30 00:00:00'"
 
 
+def _bare(text: str) -> str:
+    return f"regexp_replace({text}, '^\\s+|\\s+$', '', 'g')"
+
+
 def _list(values) -> str:
     """A list of fixed values as an SQL array."""
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values) + "]"
@@ -111,9 +115,12 @@ _CHAIN: list[tuple[str, str]] = [
         l_suppkey AS practitionerID,
         CASE WHEN l_partkey % 499 <> 0 THEN 1 + (l_suppkey + l_linenumber) % 25 END AS locationID,
         CASE WHEN l_partkey % 211 = 5 THEN NULL WHEN l_partkey % 211 = 6 THEN '31/02/2000'
-             WHEN l_partkey % 211 = 7 THEN '' WHEN l_partkey % 211 = 8 THEN '  '
+             WHEN l_partkey % 211 = 7 THEN '' WHEN l_partkey % 211 = 8 THEN '  ' WHEN l_partkey % 211 = 9 THEN chr(9)
+             WHEN l_partkey % 211 = 10 THEN chr(10) || strftime(l_shipdate, '%Y-%m-%d') || chr(9)
              ELSE strftime(l_shipdate, '%Y-%m-%d') END AS appointmentDate,
         CASE WHEN l_partkey % 223 = 0 THEN '25:99' WHEN l_partkey % 223 = 1 THEN '' WHEN l_partkey % 223 = 2 THEN ' '
+             WHEN l_partkey % 223 = 3 THEN chr(9) WHEN l_partkey % 223 = 4 THEN chr(13) || chr(10)
+             WHEN l_partkey % 223 = 5 THEN {_clock(_START)} || chr(13) || chr(10)
              ELSE {_clock(_START)} END AS appointmentStartTime,
         CASE WHEN {_LEN} < 48 THEN
           CASE WHEN {_LEN} = 47 THEN {_clock(_START + ' - 30')} ELSE {_clock(_START + ' + ' + _LEN)} END
@@ -138,8 +145,8 @@ _CHAIN: list[tuple[str, str]] = [
       SELECT CAST("ID" AS VARCHAR) AS src_appointment_id, CAST(patientID AS VARCHAR) AS src_patient_id,
         CAST(practitionerID AS VARCHAR) AS src_practitioner_id, CAST(locationID AS VARCHAR) AS src_clinic_id,
         CAST(appointmentTypeID AS VARCHAR) AS src_service_id, appointmentType AS service_name,
-        TRY_CAST(nullif(trim(appointmentDate), '') || ' ' || nullif(trim(appointmentStartTime), '') AS TIMESTAMP) AS start_ts,
-        TRY_CAST(nullif(trim(appointmentDate), '') || ' ' || nullif(trim(appointmentEndTime), '') AS TIMESTAMP) AS end_ts,
+        TRY_CAST(nullif({_bare('appointmentDate')}, '') || ' ' || nullif({_bare('appointmentStartTime')}, '') AS TIMESTAMP) AS start_ts,
+        TRY_CAST(nullif({_bare('appointmentDate')}, '') || ' ' || nullif({_bare('appointmentEndTime')}, '') AS TIMESTAMP) AS end_ts,
         CAST(date_diff('minute', start_ts, end_ts) AS INTEGER) AS duration_min,
         CASE WHEN cancelled = '1' THEN 'cancelled' WHEN "DNA" = '1' THEN 'dna'
              WHEN arrived = '1' THEN 'completed' ELSE 'booked' END AS status,

@@ -135,6 +135,9 @@ def test_compose_timestamp_and_duration(spark):
         ("2024-03-01", "25:99", "09:00", None, None),
         ("2024-03-01", "08:15", None, "2024-03-01 08:15:00", None),
         ("", "", "", None, None),
+        ("\t", "08:15", "09:00", None, None),
+        ("2024-03-01", "\t", "\n", None, None),
+        ("\n2024-03-01\t", "08:15\r\n", "\u00a009:00", "2024-03-01 08:15:00", 45),
     ]
     df = spark.createDataFrame([c[:3] for c in cases], "d string, s string, e string")
     start = visits.compose_timestamp(F.col("d"), F.col("s"))
