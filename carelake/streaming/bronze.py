@@ -147,7 +147,8 @@ def _fits(value: Column, kind: DataType) -> Column:
 _LOAD, _DONE = "load_id", "_SUCCESS"
 
 
-def _batch_writer(bronze_path: str, checkpoint: str):
+def batch_writer(bronze_path: str, checkpoint: str):
+    """What writes a batch of a stream, whose checkpoint this is, into a folder of its own."""
     def write(rows: DataFrame, batch: int) -> None:
         stream = _load_json(rows.sparkSession, f"{checkpoint}/metadata")["id"]
         writer = rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
@@ -165,7 +166,7 @@ def load_bronze(
     streaming plan, and the time that takes doubles with every column.
     """
     schema = source_schema(spark, landing_path, checkpoint)
-    write = _batch_writer(bronze_path, f"{checkpoint}/write")
+    write = batch_writer(bronze_path, f"{checkpoint}/write")
     query = (
         landed_lines(spark, landing_path)
         .writeStream.foreachBatch(lambda lines, batch: write(parse_lines(lines, schema, source, entity), batch))

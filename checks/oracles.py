@@ -557,6 +557,17 @@ def all_oracles() -> dict[str, str]:
                 FROM events))""",
         "bronze_report": """
             SELECT count(*) AS total_rows, count(*) FILTER (event_id % 103 = 1) AS rescued_rows FROM events""",
+        "first_deliveries": f"""
+            SELECT event_id AS "ID", event_type AS entity, user_id AS "userID", value,
+              strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "lastModified",
+              CASE WHEN ts <= to_timestamp(floor((SELECT avg(epoch(date_trunc('second', ts))) FROM events))) AT TIME ZONE 'UTC'
+                THEN 'run-1' ELSE 'run-2' END AS _batch_id,
+              CAST(ts AS DATE) AS dt, sha256({_EVENT_LINE}) AS _payload_hash
+            FROM events""",
+        "lookup_join": """
+            SELECT status, count(*) AS visits, CASE status WHEN 'completed' THEN true WHEN 'dna' THEN false
+              WHEN 'cancelled' THEN false END AS attended
+            FROM appointment GROUP BY 1""",
         "watermark_state": """
             SELECT *, high_water_mark - INTERVAL 48 HOUR AS extract_from FROM mark""",
         "incremental_since": """

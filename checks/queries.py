@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions import identity, measures, visits
-from carelake.operators import components, dedupe, matching, ordering
+from carelake.operators import components, dedupe, joins, matching, ordering
 from carelake.plans import gold, marts, quality, semantic, silver
 from carelake.session import new_path, stage, tune
 from carelake.sources import landing, ops_log, testdata
-from carelake.sources.tables import append_table, read_table, table_census
+from carelake.sources.tables import append_table, lookup_rows, read_table, table_census
 from carelake.sources.testdata import SECOND_SOURCE, SOURCE
-from carelake.streaming import bronze
+from carelake.streaming import bronze, deliveries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -494,6 +494,35 @@ def bronze_report(spark, sf_dir):
     return bronze.load_report(bronze.read_bronze(spark, paths[1]))
 
 
+@_query
+def first_deliveries(spark, sf_dir):
+    """Two extracts of all events, the second from an overlap before the mark of the first, streamed
+    to a table of first deliveries."""
+    records = testdata.event_records(spark, sf_dir)
+    modified = visits.read_timestamp(F.col("lastModified"))
+    mean = records.agg(F.timestamp_seconds(F.floor(F.avg(F.unix_timestamp(modified)))).alias("mark"))
+    times = mean.select(F.col("mark").cast("string"), ops_log.extract_from(F.col("mark"), _now()).cast("string"))
+    mark, since = (F.lit(t).cast("timestamp") for t in times.first())
+    root = new_path(spark, "deliveries")
+    paths = (f"{root}/landing", f"{root}/changes", f"{root}/ops", SOURCE, "events")
+    for run, part in (("run-1", modified <= mark), ("run-2", modified >= since)):
+        landing.write_landing(records.filter(part), paths[0], run, F.to_date("lastModified"))
+        deliveries.load_changes(spark, *paths)
+    return bronze.read_bronze(spark, paths[1]).select(
+        "ID", "entity", "userID", "value", "lastModified", "_batch_id", "dt", "_payload_hash"
+    )
+
+
+@_query
+def lookup_join(spark, sf_dir):
+    """Statuses of all visits with a table of given rows."""
+    known = lookup_rows(
+        spark, [("completed", True), ("dna", False), ("cancelled", False), (None, None)], "status string, attended boolean"
+    )
+    appointment = _appointment(spark, sf_dir).groupBy("status").agg(F.count("*").alias("visits"))
+    return joins.with_attributes(appointment, known, "status", ["attended"])
+
+
 def _now() -> Column:
     return F.lit("2024-06-01").cast("timestamp")
 

@@ -80,7 +80,7 @@ def test_a_killed_load_gives_each_line_once(spark, paths, monkeypatch, dies):
     land(spark, paths, "run-1", CLEAN)
     assert load(spark, paths).count() == 2
     land(spark, paths, "run-2", ['{"ID":%d,"DNA":"0","note":null}' % i for i in range(3, 8)])
-    whole = bronze._batch_writer
+    whole = bronze.batch_writer
 
     def dying(*to):
         def write(rows, batch):
@@ -94,7 +94,7 @@ def test_a_killed_load_gives_each_line_once(spark, paths, monkeypatch, dies):
 
         return write
 
-    monkeypatch.setattr(bronze, "_batch_writer", dying)
+    monkeypatch.setattr(bronze, "batch_writer", dying)
     with pytest.raises(Exception, match="killed"):
         load(spark, paths)
     seen = bronze.read_bronze(spark, paths[1]).count()
