@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import let
+from carelake.llm.common import let, running
 from carelake.llm.trigram_query import trigram_query
 
 
@@ -47,7 +47,8 @@ BASE_RULES = (
 )
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # The first part is bounded, so that a long run of its letters is not gone through from each start.
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,1000}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("key_block", r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("url_login", r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@"),
@@ -99,32 +100,26 @@ def _found(text: Column, rule: Rule, place: int) -> Column:
     )
 
     def walk(p: Column) -> Column:
-        spans = F.array().cast("array<struct<start:int,place:int,end:int,kind:string,kept:boolean>>")
-
-        def step(done: Column, i: Column) -> Column:
-            return let(
-                done["at"] + F.length(p["gaps"][i]),
-                lambda start: let(
-                    start + F.length(p["matches"][i]),
-                    lambda end: F.struct(
-                        end.alias("at"),
-                        F.array_append(
-                            done["spans"],
-                            F.struct(
-                                start.alias("start"),
-                                F.lit(place).alias("place"),
-                                end.alias("end"),
-                                F.lit(rule.kind).alias("kind"),
-                                (F.length(p["groups"][i]) >= rule.least).alias("kept"),
-                            ),
-                        ).alias("spans"),
-                    ),
-                ),
-            )
+        gaps = F.transform(F.slice(p["gaps"], F.lit(1), F.size(p["matches"])), lambda g: F.length(g).cast("long"))
+        lengths = F.zip_with(gaps, p["matches"], lambda g, m: F.struct(g.alias("gap"), F.length(m).cast("long").alias("match")))
+
+        def spans(sizes: Column) -> Column:
+            before = running(F.transform(sizes, lambda z: z["gap"] + z["match"]), F.lit(0).cast("long"), lambda a, b: a + b)
+
+            def span(i: Column, done: Column) -> Column:
+                start = done[i] + sizes[i]["gap"]
+                return F.struct(
+                    start.cast("int").alias("start"),
+                    F.lit(place).alias("place"),
+                    (start + sizes[i]["match"]).cast("int").alias("end"),
+                    F.lit(rule.kind).alias("kind"),
+                    (F.length(p["groups"][i]) >= rule.least).alias("kept"),
+                )
+
+            every = F.sequence(F.lit(0), F.size(sizes) - 1)
+            return let(before, lambda done: F.filter(F.transform(every, lambda i: span(i, done)), lambda s: s["kept"]))
 
-        start = F.struct(F.lit(0).alias("at"), spans.alias("spans"))
-        walked = F.aggregate(F.sequence(F.lit(0), F.size(p["matches"]) - 1), start, step)
-        return F.filter(walked["spans"], lambda s: s["kept"])
+        return let(lengths, spans)
 
     return F.when(F.regexp_like(text, regex), let(parts, walk))
 
@@ -154,17 +149,33 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+_CHUNK = 4096
+
+
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with the kind of each secret, in brackets, in its place; of spans that overlap,
     the first one's, for all that they cover together."""
 
-    def step(done: Column, s: Column) -> Column:
-        before = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        added = F.concat(done["text"], before, F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.when(
-            s["start"] >= done["at"], F.struct(s["end"].alias("at"), added.alias("text"))
-        ).otherwise(F.struct(F.greatest(done["at"], s["end"]).alias("at"), done["text"].alias("text")))
+    def rebuilt(chunks: Column) -> Column:
+        def between(start: Column, end: Column) -> Column:
+            """A part of the text, from the chunks that it lies in."""
+            first, last = F.floor(start / _CHUNK).cast("int"), F.floor((end - 1) / _CHUNK).cast("int")
+            head = F.substring(chunks[first], start % _CHUNK + 1, F.least(end - start, F.lit(_CHUNK)))
+            whole = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            tail = F.substring(chunks[last], F.lit(1), (end - 1) % _CHUNK + 1)
+            return F.when(end <= start, "").when(first == last, head).otherwise(F.concat(head, whole, tail))
+
+        ends = F.transform(spans, lambda s: s["end"].cast("long"))
+        covered = running(ends, F.lit(0).cast("long"), lambda a, b: F.greatest(a, b))
+
+        def parts(done: Column) -> Column:
+            pieces = F.transform(
+                F.filter(F.transform(spans, lambda s, i: F.struct(s.alias("s"), done[i].cast("int").alias("at"))), lambda x: x["s"]["start"] >= x["at"]),
+                lambda x: F.concat(between(x["at"], x["s"]["start"]), F.lit("["), F.upper(x["s"]["kind"]), F.lit("]")),
+            )
+            return F.concat(F.array_join(pieces, ""), between(F.array_max(ends).cast("int"), F.length(text)))
+
+        return let(covered, parts)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    rest = lambda done: F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    in_chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, let(in_chunks, rebuilt)).otherwise(text)

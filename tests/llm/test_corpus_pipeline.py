@@ -136,5 +136,20 @@ def test_stages_on_awkward_documents(spark, awkward, nothing):
     assert len(pipeline.STAGES) == 5
 
 
+def test_columns_of_documents_stay_as_they_are(spark, prose):
+    """Input columns that are named like the operators' own keep their values."""
+    names = ["kept", "posterior", "base_failed", "secrets", "row", "of", "doc", "_of", "_row", "_domain", "tokens", "_n", "_document", "epoch"]
+    rows = [(i, prose(i, 80) + f" token=abcdefghijkl{i}.", "en", "src1", 5) + tuple(f"{c}{i}" for c in names) for i in range(30)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names)
+    docs = spark.createDataFrame(rows, schema)
+    for name, build in pipeline.STAGES[:-1]:
+        got = build(spark, docs, SF)
+        assert got.columns == docs.columns
+        out = got.collect()
+        assert out, name
+        for r in out:
+            assert [r[c] for c in names] == [f"{c}{r['doc_id']}" for c in names], name
+
+
 def test_weights_name_nodes_of_the_tree():
     assert all(1 <= len(p) <= len(queries.MIX_LEVELS) and w >= 0 for p, w in queries.MIX_WEIGHTS.items())

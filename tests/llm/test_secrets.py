@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.llm import secrets
+from carelake.llm.common import running
 from carelake.llm.trigram_query import trigram_query
 
 HEX = "0123456789abcdef"
@@ -62,6 +63,37 @@ def test_redaction(many):
         assert r["clean"] == out + r["text"][at:]
 
 
+@pytest.mark.parametrize("unit", ["0123456789abcdef0 ", "eyJ", "eyJ-", "eyJabcdefgh.", "token=abcdefghijkl ", "token", "AKIA", "://u:p", "-----BEGIN "])
+def test_long_texts_of_one_unit(spark, unit):
+    """A file of checksums, or any other megabyte of one kind: positions and text are right, and
+    found in time that grows with the length."""
+    for size in (9_000, 900_000):
+        text = "é" + unit * (size // len(unit))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        r = secrets.scan(df).withColumn("clean", secrets.redact(F.col("text"), F.col("secrets"))).first()
+        want = spans(text)
+        assert [(s["start"], s["end"], s["kind"]) for s in r["secrets"]] == want
+        out, at = [], 0
+        for start, end, kind in want:
+            if start >= at:
+                out += [text[at:start], f"[{kind.upper()}]"]
+            at = max(at, end)
+        assert r["clean"] == "".join(out) + text[at:]
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 70_000])
+def test_running_sums(spark, n):
+    rng = random.Random(n)
+    values = [rng.randrange(100) for _ in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<long>")
+    got = df.select(running(F.col("v"), F.lit(0).cast("long"), lambda a, b: a + b)).first()[0]
+    want, at = [], 0
+    for v in values:
+        want.append(at)
+        at += v
+    assert got == want
+
+
 def test_queries_are_as_expected():
     assert trigram_query("abcd") == [frozenset({"abc", "bcd"})]
     assert trigram_query("ab?cde") == [frozenset({"abc", "bcd", "cde"}), frozenset({"acd", "cde"})]
