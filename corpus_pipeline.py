@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     NULL and empty texts fail the base rules; repeated rows are judged alike; an empty table
     stays empty; other columns pass through.
     """
-    measured = stage(docs.withColumn("_of", quality.measures(docs["text"])), "measured")
-    return quality.judge(measured, "_of").filter("kept").select(*docs.columns)
+    measured = stage(docs.select(F.struct("*").alias("row"), quality.measures(docs["text"]).alias("of")), "measured")
+    return quality.judge(measured, "of").filter("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,19 +33,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind of each secret in place of it, and ``n_chars`` as it is then.
     NULL texts stay NULL; repeated rows are searched each."""
-    found = secrets.scan(docs).withColumn("text", F.when(F.col("text").isNotNull(), secrets.redact(F.col("text"), F.col("secrets"))))
-    if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    found = secrets.scan(docs.select("doc_id", "text", F.struct("*").alias("row")))
+    clean = F.when(F.col("text").isNotNull(), secrets.redact(F.col("text"), F.col("secrets")))
+    found = found.select("row", F.size("secrets").alias("n"), clean.alias("clean"))
+    own = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    length = F.when(F.col("n") > 0, F.length("clean").cast("long"))
+    new = {"text": F.col("clean"), "n_chars": F.coalesce(length, own.get("n_chars", F.lit(None)))}
+    return found.select(*[new.get(c, own[c]).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that a mixture of as many tokens takes: one row for each epoch in which a
     document is read. Documents without words belong to no budget and are not taken."""
     levels = ("_domain", *queries.MIX_LEVELS[1:])
-    named = queries.with_domain(docs, into="_domain")
+    named = queries.with_domain(docs.select("doc_id", "text", "lang", "source", F.struct("*").alias("_document")), into="_domain")
     _, leaves = mixing.plan(named, levels, queries.MIX_WEIGHTS, seed=queries.MIX_SEED)
-    return mixing.select(named, leaves, levels, seed=queries.MIX_SEED).select(*docs.columns)
+    return mixing.select(named, leaves, levels, seed=queries.MIX_SEED).select("_document.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
