@@ -3,9 +3,14 @@
 Labelling rules look at a document's measures and vote good or bad, or abstain. How far each
 rule is to be believed is estimated from their agreement over *all* documents, by expectation
 maximisation over a histogram of vote patterns, which has at most 3 ** rules rows whatever the
-corpus. A document is kept if its posterior probability of being good is at least a half. Rules
-that hardly ever accuse a good document weigh so much that one bad vote can reject, against all
-others; no rule may therefore depend on a text's length or script.
+corpus. A document is kept if its posterior probability of being good is at least a half.
+
+No rule is a veto. The accuracies that the rules' agreement tells are then drawn to a prior with the
+weight of a fifth of the corpus, which keeps them off 1 however clean the corpus is: a bad vote
+weighs some three units of log-odds, and the good votes of all others outweigh it. Rules that look
+at the same thing agree by nature: of a group of such, the strongest vote counts in full and the
+others by three quarters.
+No rule depends on a text's length or script.
 
 Defined results: NULL and empty texts have no words; all measures are 0, every rule abstains,
 and they fail the base rules. Repeated rows are judged each, alike. An empty table gives no
@@ -17,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -162,15 +168,24 @@ def votes(of: Column, rules: Sequence[LabelRule] = RULES) -> Column:
 
 # --- Model --------------------------------------------------------------------------
 
+# Rules that look at the same thing, by their place in RULES.
+GROUPS = ((0, 6, 7), (1, 2, 3), (4, 5))
+# What a vote weighs in a group beside the strongest one.
+DEPENDENT = 0.75
+# How often rules are right of good and of bad documents, before any were seen, and the weight of
+# that as a share of all documents.
+PRIOR_GOOD, PRIOR_BAD, PRIOR_MASS = 0.9, 0.3, 0.2
+
 
 @dataclass
 class Model:
     """The share of good documents, and per rule how often its vote is right: of good documents
-    on which it votes, and of bad ones."""
+    on which it votes, and of bad ones. ``groups`` are the places of rules that depend on each other."""
 
     prior: float = 0.85
     right_on_good: list[float] = field(default_factory=list)
     right_on_bad: list[float] = field(default_factory=list)
+    groups: Sequence[Sequence[int]] = ()
 
     @classmethod
     def start(cls, rules: int) -> Model:
@@ -184,38 +199,60 @@ class Model:
             for g, b in zip(self.right_on_good, self.right_on_bad, strict=True)
         ]
 
+    def _parts(self) -> list[Sequence[int]]:
+        grouped = {i for group in self.groups for i in group}
+        return [*self.groups, *([i] for i in range(len(self.right_on_good)) if i not in grouped)]
+
     def log_odds(self, pattern: Sequence[int]) -> float:
-        total = math.log(self.prior / (1 - self.prior))
-        for vote, (good, bad) in zip(pattern, self.weights(), strict=True):
-            total += good if vote == GOOD else bad if vote == BAD else 0.0
+        total, weights = math.log(self.prior / (1 - self.prior)), self.weights()
+        for part in self._parts():
+            own = [weights[i][0] if pattern[i] == GOOD else weights[i][1] if pattern[i] == BAD else 0.0 for i in part]
+            strongest = max(max(own), -min(own)) * (1 if max(own) >= -min(own) else -1)
+            total += DEPENDENT * sum(own) + (1 - DEPENDENT) * strongest
         return total
 
     def posterior(self, votes: Column) -> Column:
         """Probability of good, as an expression over a votes array."""
-        total = F.lit(math.log(self.prior / (1 - self.prior)))
-        for i, (good, bad) in enumerate(self.weights()):
-            total = total + F.when(votes[i] == GOOD, good).when(votes[i] == BAD, bad).otherwise(0.0)
+        total, weights = F.lit(math.log(self.prior / (1 - self.prior))), self.weights()
+        for part in self._parts():
+            own = [F.when(votes[i] == GOOD, weights[i][0]).when(votes[i] == BAD, weights[i][1]).otherwise(0.0) for i in part]
+            high, low = (own[0], own[0]) if len(own) == 1 else (F.greatest(*own), F.least(*own))
+            strongest = F.when(high >= -low, high).otherwise(low)
+            total = total + DEPENDENT * reduce(lambda x, y: x + y, own) + (1 - DEPENDENT) * strongest
         return 1 / (1 + F.exp(-total))
 
 
 def estimate(
-    histogram: Sequence[tuple[Sequence[int], int]], rules: int, *, rounds: int = 500, settled: float = 1e-7
+    histogram: Sequence[tuple[Sequence[int], int]],
+    rules: int,
+    *,
+    groups: Sequence[Sequence[int]] = (),
+    mass: float = PRIOR_MASS,
+    rounds: int = 500,
+    settled: float = 1e-7,
 ) -> Model:
-    """Expectation maximisation over (votes, documents) pairs, each pattern once. The estimates
-    are smoothed by one document, half right and half wrong."""
-    model = Model.start(rules)
-    rows = sorted((tuple(p), n) for p, n in histogram)
-    total = sum(n for _, n in rows)
-    for _ in range(rounds if total else 0):
-        believed = [(p, n, 1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(p)))))) for p, n in rows]
+    """Expectation maximisation over (votes, documents) pairs, each pattern once, with votes taken for
+    independent and smoothed by one document, half right and half wrong. At the end accuracies are
+    drawn to their prior with the weight of ``mass`` of all documents, and ``groups`` are heeded."""
+
+    def told(believed: list[tuple], weight: float, right: tuple[float, float]) -> Model:
         new = Model((sum(n * q for _, n, q in believed) + 0.5) / (total + 1), [], [])
         for i in range(rules):
             good = sum(n * q for p, n, q in believed if p[i] == GOOD)
             wronged = sum(n * q for p, n, q in believed if p[i] == BAD)
             caught = sum(n * (1 - q) for p, n, q in believed if p[i] == BAD)
             missed = sum(n * (1 - q) for p, n, q in believed if p[i] == GOOD)
-            new.right_on_good.append((good + 0.5) / (good + wronged + 1))
-            new.right_on_bad.append((caught + 0.5) / (caught + missed + 1))
+            new.right_on_good.append((good + weight * right[0]) / (good + wronged + weight))
+            new.right_on_bad.append((caught + weight * right[1]) / (caught + missed + weight))
+        return new
+
+    model = Model.start(rules)
+    rows = sorted((tuple(p), n) for p, n in histogram)
+    total = sum(n for _, n in rows)
+    believed: list[tuple] = []
+    for _ in range(rounds if total else 0):
+        believed = [(p, n, 1 / (1 + math.exp(-max(-700.0, min(700.0, model.log_odds(p)))))) for p, n in rows]
+        new = told(believed, 1, (0.5, 0.5))
         moved = max(
             abs(a - b)
             for a, b in zip(
@@ -227,6 +264,9 @@ def estimate(
         model = new
         if moved < settled:
             break
+    if believed and mass:
+        model = told(believed, mass * total + 1, (PRIOR_GOOD, PRIOR_BAD))
+    model.groups = groups
     return model
 
 
@@ -234,7 +274,8 @@ def fit(measured: DataFrame, of: str, rules: Sequence[LabelRule] = RULES) -> Mod
     """The model of a stored table whose column ``of`` has the measures. What comes to the driver
     is one row per vote pattern that occurs, of 3 ** rules at most."""
     patterns = measured.filter(F.col(of)["n_words"] > 0).groupBy(votes(F.col(of), rules).alias("votes")).count()
-    return estimate([(r["votes"], r["count"]) for r in patterns.collect()], len(rules))
+    groups = GROUPS if rules is RULES else ()
+    return estimate([(r["votes"], r["count"]) for r in patterns.collect()], len(rules), groups=groups)
 
 
 def base_failed(of: Column) -> Column:

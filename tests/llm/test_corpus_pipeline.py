@@ -59,11 +59,11 @@ def expected(docs):
     for d in docs:
         if test_quality.plain(d[1])[0]:
             histogram[votes(d[1])] += 1
-    model = quality.estimate(list(histogram.items()), len(quality.RULES))
+    kept, _ = test_quality.plain_verdict(histogram)
     good = []
     for d in docs:
         n, _, _, _, repeated = test_quality.plain(d[1])[:5]
-        if n >= 50 and 100 * repeated <= 50 * n and model.log_odds(votes(d[1])) >= 0:
+        if n >= 50 and 100 * repeated <= 50 * n and kept[votes(d[1])]:
             good.append(d)
     classes = dict(zip((d[0] for d in good), (c for _, c in test_near_dedup.classes([d[:2] for d in good]))))
     clean = []

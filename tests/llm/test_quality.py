@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from carelake.llm import quality
@@ -47,7 +48,7 @@ def test_estimate_finds_the_accuracies():
             says = rng.random() < (g if good else 1 - b)
             votes.append(0 if rng.random() < 0.2 else 1 if says else -1)
         histogram[tuple(votes)] += 1
-    model = quality.estimate(list(histogram.items()), 4)
+    model = quality.estimate(list(histogram.items()), 4, mass=0)
     assert abs(model.prior - 0.8) < 0.03
     for got, want in zip(model.right_on_good + model.right_on_bad, right_good + right_bad):
         assert abs(got - want) < 0.06
@@ -61,6 +62,67 @@ def test_posterior_is_that_of_the_model(spark):
     assert abs(got[0] - good / (good + bad)) < 1e-9 and abs(got[1] - 0.7) < 1e-9 and got[2] < 0.2
 
 
+def plain_verdict(histogram):
+    """Which vote patterns are kept, by an estimate of its own: numpy over patterns, from the text of
+    the docstring."""
+    patterns = np.array(sorted(histogram), dtype=float)
+    n = np.array([histogram[tuple(int(v) for v in p)] for p in patterns], dtype=float)
+    groups = [[0, 6, 7], [1, 2, 3], [4, 5]]
+    good, bad, prior, total = np.full(8, 0.97), np.full(8, 0.3), 0.85, n.sum()
+    is_good, is_bad = patterns == 1, patterns == -1
+
+    def added():
+        return np.where(is_good, np.log(good / (1 - bad)), np.where(is_bad, np.log((1 - good) / bad), 0.0))
+
+    for last in [False] * 800 + [True]:
+        q = 1 / (1 + np.exp(-np.log(prior / (1 - prior)) - added().sum(axis=1)))
+        weigh = lambda share, votes: ((n * share)[:, None] * votes).sum(axis=0)
+        mass, right, caught = (0.2 * total + 1, 0.9, 0.3) if last else (1, 0.5, 0.5)
+        good = (weigh(q, is_good) + right * mass) / (weigh(q, is_good | is_bad) + mass)
+        bad = (weigh(1 - q, is_bad) + caught * mass) / (weigh(1 - q, is_good | is_bad) + mass)
+        prior = ((n * q).sum() + 0.5) / (total + 1)
+    odds = np.full(len(patterns), np.log(prior / (1 - prior)))
+    for group in groups:
+        own = added()[:, group]
+        first = own[np.arange(len(own)), np.abs(own).argmax(axis=1)]
+        odds += first + 0.75 * (own.sum(axis=1) - first)
+    return {tuple(int(v) for v in p): o >= 0 for p, o in zip(patterns, odds)}, odds
+
+
+def test_no_rule_is_a_veto(spark):
+    """Against the labels, where rules disagree; and against an estimate of its own."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = judged(docs).withColumn("votes", quality.votes(F.col("of"))).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "left")
+    found = rows.filter("of.n_words > 0").groupBy("votes", "base_failed", "kept", "quality").count().collect()
+    histogram = Counter()
+    for r in found:
+        histogram[tuple(r["votes"])] += r["count"]
+    want, odds = plain_verdict(histogram)
+    assert np.abs(odds).min() > 1e-3
+    for r in found:
+        assert r["kept"] == (want[tuple(r["votes"])] and not r["base_failed"])
+    passed = [r for r in found if not r["base_failed"]]
+    accused = [r for r in passed if -1 in r["votes"]]
+    assert any(r["kept"] for r in accused) and any(not r["kept"] for r in accused)
+    one = [r for r in passed if list(r["votes"]).count(-1) == 1 and 0 not in r["votes"]]
+    assert all(r["kept"] for r in one)
+    junk = sum(r["count"] for r in passed if r["quality"] == 0)
+    assert sum(r["count"] for r in passed if r["quality"] == 0 and not r["kept"]) >= 0.95 * junk
+    assert not any(r["quality"] == 1 and not r["kept"] for r in passed)
+
+
+def test_a_clean_text_that_one_rule_accuses_is_kept(spark, prose):
+    """A price list has many symbols, a poem short lines: one kind of evidence each."""
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").cast("string"), "text")
+    priced = " ".join(f"{w} $" if i % 4 == 0 else w + "ening" for i, w in enumerate(prose(70, 200).split()))
+    loud = " ".join(w + "ing" + "!" * (i % 2) for i, w in enumerate(prose(71, 200).split()))
+    docs = spark.createDataFrame([("priced", priced), ("loud", loud)], "doc_id string, text string")
+    rows = judged(given.unionByName(docs)).withColumn("votes", quality.votes(F.col("of")))
+    for r in rows.filter("doc_id in ('priced', 'loud')").collect():
+        assert list(r["votes"]).count(-1) == 1 and r["kept"], r["doc_id"]
+
+
 def judged(docs):
     return quality.judge(stage(docs.select("doc_id", "text", quality.measures(docs["text"]).alias("of")), "measured"), "of")
 
