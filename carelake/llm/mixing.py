@@ -9,7 +9,8 @@ epochs, each in a seeded order of its own, and stops at the document that reache
 All arithmetic is in whole tokens, and the shares of a family add up to its budget.
 
 Defined results: tokens are words; NULL text has none. NULL in a level is a value like any other.
-Documents of a leaf without tokens are not taken. Rows with equal doc_id are taken together.
+Documents of a leaf without tokens are not taken. Rows of equal doc_id are ordered by a digest of
+their text; of rows equal in that too, as many are taken as the budget needs.
 An empty table gives an empty plan. A weight of 0 takes a branch out. Other columns pass
 through ``select`` unchanged; its own are named with a leading underscore.
 """
@@ -120,13 +121,16 @@ def plan(
     max_epochs: int = 4,
     seed: str = "mix",
 ) -> tuple[DataFrame, DataFrame]:
-    """``(counted, leaves)``, both stored: documents as ``doc_id, *levels, tokens``, and leaves as
-    ``*levels, leaf_tokens, budget, full_epochs, last_key, last_doc``: each document of a leaf is
-    taken ``full_epochs`` times, and once more if its key in the epoch after those is at most
-    (``last_key``, ``last_doc``). The budget of the tree is a percentage of all tokens.
+    """``(counted, leaves)``, both stored: documents as ``doc_id, *levels, tokens, _text``, and leaves as
+    ``*levels, leaf_tokens, budget, full_epochs, last, last_rows``: each document of a leaf is taken
+    ``full_epochs`` times, and once more if it comes before ``last`` in the epoch after those. Of the
+    rows that are ``last``, equal in all that counts, ``last_rows`` are taken. The budget of the tree
+    is a percentage of all tokens.
     """
     counted = stage(
-        docs.select(docs["doc_id"], *[docs[c] for c in levels], count_tokens(docs["text"]).alias("tokens")),
+        docs.select(
+            docs["doc_id"], *[docs[c] for c in levels], count_tokens(docs["text"]).alias("tokens"), _text_hash(docs).alias("_text")
+        ),
         "counted",
     )
     sums = stage(counted.groupBy(*levels).agg(F.sum("tokens").alias("tokens")), "leaves")
@@ -147,31 +151,46 @@ def plan(
     keyed = in_leaf.withColumns(
         {"_key": _order_key(seed, F.col("full_epochs"), F.col("doc_id")), "_row": F.monotonically_increasing_id()}
     )
-    order = ["_key", "doc_id", "_row"]
+    order = ["_key", "doc_id", "_text", "_row"]
     read = ordered_scan(keyed.drop("full_epochs"), keys=list(levels), order=order, sums={"_before": "tokens"})
-    last = (
-        read.filter("_before < rest")
-        .groupBy(*levels)
-        .agg(F.max(F.struct("_key", "doc_id")).alias("last"))
-        .select(*levels, F.col("last._key").alias("last_key"), F.col("last.doc_id").alias("last_doc"))
-    )
+    place = F.struct(F.col("_key").alias("k"), F.col("doc_id").alias("d"), F.col("_text").alias("t"))
+    ends = read.filter("_before < rest").groupBy(*levels, place.alias("at")).agg(F.count("*").alias("n"))
+    last = ends.groupBy(*levels).agg(F.max("at").alias("last"), F.max_by("n", "at").alias("last_rows"))
     return counted, stage(_null_safe(leaves, last, levels, "left"), "mixing-plan")
 
 
+def _text_hash(docs: DataFrame) -> Column:
+    """What tells rows of one doc_id apart; a counted document has it with it."""
+    return docs["_text"] if "_text" in docs.columns else F.xxhash64(docs["text"])
+
+
 def select(docs: DataFrame, leaves: DataFrame, levels: Sequence[str], *, seed: str = "mix") -> DataFrame:
     """The rows of ``docs`` that the plan takes, once for each ``_epoch``, in which they are read.
     No document is joined with another one: a row and its leaf decide."""
     columns = [F.col(k) for k in docs.columns]
-    plan_ = leaves.select(*levels, "leaf_tokens", "budget", "full_epochs", "last_key", "last_doc")
+    plan_ = leaves.select(*levels, "leaf_tokens", "budget", "full_epochs", "last", "last_rows")
     plan_ = plan_.select(*levels, *[F.col(c).alias(f"_{c}") for c in plan_.columns if c not in levels])
     key = _order_key(seed, F.col("_full_epochs"), F.col("doc_id"))
-    here = F.struct(key.alias("k"), F.col("doc_id").alias("d"))
-    last = F.struct(F.col("_last_key").alias("k"), F.col("_last_doc").alias("d"))
-    once_more = F.when(F.col("_last_key").isNotNull() & (here <= last), 1).otherwise(0)
-    taken = F.col("_full_epochs") + once_more
-    epochs = F.when(taken > 0, F.sequence(F.lit(0), taken - 1))
-    return (
-        _null_safe(docs, plan_, levels)
-        .withColumn("_epoch", F.explode(epochs))
-        .select(*columns, "_epoch", "_leaf_tokens", "_budget")
+    here = F.struct(key.alias("k"), F.col("doc_id").alias("d"), _text_hash(docs).alias("t"))
+    placed = _null_safe(docs, plan_, levels)
+    is_last = F.coalesce(here.eqNullSafe(F.col("_last")), F.lit(False)) & F.col("_last").isNotNull()
+    # Rows that are the last one of their leaf, nearly always one: numbered, to take as many as fit.
+    ends = placed.filter(is_last).select(
+        F.struct(*columns).alias("_document"), *[F.col(c).alias(f"_at_{i}") for i, c in enumerate(levels)],
+        "_leaf_tokens", "_budget", "_full_epochs", "_last_rows",
+        F.lit(1).alias("_one"), F.monotonically_increasing_id().alias("_row"),
     )
+    numbered = ordered_scan(ends, keys=[f"_at_{i}" for i in range(len(levels))], order=["_row"], sums={"_nth": "_one"})
+    added = ["_leaf_tokens", "_budget"]
+    others = placed.filter(~is_last).select(
+        F.struct(*columns).alias("_document"), *added, _epochs(F.coalesce(here < F.col("_last"), F.lit(False))).alias("_epochs")
+    )
+    of_ends = numbered.select("_document", *added, _epochs(F.col("_nth") < F.col("_last_rows")).alias("_epochs"))
+    taken = others.unionByName(of_ends).withColumn("_epoch", F.explode("_epochs"))
+    return taken.select("_document.*", "_epoch", *added)
+
+
+def _epochs(once_more: Column) -> Column:
+    """The epochs in which a document is read."""
+    taken = F.col("_full_epochs") + F.when(once_more, 1).otherwise(0)
+    return F.when(taken > 0, F.sequence(F.lit(0), taken - 1))

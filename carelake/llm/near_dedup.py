@@ -156,17 +156,18 @@ def _compared(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, weighted: boo
             )
 
     texts = docs.select(docs["doc_id"].cast("long").alias("_doc"), digest(docs).alias("_digest"), docs["text"].alias("_text"))
-    names = nodes.select("node", "first", "digest")
+    ends = pairs.select(F.col("a").alias("_end")).unionByName(pairs.select(F.col("b").alias("_end"))).distinct()
+    names = nodes.select("node", "first", "digest").join(ends, F.col("node") == F.col("_end"), "left_semi")
+    same = names["first"].eqNullSafe(texts["_doc"]) & (names["digest"] == texts["_digest"])
+    # A row that is repeated gives its text once.
+    of_node = stage(texts.join(names, same).select("node", "_text").dropDuplicates(["node"]), "node-texts")
 
     def with_text(df: DataFrame, end: str) -> DataFrame:
-        named = df.join(names, df[end] == names["node"]).drop("node")
-        same = named["first"].eqNullSafe(texts["_doc"]) & (named["digest"] == texts["_digest"])
-        joined = named.join(texts, same).withColumnRenamed("_text", f"text_{end}")
-        return joined.drop("first", "digest", "_doc", "_digest")
+        return df.join(of_node, df[end] == of_node["node"]).drop("node").withColumnRenamed("_text", f"text_{end}")
 
     both = with_text(with_text(pairs, "a"), "b").select("a", "b", "text_a", "text_b")
     schema = "a long, b long, similarity double, has binary, more binary"
-    return both.mapInArrow(compare, schema).dropDuplicates(["a", "b"])
+    return both.mapInArrow(compare, schema)
 
 
 def elements_of(texts: pa.Array) -> list:
@@ -186,7 +187,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, weighted:
     nodes = nodes.filter("digest IS NOT NULL").withColumn("node", F.monotonically_increasing_id())
     nodes = stage(nodes, "nodes")
 
-    compared = stage(_compared(_with_leaders(nodes), nodes, docs, weighted), "compared")
+    pairs = stage(_with_leaders(nodes), "pairs")
+    compared = stage(_compared(pairs, nodes, docs, weighted), "compared")
     links = compared.filter(F.col("similarity") >= threshold).select("a", "b")
     component = stage(connected_components(nodes.select("node"), links), "components")
 

@@ -227,7 +227,7 @@ def remove_repeats(docs: DataFrame, *, k: int) -> DataFrame:
     found = _in_buckets(_packed(with_spans, k, hot=False), k)
     if not shared.filter("hot").isEmpty():
         found = found.unionByName(_of_hot(_packed(with_spans, k, hot=True), k))
-    places = _by_row(found, F.collect_list(F.struct("start", "n")).alias("places"))
+    places = _by_row(found, F.collect_set(F.struct("start", "n")).alias("places"))
     return rows.join(places, _same_row(rows, places), "left").select("doc_id", "text", "places").mapInArrow(
         lambda batches: _kept(batches, k), "doc_id long, n_words long, n_removed long, kept string"
     )

@@ -111,3 +111,19 @@ def test_awkward_documents(awkward, nothing):
     assert ids <= {r["doc_id"] for r in awkward.collect()}
     _, none = mixing.plan(nothing, levels, {})
     assert none.count() == 0 and mixing.select(nothing, none, levels).count() == 0
+
+
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i % 3])
+def test_rows_of_equal_ids_are_cut_at_the_budget(spark, ids):
+    """A leaf of a thousand rows that share an id, or have none: the prefix ends where it must."""
+    rows = [(ids(i), "w " * (1 + (i // 10) % 9), "a", "en", "x") for i in range(1000)] + [(5000, "w " * 5000, "b", "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string, source string").repartition(5)
+    supply = sum(1 + (i // 10) % 9 for i in range(1000))
+    for percent in (10, 60, 100):
+        counted, leaves = mixing.plan(docs, LEVELS, {("a",): 2, ("b",): 3}, total_percent=percent)
+        budget = {r["domain"]: r["budget"] for r in leaves.collect()}["a"]
+        for of in (counted, docs):
+            got = mixing.select(of, leaves, LEVELS).filter("domain = 'a'")
+            read = sum(r["tokens"] if "tokens" in of.columns else len(r["text"].split()) for r in got.collect())
+            assert budget <= read < budget + 9, (percent, budget, read)
+    assert supply > 100

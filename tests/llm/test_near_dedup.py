@@ -137,3 +137,11 @@ def test_weighted_classes(spark, prose):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     ids = lambda w: [r["class_id"] for r in near_dedup.near_duplicates(docs, weighted=w).orderBy("doc_id").collect()]
     assert ids(True) == [0, 1]
+
+
+def test_a_row_that_is_repeated_with_one_id(spark, prose):
+    text = prose(9, 300)
+    rows = [(1, text)] * 300 + [(2, text + " more")] * 300 + [(None, prose(10, 90))] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_dedup.near_duplicates(df).collect()
+    assert {(r["doc_id"], r["class_id"]) for r in got} == {(1, 1), (2, 1), (None, None)} and len(got) == 603

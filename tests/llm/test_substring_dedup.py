@@ -87,3 +87,12 @@ def test_bucket_of_equal_and_different_strings():
     bucket = [b"a b c d", b"a b c d", b"x b c d", b"p q r"]
     assert op.repeated_in_bucket(bucket, 3) == [[0, 1], [0, 1], [1], []]
     assert list(op.runs([1, 2, 5, 7, 8])) == [(1, 2), (5, 1), (7, 2)] and list(op.runs([])) == []
+
+
+def test_a_row_that_is_repeated_with_one_id(spark, prose):
+    """Its places are held once, however often the row is there."""
+    text = prose(9, 400)
+    rows = [(1, text)] * 900 + [(None, text)] * 100 + [(2, prose(10, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = op.remove_repeats(df, k=35).collect()
+    assert sorted((r["n_words"], r["n_removed"]) for r in got) == [(60, 0)] + [(400, 400)] * 1000
