@@ -507,6 +507,17 @@ def all_oracles() -> dict[str, str]:
                     count(DISTINCT (l_orderkey, l_linenumber))::DOUBLE AS source_value FROM lineitem GROUP BY 1)
             FULL JOIN (SELECT strftime(start_ts, '%Y-%m-%d') AS grain_value, count(*)::DOUBLE AS platform_value
                        FROM appointment GROUP BY 1) USING (grain_value)""",
+        "reconcile_rows": """
+            WITH lines AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_orderkey * 10 + l_linenumber AS k FROM lineitem),
+            changed AS (SELECT l_orderkey, l_linenumber, CASE WHEN k % 1009 = 2 THEN l_suppkey + 1 ELSE l_suppkey END AS l_suppkey,
+                l_shipdate, k FROM lines WHERE k % 997 <> 1),
+            platform AS (SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE k % 1019 = 4
+                UNION ALL SELECT -l_orderkey, l_linenumber, l_suppkey, l_shipdate, k FROM lines WHERE k % 1013 = 3),
+            s AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list((l_suppkey, l_shipdate))) AS v FROM lines GROUP BY 1, 2),
+            p AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list((l_suppkey, l_shipdate))) AS v FROM platform GROUP BY 1, 2)
+            SELECT l_orderkey, l_linenumber, coalesce(s.n, 0) AS source_rows, coalesce(p.n, 0) AS platform_rows,
+              CASE WHEN p.n IS NULL THEN 'missing' WHEN s.n IS NULL THEN 'unexpected' ELSE 'different' END AS finding
+            FROM s FULL JOIN p USING (l_orderkey, l_linenumber) WHERE s.v IS DISTINCT FROM p.v""",
         "party_match_blocks": "SELECT party_key, rule, anchor_key, block_size FROM member WHERE block_size > 1",
         "party_match": "SELECT *, confidence >= 0.90 AS auto_link FROM link",
         "party_pair_scores": """

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions import identity, measures, visits
-from carelake.operators import components, dedupe, joins, matching, ordering
+from carelake.operators import components, dedupe, hash_tree, joins, matching, ordering
 from carelake.plans import gold, marts, quality, semantic, silver
 from carelake.session import new_path, stage, tune
 from carelake.sources import landing, ops_log, testdata
@@ -352,6 +352,19 @@ def reconcile(spark, sf_dir):
     return quality.reconcile(source, platform, "appointment_count", "visit day", 2.0)
 
 
+@_query
+def reconcile_rows(spark, sf_dir):
+    """Line items as the source sent them against a copy with some lost, changed, made up and twice."""
+    lines = testdata.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    key = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    changed = lines.filter(key % 997 != 1).withColumn(
+        "l_suppkey", F.when(key % 1009 == 2, F.col("l_suppkey") + 1).otherwise(F.col("l_suppkey"))
+    )
+    more = lines.filter(key % 1013 == 3).withColumn("l_orderkey", -F.col("l_orderkey"))
+    platform = changed.unionByName(more).unionByName(changed.filter(key % 1019 == 4))
+    return hash_tree.compare(lines, platform, ["l_orderkey", "l_linenumber"], ["l_suppkey", "l_shipdate"]).differences
+
+
 # --- Party matching ---------------------------------------------------------------
 
 
