@@ -83,6 +83,11 @@ def mart_clinic_monthly(star: Star) -> DataFrame:
             _delivered_hours().alias("delivered_hours"),
         )
     )
+    return clinic_mart(base, star)
+
+
+def clinic_mart(base: DataFrame, star: Star) -> DataFrame:
+    """Names, capacity and ratios to the sums per clinic and month."""
     mart = _describe(base, star, star.clinic, "clinic_key", "clinic_name", "state").withColumns(
         {
             "dna_rate": _ratio("appointments_dna", "appointments_total"),

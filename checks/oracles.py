@@ -480,6 +480,7 @@ def all_oracles() -> dict[str, str]:
         "capacity_clinic_monthly": "SELECT * FROM capacity_clinic_monthly",
         "capacity_practitioner_monthly": "SELECT * FROM capacity_practitioner_monthly",
         "mart_clinic_monthly": "SELECT * FROM mart_clinic_monthly",
+        "mart_clinic_maintained": "SELECT * FROM mart_clinic_monthly",
         "mart_practitioner_monthly": "SELECT * FROM mart_practitioner_monthly",
         "mart_service_monthly": "SELECT * FROM mart_service_monthly",
         "visit_gaps": """

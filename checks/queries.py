@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import identity, measures, visits
 from carelake.operators import components, dedupe, hash_tree, joins, matching, ordering
-from carelake.plans import gold, marts, quality, semantic, silver
+from carelake.plans import gold, mart_states, marts, quality, semantic, silver
 from carelake.session import new_path, stage, tune
 from carelake.sources import landing, ops_log, testdata
 from carelake.sources.tables import append_table, lookup_rows, read_table, table_census
@@ -241,6 +241,24 @@ def mart_clinic_monthly(spark, sf_dir):
     return semantic.in_report_order("mart_clinic_monthly", marts.mart_clinic_monthly(_star(spark, sf_dir)))
 
 
+@_query
+def mart_clinic_maintained(spark, sf_dir):
+    """The clinic mart after three loads of visits, each merged into the months it touches."""
+    feed, star = testdata.visit_feed(spark, sf_dir), _star(spark, sf_dir)
+    store, states = new_path(spark, "visit-versions"), new_path(spark, "mart-states")
+    modified = F.coalesce(F.col("lastModified"), F.lit(""))
+    first, second = modified < LOADS_BEFORE[0], modified < LOADS_BEFORE[1]
+
+    def to_fact(versions: DataFrame) -> DataFrame:
+        appointment = silver.appointments(versions, SOURCE).select(*gold.APPOINTMENT_INPUT)
+        return gold.fct_appointment(appointment, star.service, star.practitioner, star.clinic)
+
+    for part in (first, ~first & second, ~second):
+        silver.merge_versions(feed.filter(part), store, buckets=16)
+        mart_states.maintain(spark, states, store, to_fact, silver.versions_schema(feed))
+    return mart_states.clinic_mart_of(mart_states.stored_states(spark, states), star)
+
+
 @_query
 def mart_practitioner_monthly(spark, sf_dir):
     return semantic.in_report_order("mart_practitioner_monthly", marts.mart_practitioner_monthly(_star(spark, sf_dir)))

@@ -5,7 +5,8 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from carelake.plans import silver
+from carelake.plans import gold, mart_states, marts, silver
+from carelake.session import stage
 from carelake.sources.commits import CommitConflict
 from carelake.sources.publication import Writer, opened
 
@@ -152,3 +153,33 @@ def test_deletion_marks_outlast_a_build(spark):
     assert marks(silver.carry_deleted(built, swept)) == {"1": (False, "None"), "2": (True, "2024-03-05 00:00:00")}
     delivered = build(feed(spark, {"ID": 1}, {"ID": 2, "_ingest_ts": "2024-03-06"}))
     assert marks(silver.carry_deleted(delivered, swept)) == {"1": (False, "None"), "2": (False, "None")}
+
+
+def test_a_mart_maintained_by_month_equals_a_full_build(spark, tmp_path, rows):
+    """Visits move between months, clinics and statuses, become invalid, and come late; a month that
+    loses its last visit loses its row."""
+    later, last = "2024-04-01 00:00:00", "2024-05-01 00:00:00"
+    loads = [
+        [{"ID": i, "patientID": i % 4, "locationID": 1 + i % 3, "appointmentDate": f"2024-0{1 + i % 3}-05"} for i in range(20)],
+        [{"ID": 1, "appointmentDate": "2024-06-01", "lastModified": later}, {"ID": 2, "appointmentDate": "bad", "lastModified": later},
+         {"ID": 3, "arrived": "0", "DNA": "1", "lastModified": later}, {"ID": 4, "locationID": None, "patientID": None, "lastModified": later}],
+        [{"ID": 1, "appointmentDate": "2024-01-09", "lastModified": last}, {"ID": 40, "appointmentTypeID": None},
+         {"ID": 3, "lastModified": "2023-01-01 00:00:00"}],
+    ]
+    loads = [feed(spark, *changes) for changes in loads]
+    everything = loads[0].unionByName(loads[1]).unionByName(loads[2])
+    star = gold.build_star(stage(build(everything), "appointment"), "src")
+    to_fact = lambda v: gold.fct_appointment(silver.appointments(v, "src"), star.service, star.practitioner, star.clinic)
+    store, states, seen = f"{tmp_path}/versions", f"{tmp_path}/states", []
+    schema = silver.versions_schema(loads[0])
+    for n, load in enumerate(loads):
+        silver.merge_versions(load, store, buckets=4)
+        seen.append(mart_states.maintain(spark, states, store, to_fact, schema))
+        assert mart_states.maintain(spark, states, store, to_fact, schema) == []
+        so_far = loads[0] if n == 0 else loads[0].unionByName(loads[1]) if n == 1 else everything
+        full = gold.Star("src", star.date, star.clinic, star.practitioner, star.service, to_fact(silver.latest_visits(so_far)))
+        got = mart_states.clinic_mart_of(mart_states.stored_states(spark, states), star)
+        want = marts.mart_clinic_monthly(full)
+        assert rows(got.select(*want.columns)) == rows(want) and got.count() > 0
+    assert seen[2] == ["2024-01-01", "2024-03-01", "2024-06-01"]  # and February is not opened
+    assert "month=2024-06-01" not in opened(spark, states).tables
