@@ -20,10 +20,12 @@ _EXACT = 2.0**53  # whole numbers up to here are exact as doubles
 
 @dataclass
 class Tree:
-    """``ids`` and ``points`` in the order of the tree: a node's members are lo to before hi."""
+    """``ids``, ``points`` and ``rows``, which tell members of one id apart, in the order of the tree:
+    a node's members are lo to before hi."""
 
     ids: np.ndarray
     points: np.ndarray
+    rows: np.ndarray
     lo: list[int] = field(default_factory=list)
     hi: list[int] = field(default_factory=list)
     centre: list[np.ndarray] = field(default_factory=list)
@@ -38,8 +40,10 @@ class Tree:
         self.largest = float(np.abs(self.floats).max(initial=0))
 
 
-def build(ids: np.ndarray, points: np.ndarray, *, leaf: int = 512, fan_out: int = 16) -> Tree:
-    """A tree of whole-number vectors, one per row. Nodes of ``leaf`` members, or of members that
+def build(
+    ids: np.ndarray, points: np.ndarray, rows: np.ndarray | None = None, *, leaf: int = 512, fan_out: int = 16
+) -> Tree:
+    """A tree of whole-number vectors, one per row; without ``rows`` an id is a row. Nodes of ``leaf`` members, or of members that
     are all equal, are not divided."""
     order = np.arange(len(ids))
     lo, hi, centre, radius, children = [], [], [], [], []
@@ -80,7 +84,8 @@ def build(ids: np.ndarray, points: np.ndarray, *, leaf: int = 512, fan_out: int
         for i, m in enumerate(middles):
             if ends[i] < ends[i + 1]:
                 todo.append((start + ends[i], start + ends[i + 1], m, sorted_far[ends[i] : ends[i + 1]], node))
-    return Tree(ids[order], points[order], lo, hi, centre, radius, children)
+    rows = ids if rows is None else rows
+    return Tree(ids[order], points[order], rows[order], lo, hi, centre, radius, children)
 
 
 def products(a: Tree, lo: int, hi: int, b: Tree, start: int, stop: int) -> np.ndarray:
@@ -112,20 +117,20 @@ class Best:
         full = self.taken[lo:hi, -1]
         return float(self.scores[lo:hi, -1].min()) if full.all() else -np.inf
 
-    def offer(self, lo: int, hi: int, scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray) -> None:
-        """Take in the scores of queries ``lo`` to ``hi`` with the rows of ``ids``. Only scores that
+    def offer(self, lo: int, hi: int, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, query_rows: np.ndarray) -> None:
+        """Take in the scores of queries ``lo`` to ``hi`` with ``rows`` of these ids. Only scores that
         reach a query's worst are looked at; they are sorted together with those it has."""
         k = self.scores.shape[1]
         row, column = np.nonzero((scores >= self.scores[lo:hi, -1:]) | ~self.taken[lo:hi, -1:])
-        own = ids[column] == query_ids[row]
+        own = rows[column] == query_rows[row]
         row, column = row[~own], column[~own]
         if not len(row):
             return
-        rows = np.unique(row)
-        held, place = np.nonzero(self.taken[lo + rows])
-        of = np.concatenate([rows[held], row])
-        new_scores = np.concatenate([self.scores[lo + rows[held], place], scores[row, column].astype(np.int64)])
-        new_ids = np.concatenate([self.ids[lo + rows[held], place], ids[column]])
+        met = np.unique(row)
+        held, place = np.nonzero(self.taken[lo + met])
+        of = np.concatenate([met[held], row])
+        new_scores = np.concatenate([self.scores[lo + met[held], place], scores[row, column].astype(np.int64)])
+        new_ids = np.concatenate([self.ids[lo + met[held], place], ids[column]])
         # Negated bit by bit, which also has the lowest 64-bit number.
         order = np.lexsort((new_ids, ~new_scores, of))
         of, new_scores, new_ids = of[order], new_scores[order], new_ids[order]
@@ -136,8 +141,7 @@ class Best:
 
 
 def top_k(queries: Tree, data: Tree, k: int) -> tuple[Best, int]:
-    """The k best data rows of each query row, in the order of the query tree, without rows of
-    its own id; and how many products that took."""
+    """The k best data rows of each query row, in the order of the query tree, without its own; and how many products that took."""
     best, multiplied = Best.empty(len(queries.ids), k), 0
     if not len(queries.ids) or not len(data.ids):
         return best, 0
@@ -158,7 +162,7 @@ def top_k(queries: Tree, data: Tree, k: int) -> tuple[Best, int]:
             start, stop = data.lo[x], data.hi[x]
             scores = products(queries, lo, hi, data, start, stop)
             multiplied += scores.size
-            best.offer(lo, hi, scores, data.ids[start:stop], queries.ids[lo:hi])
+            best.offer(lo, hi, scores, data.ids[start:stop], data.rows[start:stop], queries.rows[lo:hi])
         elif below_x and (not below_q or data.radii[x] >= queries.radii[q]):
             reaches = bounds(q, below_x)
             for i in np.argsort(reaches, kind="stable"):  # the most promising is taken up first

@@ -179,16 +179,15 @@ FROM texts LEFT JOIN kept USING (row_no)
 
 TOPK_SQL = """
 WITH vectors AS (
-    SELECT vec_id, min(list_transform(embedding, lambda x: floor(64 * x::DOUBLE))) AS v FROM embeddings
+    SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    GROUP BY vec_id
 ),
 scored AS (
-    SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.v, x.v)::BIGINT AS score
-    FROM vectors q JOIN vectors x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0
+    SELECT q.row_no, q.vec_id AS query_id, x.vec_id, list_dot_product(q.v, x.v)::BIGINT AS score
+    FROM vectors q JOIN vectors x ON q.row_no <> x.row_no WHERE q.vec_id % 20 = 0
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """
 

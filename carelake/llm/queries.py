@@ -109,7 +109,7 @@ def op7_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every twentieth vector as a query against all vectors."""
     rows = table(spark, sf_dir, "embeddings")
     vectors = rows.select("vec_id", topk.whole_numbers(rows["embedding"], VECTOR_SCALE).alias("vector"))
-    return topk.search(vectors, F.col("vec_id") % QUERY_EVERY == 0, k=TOP_K)
+    return topk.search(vectors, F.col("vec_id") % QUERY_EVERY == 0, k=TOP_K).drop("query_row")
 
 
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ A task gives k rows per query of its block, whatever the vectors, and the best k
 kept. What a task holds is bounded by the two block sizes.
 
 Defined results: rows whose id or vector is NULL, or whose vector holds NULL or non-finite
-components, take no part; rows with equal id count as one, with the smallest vector; vectors
-of unequal length are filled up with zeros; of equal scores the smaller id comes first; a query
-with fewer than k others gets all of them; without queries or vectors there are no rows.
+components, take no part; of rows with equal id each is a query and a candidate of its own, told
+apart by ``query_row`` in the result; vectors of unequal length are filled up with zeros; of equal
+scores the smaller id comes first; a query with fewer than k others gets all of them; without queries or vectors there are no rows.
 Components are held within 64 bits, and so are scores.
 """
 
@@ -46,25 +46,25 @@ def _search(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
     from carelake.llm.cover_tree import build, top_k
 
     if not len(queries) or not len(data):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        return pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "score": []}, dtype="int64")
     q, x = _matrix(queries["vector"]), _matrix(data["vector"])
     width = max(q.shape[1], x.shape[1])
     q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, x))
-    tree = build(queries["vec_id"].to_numpy(), q)
-    best, _ = top_k(tree, build(data["vec_id"].to_numpy(), x), k)
+    tree = build(queries["vec_id"].to_numpy(), q, queries["row"].to_numpy())
+    best, _ = top_k(tree, build(data["vec_id"].to_numpy(), x, data["row"].to_numpy()), k)
     row, place = np.nonzero(best.taken)
     return pd.DataFrame(
-        {"query_id": tree.ids[row], "vec_id": best.ids[row, place], "score": best.scores[row, place]}
+        {"query_id": tree.ids[row], "query_row": tree.rows[row], "vec_id": best.ids[row, place], "score": best.scores[row, place]}
     )
 
 
 def search(
     vectors: DataFrame, is_query: Column, *, k: int, query_block: int = 4096, data_block: int = 4096
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score`` over ``vectors(vec_id, vector)`` of whole numbers, with
+    """``query_id, rank, vec_id, score, query_row`` over ``vectors(vec_id, vector)`` of whole numbers, with
     the rows for which ``is_query`` holds as queries. Blocks have about that many rows."""
     rows = vectors.filter("vec_id IS NOT NULL AND vector IS NOT NULL")
-    rows = stage(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    rows = stage(rows.select("vec_id", "vector", F.monotonically_increasing_id().alias("row")), "vectors")
     queries = rows.filter(is_query)
     blocks = {
         name: max(1, math.ceil(df.count() / size))
@@ -72,16 +72,16 @@ def search(
     }
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks[own])).cast("int")
+        block = F.pmod(F.xxhash64("row"), F.lit(blocks[own])).cast("int")
         others = F.explode(F.sequence(F.lit(0), F.lit(blocks[other] - 1)))
-        return df.select("vec_id", "vector", block.alias(own), others.alias(other)).groupBy("q", "x")
+        return df.select("vec_id", "vector", "row", block.alias(own), others.alias(other)).groupBy("q", "x")
 
     def search_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _search(left, right, k)
 
     found = dealt(queries, "q", "x").cogroup(dealt(rows, "x", "q")).applyInPandas(
-        search_block, "query_id long, vec_id long, score long"
+        search_block, "query_id long, query_row long, vec_id long, score long"
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query_id", "rank", "vec_id", "score", "query_row")
