@@ -24,6 +24,7 @@ from carelake.plans.marts import clinic_mart
 from carelake.session import stage
 from carelake.sources import commits
 from carelake.sources.publication import KEPT, Version, Writer, opened, remove_unused
+from carelake.sources.tables import by_partition
 
 KEYS = ["month_start", "clinic_key", "patient_key"]
 _FLAGS = {"completed": "is_completed", "dna": "is_dna", "cancelled": "is_cancelled"}
@@ -100,7 +101,8 @@ def maintain(spark: SparkSession, root: str, store: str, to_fact: Callable[[Data
         merged = _added_up(delta.unionByName(spark.read.schema(delta.schema).parquet(*held)))
     if names:
         folder = writer.folder(names[0]).rpartition("/")[0]
-        merged.withColumn(_MONTH, F.col("month_start").cast("string")).write.partitionBy(_MONTH).parquet(folder)
+        named = by_partition(merged.withColumn(_MONTH, F.col("month_start").cast("string")), [_MONTH])
+        named.write.partitionBy(_MONTH).parquet(folder)
         written = {path.rpartition("/")[2] for path in commits.matching(spark, f"{folder}/{_MONTH}=*")}
         for name in names:  # a month that has no visit left has no folder either
             if name in written:

@@ -19,7 +19,6 @@ from carelake.functions.visits import (
 from carelake.operators.dedupe import latest_per_key
 from carelake.session import stage
 from carelake.sources.publication import KEPT, Writer, opened, remove_unused
-from carelake.sources.tables import by_partition
 
 PATIENT_DETAIL = [
     "patient_first_name", "patient_last_name", "email_norm", "phone_norm",
@@ -191,14 +190,18 @@ def merge_versions(
     # One number per bucket, whatever the number of records.
     touched = [f"{_BUCKET}={r[0]}" for r in new.select(_BUCKET).distinct().collect()]
     held = [writer.before.tables[t] for t in touched if t in writer.before.tables]
-    merged = new
+    rows = new
     if held:
         stored = spark.read.schema(versions.schema).parquet(*held).withColumn(_BUCKET, place)
-        merged = latest_per_key(stored.unionByName(new), ["src_appointment_id"], LATEST_BY)
+        rows = stored.unionByName(new)
+    # Buckets are even, as ids are hashed. Rows that are together by bucket are so by id, too: the
+    # versions are told apart, and the buckets written as one file each, without another exchange.
+    merged = rows.repartition(buckets, _BUCKET)
+    if held:
+        merged = latest_per_key(merged, [_BUCKET, "src_appointment_id"], LATEST_BY)
     paths = [writer.folder(t) for t in touched]
     if paths:
-        whole = by_partition(merged.select(*names, _BUCKET), [_BUCKET])
-        whole.write.partitionBy(_BUCKET).parquet(paths[0].rpartition("/")[0])
+        merged.select(*names, _BUCKET).write.partitionBy(_BUCKET).parquet(paths[0].rpartition("/")[0])
     writer.notes |= {_MERGED + stream: str(batch) for stream, batch in (loads or {}).items()}
     writer.commit()
     remove_unused(spark, ref, KEPT)

@@ -1,20 +1,14 @@
-"""Reading and writing tables by catalog name or by path."""
+"""Reading and writing tables by catalog name or by path."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from carelake.session import stage
-
-_PARTITION_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
 def is_path(ref: str) -> bool:
     return "/" in ref
 
@@ -35,55 +29,18 @@ def table_path(spark: SparkSession, ref: str) -> str:
     return described.first()["data_type"].removesuffix("/")
 
 
-def overwrite_table(df: DataFrame, ref: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table, columns included (S11). Must not read the table it replaces.
-
-    Row order is no property of a table, so nothing is sorted here; queries sort.
-    """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(ref) if is_path(ref) else writer.saveAsTable(ref)
-
-
 def append_table(df: DataFrame, ref: str) -> None:
     """Add rows to a table."""
     writer = df.write.mode("append")
     writer.parquet(ref) if is_path(ref) else writer.saveAsTable(ref)
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    before = spark.conf.get(_PARTITION_MODE)
-    spark.conf.set(_PARTITION_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_PARTITION_MODE, before)
-
-
 def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of a partition brought together, so that each is written as few files; adaptive
     execution divides a partition that is too large for one task."""
     return df.hint("rebalance", *partition_by)
 
 
-def replace_partitions(df: DataFrame, ref: str, partition_by: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in ``df`` (S19). With the keys of a table
-    as its partition columns this is an upsert, without any need for MERGE.
-
-    The rows are written to the shared folder first, since they may come from the very
-    partitions they replace.
-    """
-    rows = by_partition(stage(df, "partitions"), partition_by)
-    with _dynamic_overwrite(df.sparkSession):
-        if is_path(ref):
-            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(ref)
-        else:
-            columns = df.sparkSession.table(ref).columns
-            rows.select(*columns).write.insertInto(ref, overwrite=True)
-
-
 def lookup_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """A small table of given rows."""
     return spark.createDataFrame(list(rows), ddl)
