@@ -120,13 +120,19 @@ class Scoring:
 
 @dataclass
 class Block:
-    """Items with the rows of their terms, terms of like weights side by side. ``row`` is that of
-    each term of the wave, or -1."""
+    """Items with the rows of their terms. ``terms`` are those of the rows, of like weights side by
+    side, and ``weight`` theirs."""
 
-    row: np.ndarray
+    terms: np.ndarray
     weight: np.ndarray
     items: list[tuple[int, np.ndarray]]
 
+    def row_of_term(self, all_terms: int) -> np.ndarray:
+        """The row of each term of the wave, or -1."""
+        row = np.full(all_terms, -1, dtype=np.int64)
+        row[self.terms] = np.arange(len(self.terms))
+        return row
+
 
 def blocks(items: list[tuple[int, np.ndarray]], weight: np.ndarray, most: int) -> list[Block]:
     """``items`` are numbers and the terms of each. A block is closed when it has ``most`` terms."""
@@ -139,14 +145,17 @@ def blocks(items: list[tuple[int, np.ndarray]], weight: np.ndarray, most: int) -
         if len(held) < most and i + 1 < len(items):
             continue
         rows = np.array(sorted(held, key=lambda t: (-weight[t], t)), dtype=np.int64)
-        row = np.full(len(weight), -1, dtype=np.int64)
-        row[rows] = np.arange(len(rows))
-        out.append(Block(row, weight[rows], [(n, row[o]) for n, o in own]))
+        block = Block(rows, weight[rows], [])
+        row = block.row_of_term(len(weight))
+        block.items.extend((n, row[o]) for n, o in own)
+        out.append(block)
         own, held = [], set()
     return out
 
 
-def search_ranges(batches: Iterator[pa.RecordBatch], parts: list[Block], scoring: Scoring, k: int) -> Iterator[pa.RecordBatch]:
+def search_ranges(
+    batches: Iterator[pa.RecordBatch], parts: list[Block], all_terms: int, scoring: Scoring, k: int
+) -> Iterator[pa.RecordBatch]:
     """``no, doc_id, score``: the best of one task, from batches of ``count_terms``."""
     from carelake.llm.k2_treap import Best, Treap
 
@@ -161,7 +170,7 @@ def search_ranges(batches: Iterator[pa.RecordBatch], parts: list[Block], scoring
         column = np.repeat(np.arange(len(ids)), many)
         share = scoring.share(tf, n[column])
         for part in parts:
-            row = part.row[of]
+            row = part.row_of_term(all_terms)[of]
             impact = part.weight[row] * share
             here = (row >= 0) & (impact > 0)
             treap = Treap(row[here], column[here], impact[here], (len(part.weight), len(ids)))
@@ -198,12 +207,12 @@ def _wave(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     for r in counted.select(F.explode("of").alias("of")).groupBy("of").count().collect():
         df[r["of"]] = r["count"]
     numbered = [(no, np.array([number[t] for t in ts], dtype=np.int64)) for no, ts in sorted(held)]
-    parts = blocks(numbered, scoring.weight(df), BLOCK_TERMS)
+    parts, all_terms = blocks(numbered, scoring.weight(df), BLOCK_TERMS), len(number)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from carelake.llm.lexical import search_ranges
 
-        return search_ranges(batches, parts, scoring, k)
+        return search_ranges(batches, parts, all_terms, scoring, k)
 
     return counted.mapInArrow(search, "no long, doc_id long, score long")
 
