@@ -5,8 +5,9 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from carelake.plans import gold, mart_states, marts, silver
-from carelake.session import stage
+from carelake.plans import gold, mart_states, marts, quality, silver
+from carelake.session import shared_dir, stage
+from carelake.sources import commits
 from carelake.sources.commits import CommitConflict
 from carelake.sources.publication import Writer, opened
 
@@ -183,3 +184,12 @@ def test_a_mart_maintained_by_month_equals_a_full_build(spark, tmp_path, rows):
         assert rows(got.select(*want.columns)) == rows(want) and got.count() > 0
     assert seen[2] == ["2024-01-01", "2024-03-01", "2024-06-01"]  # and February is not opened
     assert "month=2024-06-01" not in opened(spark, states).tables
+
+
+def test_the_roster_is_generated_by_several_tasks(spark, rows, monkeypatch):
+    star = gold.build_star(stage(build(feed(spark, *[{"ID": i, "practitionerID": i} for i in range(40)],
+        {"ID": 50, "appointmentDate": "2024-03-31"})), "appointment"), "src")
+    few = rows(star.capacity)
+    monkeypatch.setattr(gold, "_ROSTER_ROWS", 100, raising=False)
+    with_rows = star.capacity.groupBy(F.spark_partition_id()).count().count()
+    assert with_rows > 4 and rows(star.capacity) == few and len(few) == 40 * 21
