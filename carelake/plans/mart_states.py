@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from carelake.plans.gold import Star
 from carelake.plans.marts import clinic_mart
-from carelake.session import stage
+from carelake.session import stage, staging
 from carelake.sources import commits
 from carelake.sources.publication import KEPT, Version, Writer, opened, remove_unused
 from carelake.sources.tables import by_partition
@@ -79,7 +79,13 @@ def maintain(spark: SparkSession, root: str, store: str, to_fact: Callable[[Data
     What is merged lies between the version that the states stand for and the last one, so a call
     that died is made good by the next, and one too many changes nothing.
     """
-    writer = Writer(spark, root)
+    with staging(spark):
+        return _maintained(spark, Writer(spark, root), store, to_fact, schema)
+
+
+def _maintained(
+    spark: SparkSession, writer: Writer, store: str, to_fact: Callable[[DataFrame], DataFrame], schema: StructType
+) -> list[str]:
     seen = int(writer.notes.get(_STORE, "0"))
     before, after = opened(spark, store, seen) if seen else Version(0), opened(spark, store)
     if before.number == after.number:
@@ -102,7 +108,7 @@ def maintain(spark: SparkSession, root: str, store: str, to_fact: Callable[[Data
     if names:
         folder = writer.folder(names[0]).rpartition("/")[0]
         named = by_partition(merged.withColumn(_MONTH, F.col("month_start").cast("string")), [_MONTH])
-        named.write.partitionBy(_MONTH).parquet(folder)
+        named.write.partitionBy(_MONTH).option("compression", "zstd").parquet(folder)
         written = {path.rpartition("/")[2] for path in commits.matching(spark, f"{folder}/{_MONTH}=*")}
         for name in names:  # a month that has no visit left has no folder either
             if name in written:
@@ -111,7 +117,7 @@ def maintain(spark: SparkSession, root: str, store: str, to_fact: Callable[[Data
                 writer.tables.pop(name, None)
     writer.notes[_STORE] = str(after.number)
     writer.commit()
-    remove_unused(spark, root, KEPT)
+    remove_unused(spark, writer.root, KEPT)
     return months
 
 

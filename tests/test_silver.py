@@ -186,6 +186,24 @@ def test_a_mart_maintained_by_month_equals_a_full_build(spark, tmp_path, rows):
     assert "month=2024-06-01" not in opened(spark, states).tables
 
 
+def test_a_bucket_is_merged_by_several_tasks_and_leaves_nothing_aside(spark, tmp_path):
+    """However many buckets hash together or however large one is, no task has a whole one."""
+    ref, schema = f"{tmp_path}/versions", silver.versions_schema(feed(spark, {}))
+    coalesce, aside = "spark.sql.adaptive.coalescePartitions.enabled", f"{shared_dir(spark)}/carelake/*/versions-*"
+    before = commits.matching(spark, aside)
+    spark.conf.set(coalesce, "false")
+    try:
+        silver.merge_versions(feed(spark, *[{"ID": i} for i in range(300)]), ref, buckets=1)
+        silver.merge_versions(feed(spark, *[{"ID": i, "DNA": "1"} for i in range(0, 600, 2)]), ref)
+    finally:
+        spark.conf.unset(coalesce)
+    stored = silver.stored_versions(spark, ref, schema)
+    assert list(opened(spark, ref).tables) == ["bucket=0"] and len(stored.inputFiles()) > 4
+    assert stored.count() == stored.select("src_appointment_id").distinct().count() == 450
+    assert stored.filter("status = 'dna'").count() == 300
+    assert commits.matching(spark, aside) == before
+
+
 def test_party_candidates_of_some_fields(spark, rows):
     latest = silver.latest_visits(feed(spark, {"ID": 1}, {"ID": 2, "patient_email": "new@x.com", "lastModified": "2024-04-01 00:00:00"}))
     checked = silver.party_candidates(latest.select(*quality.VERSION_INPUT), "src", quality.PARTY_FIELDS)
