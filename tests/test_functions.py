@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.functions import calendar, identity, measures, visits
+from carelake.session import tune_visits
 
 PHONES = [
     ("0412 345 678", "0412345678"),
@@ -205,3 +206,25 @@ def test_blank_dates_and_times_are_no_timestamp(spark):
     df = spark.createDataFrame(parts, "d string, t string")
     got = [r[0] for r in df.select(visits.compose_timestamp(F.col("d"), F.col("t")).cast("string")).collect()]
     assert got == [None, None, None, None, "2024-01-02 10:00:00"]
+
+
+def test_strip_takes_white_space_of_any_kind_and_leaves_the_rest(spark):
+    texts = [None, "", " ", "a", "a b", "\ta", "a\r\n", "\u00a0a\u00a0", "\x1ca\x1f", "\u3000", "\u00e9", "a\u00e9", "\u00e9 ", "!~", "~\u2003"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", identity.strip(F.col("t")).alias("s"))
+    assert [r["s"] for r in got.collect()] == [None if t is None else t.strip() for t in texts]
+    # The pattern is for texts that do not begin and end visibly.
+    assert "CASE WHEN" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tasks_read_less_of_an_exchange_unless_the_session_says(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    try:
+        for before, after in (("64MB", "16MB"), ("8m", "8m")):
+            spark.conf.set(name, before)
+            assert _bytes(tune_visits(spark).conf.get(name)) == _bytes(after)
+    finally:
+        spark.conf.unset(name)
+
+
+def _bytes(text):
+    return int(text.lower().rstrip("mb")) * (1 << 20 if "m" in text.lower() else 1)
