@@ -79,7 +79,7 @@ def maintain(spark: SparkSession, root: str, store: str, to_fact: Callable[[Data
     What is merged lies between the version that the states stand for and the last one, so a call
     that died is made good by the next, and one too many changes nothing.
     """
-    with staging(spark):
+    with staging(spark, free_shuffles=True):
         return _maintained(spark, Writer(spark, root), store, to_fact, schema)
 
 
