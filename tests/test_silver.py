@@ -1,6 +1,7 @@
 """Conforming, deduplication, incremental build and deletion sweep."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from carelake.session import shared_dir, stage
 from carelake.sources import commits
 from carelake.sources.commits import CommitConflict
 from carelake.sources.publication import Writer, opened
+from checks import queries
 
 _hash = itertools.count()
 BASE = {
@@ -220,3 +222,46 @@ def test_the_roster_is_generated_by_several_tasks(spark, rows, monkeypatch):
     monkeypatch.setattr(gold, "_ROSTER_ROWS", 100, raising=False)
     with_rows = star.capacity.groupBy(F.spark_partition_id()).count().count()
     assert with_rows > 4 and rows(star.capacity) == few and len(few) == 40 * 21
+
+
+def _moving_visits(spark):
+    """Versions of 40 visits of 9 patients and of none; some visits have passed to another patient."""
+    rng = random.Random(3)
+    changes = []
+    for n in range(400):
+        visit = rng.choice([None, *range(40)])
+        patients = [None, 0] if visit == 1 else [visit % 9] if visit and visit % 4 else [None, *range(9)]
+        changes.append({
+            "ID": visit, "patientID": rng.choice(patients), "patient_email": f"U{n}@x.com ",
+            "lastModified": rng.choice([None, "bad", *[f"2024-03-{d:02d} 10:00:00" for d in range(1, 9)]]),
+            "_ingest_ts": rng.choice([None, "2024-03-02", "2024-03-09"]),
+        })
+    return feed(spark, *changes)
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_parties_from_visits_are_those_of_the_latest_visits(spark, rows, monkeypatch, most):
+    monkeypatch.setattr(silver, "_MOST_PASSED_ON", most)
+    bronze = stage(_moving_visits(spark), "moving")
+    of_all = silver.party_candidates(silver.latest_visits(bronze), "src")
+    assert rows(silver.parties_from_visits(bronze, "src")) == rows(of_all)
+    # Taking each patient's last version without telling versions of a visit apart gives others.
+    assert rows(silver.party_candidates(silver.typed_visits(bronze), "src")) != rows(of_all)
+    settled = bronze.filter("ID % 4 <> 0 AND ID <> 1")
+    of_settled = silver.party_candidates(silver.latest_visits(settled), "src", ["email_norm"])
+    assert rows(silver.parties_from_visits(settled, "src", ["email_norm"])) == rows(of_settled)
+
+
+def test_patients_are_found_with_one_exchange_of_their_visits(spark):
+    bronze = stage(feed(spark, *[{"ID": i, "patientID": i % 5} for i in range(50)]), "bronze")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(silver.parties_from_visits(bronze, "src")) == 1
+
+
+def test_matched_parties_are_found_with_one_exchange_of_their_visits(spark, monkeypatch):
+    """The queries on parties do not sort out all versions of all visits."""
+    called = []
+    monkeypatch.setattr(silver, "latest_visits", lambda bronze: called.append(bronze))
+    for name in ("party_candidate", "party_match_blocks", "party_match", "party_pair_scores", "party_components"):
+        assert queries.all_queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert not called
