@@ -126,6 +126,33 @@ def test_connected_components(spark, rows):
     assert rows(got) == _find_components(nodes, links)
 
 
+def test_links_that_are_stars_after_a_round_get_no_second_one(spark, rows, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "stage", lambda df, label: written.append(label) or session.stage(df, label))
+    nodes = [f"n{i}" for i in range(9)]
+    links = [("n0", "n1"), ("n1", "n2"), ("n3", "n4"), ("n5", "n3"), ("n7", "n7")]
+    got = components.connected_components(
+        spark.createDataFrame([(n,) for n in nodes], "node string"), spark.createDataFrame(links, "a string, b string")
+    )
+    assert rows(got) == _find_components(nodes, links)
+    assert written.count("small-star") == 1
+    none = components.connected_components(
+        spark.createDataFrame([("a",), ("b",)], "node string"), spark.createDataFrame([("a", "a")], "a string, b string")
+    )
+    assert rows(none) == [("a", "a"), ("b", "b")]
+
+
+def test_components_of_random_links(spark, rows):
+    rng = random.Random(11)
+    for n, m in ((60, 45), (60, 90), (80, 70)):
+        nodes = [f"n{i:03d}" for i in range(n)]
+        links = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(m)]
+        got = components.connected_components(
+            spark.createDataFrame([(n,) for n in nodes], "node string"), spark.createDataFrame(links, "a string, b string")
+        )
+        assert rows(got) == _find_components(nodes, links)
+
+
 def _parties(spark, n, seed):
     rng = random.Random(seed)
     pick = lambda values, gap: None if rng.random() < gap else rng.choice(values)
