@@ -3,9 +3,10 @@
 What a month's row is made of is kept as sums per clinic, month and patient: visits, cents, minutes,
 and how many amounts are known. Sums can be added to and taken from, and a patient counts as long
 as visits are left, so that the number of distinct patients is exact. When the store of latest
-versions has changed, the visits of the buckets that did are taken out as they were and put in as
-they are; those that are the same cancel out, and only the months of the others are read and
-written. States and the version of the store that they stand for are published in one commit.
+versions has changed, the visits of the parts that it has got are taken out as they were and put in
+as they are; only the months of those that differ are read and written. A bucket that was written
+anew is taken out and put in as a whole, and what is the same in it cancels out. States and the version
+of the store that they stand for are published in one commit.
 
 A visit's price depends on the dimensions. While these are the same, only changes are merged;
 states made with other ones are to be begun anew, in another folder.
@@ -13,24 +14,26 @@ states made with other ones are to be begun anew, in another folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from carelake.plans import silver
 from carelake.plans.gold import Star
 from carelake.plans.marts import clinic_mart
 from carelake.session import stage, staging
 from carelake.sources import commits
 from carelake.sources.publication import KEPT, Version, Writer, opened, remove_unused
-from carelake.sources.tables import by_partition
 
 KEYS = ["month_start", "clinic_key", "patient_key"]
 _FLAGS = {"completed": "is_completed", "dna": "is_dna", "cancelled": "is_cancelled"}
 _AMOUNTS = {"revenue": "revenue_synth", "direct_cost": "direct_cost_synth", "margin": "margin_synth"}
 SUMS = ["visits", *_FLAGS, "minutes", *[f"{a}_{part}" for a in _AMOUNTS for part in ("cents", "known")]]
 _MONTH, _STORE = "month", "store-version"
+# Parts that the patients of a month are dealt to.
+_SLICE, _SLICES = "_slice", 8
 
 
 def _signed(fact: DataFrame, sign: int) -> DataFrame:
@@ -56,9 +59,9 @@ def _signed(fact: DataFrame, sign: int) -> DataFrame:
     )
 
 
-def _added_up(states: DataFrame) -> DataFrame:
+def _added_up(states: DataFrame, by: Sequence[str] = tuple(KEYS)) -> DataFrame:
     any_left = F.greatest(*[F.abs(F.col(c)) for c in SUMS]) > 0
-    return states.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).filter(any_left)
+    return states.groupBy(*by).agg(*[F.sum(c).alias(c) for c in SUMS]).filter(any_left)
 
 
 def _schema(spark: SparkSession) -> StructType:
@@ -83,6 +86,25 @@ def maintain(spark: SparkSession, root: str, store: str, to_fact: Callable[[Data
         return _maintained(spark, Writer(spark, root), store, to_fact, schema)
 
 
+def _changes(
+    spark: SparkSession, before: Mapping[str, list[str]], after: Mapping[str, list[str]], schema: StructType
+) -> tuple[DataFrame, DataFrame]:
+    """The visits that a store has in one state and not in another, and the other way round. Of a
+    bucket that has only got more parts these are the visits in the new parts, and what the parts
+    before have of the same ids; a bucket that was written anew has all its visits in both."""
+    was = {b: before.get(b, []) for b in after}
+    changed = [b for b in after if after[b] != was[b]]
+    grown = [b for b in changed if after[b][: len(was[b])] == was[b]]
+    anew = [b for b in changed if b not in grown]
+    new_parts = [after[b][len(was[b]) :] for b in grown]
+    brought = silver.latest_in(spark, [*new_parts, *(after[b] for b in anew)], schema)
+    ids = silver.read_parts(spark, [path for parts in new_parts for path in parts], schema)
+    ids = ids.select(F.col("src_appointment_id").alias("_id"))
+    gone = silver.latest_in(spark, [was[b] for b in grown if was[b]], schema)
+    gone = gone.join(ids, F.col("src_appointment_id").eqNullSafe(F.col("_id")), "left_semi")
+    return brought, gone.unionByName(silver.latest_in(spark, [was[b] for b in anew], schema))
+
+
 def _maintained(
     spark: SparkSession, writer: Writer, store: str, to_fact: Callable[[DataFrame], DataFrame], schema: StructType
 ) -> list[str]:
@@ -90,29 +112,28 @@ def _maintained(
     before, after = opened(spark, store, seen) if seen else Version(0), opened(spark, store)
     if before.number == after.number:
         return []
-    changed = [b for b in after.tables if after.tables[b] != before.tables.get(b)]
-
-    def facts(version: Version, sign: int) -> DataFrame:
-        paths = [version.tables[b] for b in changed if b in version.tables]
-        rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-        return _signed(to_fact(rows), sign)
-
-    delta = stage(_added_up(facts(after, 1).unionByName(facts(before, -1))), "mart-delta")
+    brought, gone = _changes(spark, silver.parts_of(before), silver.parts_of(after), schema)
+    delta = stage(_added_up(_signed(to_fact(brought), 1).unionByName(_signed(to_fact(gone), -1))), "mart-delta")
     # One value per calendar month.
     months = sorted(str(r[0]) for r in delta.select("month_start").distinct().collect())
     names = [f"{_MONTH}={m}" for m in months]
     held = [writer.before.tables[n] for n in names if n in writer.before.tables]
     merged = delta
     if held:
-        merged = _added_up(delta.unionByName(spark.read.schema(delta.schema).parquet(*held)))
+        merged = delta.unionByName(spark.read.schema(delta.schema).parquet(*held))
     if names:
-        folder = writer.folder(names[0]).rpartition("/")[0]
-        named = by_partition(merged.withColumn(_MONTH, F.col("month_start").cast("string")), [_MONTH])
+        folder = writer.folder()
+        # Dealt by month and a part of its patients, rows are added up and written without another
+        # exchange, and no task has a whole month, however large that is.
+        merged = merged.withColumn(_SLICE, F.pmod(F.hash("patient_key"), F.lit(_SLICES))).repartition("month_start", _SLICE)
+        if held:
+            merged = _added_up(merged, [*KEYS, _SLICE])
+        named = merged.drop(_SLICE).withColumn(_MONTH, F.col("month_start").cast("string"))
         named.write.partitionBy(_MONTH).option("compression", "zstd").parquet(folder)
         written = {path.rpartition("/")[2] for path in commits.matching(spark, f"{folder}/{_MONTH}=*")}
         for name in names:  # a month that has no visit left has no folder either
             if name in written:
-                writer.folder(name)
+                writer.tables[name] = f"{folder}/{name}"
             else:
                 writer.tables.pop(name, None)
     writer.notes[_STORE] = str(after.number)

@@ -35,6 +35,12 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(one, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    one, file_system = _file_system(spark, path)
+    return file_system.getContentSummary(one).getLength()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """The paths that a pattern stands for."""
     one, file_system = _file_system(spark, pattern)

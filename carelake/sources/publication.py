@@ -70,10 +70,10 @@ class Writer:
         self.tables[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def folder(self, name: str) -> str:
-        """A new folder for a table that the caller writes itself."""
-        self.tables[name] = f"{self._own}/{name}"
-        return self.tables[name]
+    def folder(self) -> str:
+        """The folder of this writer, for tables that the caller writes itself, and names by their
+        paths in ``tables``."""
+        return self._own
 
     def commit(self) -> Version:
         """Publish. CommitConflict if another writer did since; then nothing has changed."""

@@ -265,3 +265,70 @@ def test_matched_parties_are_found_with_one_exchange_of_their_visits(spark, monk
     for name in ("party_candidate", "party_match_blocks", "party_match", "party_pair_scores", "party_components"):
         assert queries.all_queries()[name](spark, "/root/testdata/sf0.001").count() > 0
     assert not called
+
+
+@pytest.fixture(params=[2, 8])
+def in_parts(request, monkeypatch):
+    """Buckets of any size get parts, and are written anew once they have so many."""
+    monkeypatch.setattr(silver, "_SMALL", 0, raising=False)
+    monkeypatch.setattr(silver, "_MANY_PARTS", request.param, raising=False)
+    return request.param
+
+
+def test_a_merge_writes_what_wins_and_no_more(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(silver, "_SMALL", 0, raising=False)
+    ref, schema, later = f"{tmp_path}/versions", silver.versions_schema(feed(spark, {})), "2024-04-01 00:00:00"
+    silver.merge_versions(feed(spark, {"ID": None}, *[{"ID": i} for i in range(100)]), ref, buckets=2)
+    first = opened(spark, ref).tables
+    more = stage(feed(spark, *[{"ID": i, "lastModified": later if i < 110 else "2020-01-01"} for i in range(90, 120)],
+        *[{"ID": i, "lastModified": "2020-01-01"} for i in (None, *range(50))]), "more")
+    assert sorted(silver.merge_versions(more, ref)) == sorted(first.values())
+    second = opened(spark, ref).tables
+    written = spark.read.parquet(*[path for name, path in second.items() if name not in first])
+    assert {name: second[name] for name in first} == first and len(second) == 4
+    assert sorted(int(r[0]) for r in written.select("src_appointment_id").collect()) == list(range(90, 120))
+    silver.merge_versions(more, ref)
+    assert opened(spark, ref).tables == second
+    stored = by_id(silver.stored_versions(spark, ref, schema))
+    assert len(stored) == 121 and sum(str(r["_source_updated_ts"]) == later for r in stored.values()) == 20
+
+
+def test_buckets_in_parts_equal_a_full_build(spark, tmp_path, rows, in_parts):
+    """Late, repeated and moved versions of visits, with and without ids, times and hashes of either kind."""
+    digest = F.when(F.col("ID") % 3 != 0, F.sha2("_payload_hash", 256)).when(F.col("ID") % 2 == 0, F.upper(F.sha2("_payload_hash", 256)))
+    bronze = _moving_visits(spark).withColumn("_payload_hash", F.coalesce(digest, "_payload_hash"))
+    bronze = stage(bronze.withColumn("load", F.pmod(F.xxhash64("_payload_hash"), F.lit(5))), "loads")
+    star = gold.build_star(stage(build(bronze), "appointment"), "src")
+    to_fact = lambda v: gold.fct_appointment(silver.appointments(v, "src"), star.service, star.practitioner, star.clinic)
+    store, states, schema = f"{tmp_path}/versions", f"{tmp_path}/states", silver.versions_schema(bronze)
+    for load in (0, 3, 1, 3, 2, 4):
+        silver.merge_versions(bronze.filter(F.col("load") == load), store, buckets=4)
+        if load != 1:  # two merges at once
+            mart_states.maintain(spark, states, store, to_fact, schema)
+    most = max(map(len, silver.parts_of(opened(spark, store)).values()))
+    assert most == 5 if in_parts == 8 else most <= 2
+    latest = silver.latest_visits(bronze)
+    assert rows(silver.stored_versions(spark, store, schema)) == rows(latest)
+    full = gold.Star("src", star.date, star.clinic, star.practitioner, star.service, to_fact(latest))
+    got, want = mart_states.clinic_mart_of(mart_states.stored_states(spark, states), star), marts.mart_clinic_monthly(full)
+    assert rows(got.select(*want.columns)) == rows(want) and got.count() > 0
+
+
+def test_a_store_of_before_goes_on(spark, tmp_path, rows):
+    """Its buckets were dealt by another hash, and its versions do not name their merge."""
+    ref, old, new = f"{tmp_path}/versions", feed(spark, *[{"ID": i} for i in range(60)]), feed(spark, *[{"ID": i, "DNA": "1"} for i in range(30, 90)])
+    writer, place = Writer(spark, ref), F.pmod(F.xxhash64("src_appointment_id"), F.lit(4)).alias("bucket")
+    silver.latest_visits(old).select("*", place).write.partitionBy("bucket").parquet(f"{ref}/data-00000001-old")
+    writer.tables = {f"bucket={i}": f"{ref}/data-00000001-old/bucket={i}" for i in range(4)}
+    writer.notes = {"buckets": "4"}
+    writer.commit()
+    schema = silver.versions_schema(old)
+    for small in (0, 1 << 20):
+        silver._SMALL, kept = small, silver._SMALL
+        try:
+            assert len(silver.merge_versions(new, ref)) >= 4
+        finally:
+            silver._SMALL = kept
+        stored = silver.stored_versions(spark, ref, schema)
+        assert rows(stored) == rows(silver.latest_visits(old.unionByName(new)))
+    assert list(opened(spark, ref).tables) == [f"bucket={i}" for i in range(4)]
