@@ -26,6 +26,7 @@ from carelake.plans.marts import clinic_mart
 from carelake.session import stage, staging
 from carelake.sources import commits
 from carelake.sources.publication import KEPT, Version, Writer, opened, remove_unused
+from carelake.sources.tables import COMPACT
 
 KEYS = ["month_start", "clinic_key", "patient_key"]
 _FLAGS = {"completed": "is_completed", "dna": "is_dna", "cancelled": "is_cancelled"}
@@ -129,7 +130,7 @@ def _maintained(
         if held:
             merged = _added_up(merged, [*KEYS, _SLICE])
         named = merged.drop(_SLICE).withColumn(_MONTH, F.col("month_start").cast("string"))
-        named.write.partitionBy(_MONTH).option("compression", "zstd").parquet(folder)
+        named.write.partitionBy(_MONTH).options(**COMPACT).parquet(folder)
         written = {path.rpartition("/")[2] for path in commits.matching(spark, f"{folder}/{_MONTH}=*")}
         for name in names:  # a month that has no visit left has no folder either
             if name in written:

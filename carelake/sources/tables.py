@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# For wide tables of which most columns differ from row to row: making dictionaries takes more time than
+# the rest of writing, and zstd finds the repeated values too.
+COMPACT = {"compression": "zstd", "parquet.enable.dictionary": "false"}
+
 
 def is_path(ref: str) -> bool:
     return "/" in ref

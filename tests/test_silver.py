@@ -332,3 +332,28 @@ def test_a_store_of_before_goes_on(spark, tmp_path, rows):
         stored = silver.stored_versions(spark, ref, schema)
         assert rows(stored) == rows(silver.latest_visits(old.unionByName(new)))
     assert list(opened(spark, ref).tables) == [f"bucket={i}" for i in range(4)]
+
+
+def test_a_maintained_mart_reads_what_a_merge_changed(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(silver, "_SMALL", 0, raising=False)
+    first = feed(spark, *[{"ID": i, "patientID": i % 7, "appointmentDate": f"2024-0{1 + i % 4}-05"} for i in range(100)])
+    more = feed(spark, *[{"ID": i, "patientID": 1, "lastModified": "2024-04-01 00:00:00"} for i in range(96, 104)])
+    appointment = stage(build(first), "appointment")
+    star = gold.build_star(appointment, "src")
+    of = gold.build_dimensions(appointment.select(*gold.DIMENSION_INPUT), "src")
+    assert of.fact is None and all(rows(getattr(of, t)) == rows(getattr(star, t)) for t in ("date", "clinic", "practitioner", "service"))
+    store, states, schema, read = f"{tmp_path}/versions", f"{tmp_path}/states", silver.versions_schema(first), []
+
+    def to_fact(versions):
+        read.append(versions.count())
+        return gold.fct_appointment(silver.appointments(versions, "src"), star.service, star.practitioner, star.clinic)
+
+    silver.merge_versions(first, store, buckets=2)
+    mart_states.maintain(spark, states, store, to_fact, schema)
+    read.clear()
+    silver.merge_versions(more, store)
+    assert mart_states.maintain(spark, states, store, to_fact, schema) == ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
+    assert sorted(read) == [4, 8]
+    read.clear()
+    silver.merge_versions(more, store)
+    assert mart_states.maintain(spark, states, store, to_fact, schema) == [] and read == [0, 0]
